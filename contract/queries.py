@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +43,7 @@ SMALL = ClusterParams(
 EMBED = EmbedParams(dims=DIMS, max_concurrent=8, first_delay=0.0)
 NAMING = NamingParams(max_concurrent=8, first_delay=0.0)
 
-
-def make_embedder():
-    return TokenHashEmbedder(DIMS)
+make_embedder = partial(TokenHashEmbedder, DIMS)
 
 
 # --- the given tables in the engine's terms ---------------------------------------------
