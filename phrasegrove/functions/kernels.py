@@ -34,25 +34,29 @@ def row_slices(n_rows: int, n_clusters: int):
 def nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of, and squared distance to, the nearest centre of each point.
 
-    A matrix product ranks all centres. Those within rounding error of the best are then
-    measured again by direct differences, so the answer does not depend on cancellation.
+    A matrix product ranks all centres. Where others come within rounding error of the best,
+    they are measured again by direct differences, so no answer depends on cancellation.
     """
     index = np.empty(len(points), "i8")
-    distance = np.empty(len(points), "f8")
     sizes = np.einsum("ij,ij->i", centres, centres)
+    doubled = -2.0 * centres.T
     for part in row_slices(len(points), len(centres)):
         x = points[part]
-        score = sizes - 2.0 * (x @ centres.T)
+        score = x @ doubled
+        score += sizes
+        best = score.argmin(axis=1)
+        every = np.arange(len(x))
+        least = score[every, best]
         scale = np.einsum("ij,ij->i", x, x) + sizes.max()
-        close = score <= (score.min(axis=1) + 1e-9 + 1e-11 * scale)[:, None]
-        rows, candidates = np.nonzero(close)
-        gaps = x[rows] - centres[candidates]
-        exact = np.round(np.einsum("ij,ij->i", gaps, gaps), TIE_DIGITS)
-        order = np.lexsort((candidates, exact, rows))
-        first = order[np.searchsorted(rows[order], np.arange(len(x)))]
-        index[part] = candidates[first]
-        distance[part] = exact[first]
-    return index, distance
+        limit = least + 1e-9 + 1e-11 * scale
+        score[every, best] = np.inf
+        for row in np.flatnonzero(score.min(axis=1) <= limit):
+            rivals = np.append(np.flatnonzero(score[row] <= limit[row]), best[row])
+            exact = np.round(((x[row] - centres[rivals]) ** 2).sum(axis=1), TIE_DIGITS)
+            best[row] = rivals[exact == exact.min()].min()
+        index[part] = best
+    gaps = points - centres[index]
+    return index, np.round(np.einsum("ij,ij->i", gaps, gaps), TIE_DIGITS)
 
 
 def mean_distances(

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phrasegrove.functions import kernels
-from phrasegrove.operators.bounded import BLOCK_ROWS, fold_blocks
+from phrasegrove.functions.vectors import squared_distance
+from phrasegrove.operators.bounded import BLOCK_ROWS, fold_blocks, left_join_dimension
 
 
 def nearest_centroid(
@@ -55,3 +56,16 @@ def nearest_centroid(
         .withColumn(distance_col, F.col("_best.distance"))
         .drop("_best")
     )
+
+
+def distance_to_centroid(
+    assigned: DataFrame,
+    centroid_rows: DataFrame,
+    vec_col: str,
+    cluster_col: str = "cluster_n1",
+    distance_col: str = "distance",
+) -> DataFrame:
+    """Add the squared distance of rows that have a cluster already to its centroid."""
+    centres = centroid_rows.select(F.col("cluster_id").alias(cluster_col), "centroid")
+    joined = left_join_dimension(assigned, centres, cluster_col, BLOCK_ROWS)
+    return joined.withColumn(distance_col, squared_distance(vec_col, "centroid")).drop("centroid")

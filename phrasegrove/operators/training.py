@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
-from phrasegrove.functions.vectors import with_vector
+from phrasegrove.functions.vectors import with_array, with_vector
 from phrasegrove.operators.hierarchy import cluster_mapping, with_parents
 from phrasegrove.operators.incremental import hash_sample
+from phrasegrove.operators.metrics import mean_silhouette
 from phrasegrove.params import ClusterParams
 
 VECTOR_COL, FEATURES_COL = "_vector", "features"
 INTERMEDIATE = [VECTOR_COL, "_unit_vector", FEATURES_COL]
 
+ROWS_PER_PARTITION = 4096
+
 CENTROID_VECTORS = StructType(
     [
         StructField("cluster_id", IntegerType(), False),
@@ -66,6 +68,7 @@ def kmeans(params: ClusterParams) -> MakeEstimator:
             maxIter=params.max_iter,
             seed=params.seed,
             tol=params.tol,
+            solver=params.solver,
         )
 
     return make
@@ -98,23 +101,25 @@ def apply_pipeline(model: PipelineModel, df: DataFrame, vec_col: str = "embeddin
 def level_silhouette(
     predictions: DataFrame, features_col: str, prediction_col: str
 ) -> float | None:
-    """The evaluator's mean silhouette, or None with fewer than two clusters in use."""
-    if predictions.select(prediction_col).distinct().limit(2).count() < 2:
-        return None
-    evaluator = ClusteringEvaluator(
-        featuresCol=features_col,
-        predictionCol=prediction_col,
-        metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    )
-    return float(evaluator.evaluate(predictions))
+    """Mean silhouette over all rows, or None with fewer than two clusters in use.
+
+    The value is ``ClusteringEvaluator``'s; the closed form scores a batch of rows against all
+    clusters by one matrix product.
+    """
+    points = with_array(predictions, features_col, "_point", "double")
+    return mean_silhouette(points, prediction_col, "_point").first()["silhouette"]
 
 
 def fit_level(
-    df: DataFrame, k: int, level: int, make_estimator: MakeEstimator, features_col: str
+    df: DataFrame,
+    k: int,
+    level: int,
+    make_estimator: MakeEstimator,
+    features_col: str,
+    n: int | None = None,
 ) -> LevelFit:
-    """Fit one level on rows that are held in memory or few."""
-    n = df.count()
+    """Fit one level on rows that are held in memory or few. ``n`` is their number, if known."""
+    n = df.count() if n is None else n
     if n < 2:
         raise ValueError(f"level {level} needs at least two rows to cluster, got {n}")
     prediction_col = f"cluster_n{level}"
@@ -134,10 +139,12 @@ def fit_level(
 def centre_vectors(spark: SparkSession, model) -> DataFrame:
     """``(cluster_id, features)`` of a fitted model, as input for the next level.
 
-    A fitted model already lives on the driver as k x dims numbers.
+    A fitted model already lives on the driver as k x dims numbers, so its rows go into few
+    partitions and not one per core of the cluster.
     """
     rows = [(i, Vectors.dense(c)) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(rows, CENTROID_VECTORS)
+    frame = spark.createDataFrame(rows, CENTROID_VECTORS)
+    return frame.coalesce(1 + len(rows) // ROWS_PER_PARTITION)
 
 
 def centre_rows(spark: SparkSession, model) -> DataFrame:
@@ -201,7 +208,8 @@ def k_sweep(
     make_estimator = make_estimator or kmeans(params)
     sample = hash_sample(features, params.sample_fraction, id_col).select(FEATURES_COL)
     with kept(sample) as rows:
-        return [fit_level(rows, k, 1, make_estimator, FEATURES_COL) for k in params.k_candidates]
+        n = rows.count()
+        return [fit_level(rows, k, 1, make_estimator, FEATURES_COL, n) for k in params.k_candidates]
 
 
 def sweep_frame(spark: SparkSession, fits: list[LevelFit], run_id: str, threshold: float):

@@ -15,6 +15,7 @@ class ClusterParams:
     max_iter: int = 50
     seed: int = 42
     tol: float = 1e-4
+    solver: str = "block"  # same result as "row"; matrix products suit dense vectors
     pca_dims: int = 128
     k_candidates: tuple[int, ...] = (50, 100, 200, 300, 500, 750, 1000)
     sample_fraction: float = 0.2

@@ -19,7 +19,7 @@ from phrasegrove.operators.hierarchy import with_names
 from phrasegrove.operators.incremental import first_per_id
 from phrasegrove.operators.metrics import elbow, metric_rows
 from phrasegrove.operators.naming import cluster_samples, name_hierarchy
-from phrasegrove.operators.nearest import nearest_centroid
+from phrasegrove.operators.nearest import distance_to_centroid
 from phrasegrove.operators.quality import split_valid
 from phrasegrove.operators.training import (
     FEATURES_COL,
@@ -173,13 +173,12 @@ def train(
     write_table(schemas.conform(mapping, schemas.MAPPING), tables.mapping, "overwrite")
 
     if make_namer is not None:
-        points = apply_pipeline(features_model, valid.select("id", "frase", "embedding"))
+        points = apply_pipeline(trained.pipeline, valid.select("id", "frase", "embedding"))
         points = with_array(points, FEATURES_COL, "point", "double")
-        placed = nearest_centroid(
-            points.select("id", "frase", "point"),
+        placed = distance_to_centroid(
+            points.select("id", "frase", "cluster_n1", "point"),
             centre_rows(spark, levels[0].model),
             "point",
-            "cluster_n1",
         ).drop("point")
         samples = cluster_samples(placed, naming.samples_per_cluster)
         names = name_hierarchy(samples, mapping, make_namer, naming, keep=pin)
@@ -226,6 +225,5 @@ def assign(spark: SparkSession, tables: Tables, day: date, processed_at: datetim
     output = schemas.conform(
         scored.withColumn("processed_at", F.lit(processed_at).cast("timestamp")), schemas.OUTPUT
     )
-    output, seen = count_rows(output)
     replace_day(output, tables.output, day)
-    return seen.get["rows"]
+    return spark.table(tables.output).where(F.col(DAY) == F.lit(day)).count()

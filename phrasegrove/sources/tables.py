@@ -69,7 +69,7 @@ def replace_day(df: DataFrame, name: str, day: date, path: str | None = None) ->
     spark = df.sparkSession
     rows = df.drop(DAY)
     if not table_exists(spark, name):
-        empty = rows.limit(0).withColumn(DAY, F.lit(day))
+        empty = spark.createDataFrame([], rows.schema).withColumn(DAY, F.lit(day))
         write_table(empty, name, "append", DAY, path)
     spark.sql(
         f"INSERT OVERWRITE TABLE {name} PARTITION ({DAY} = DATE'{day.isoformat()}') "
