@@ -32,9 +32,16 @@ def pin(df: DataFrame, max_rows: int = BLOCK_ROWS) -> DataFrame:
     return cut_lineage(df)
 
 
-def blocks(df: DataFrame, key: str, max_rows: int = BLOCK_ROWS) -> Iterator[pa.Table]:
-    """The rows of ``df`` sorted by ``key``, in pieces of a checked size."""
-    head = df.limit(max_rows + 1).toArrow()
+def blocks(
+    df: DataFrame, key: str, max_rows: int = BLOCK_ROWS, at_most: int | None = None
+) -> Iterator[pa.Table]:
+    """The rows of ``df`` sorted by ``key``, in pieces of a checked size.
+
+    ``at_most`` is a bound the caller vouches for, such as a fitted model's k; below
+    ``max_rows`` it saves the check.
+    """
+    bounded = at_most is not None and at_most <= max_rows
+    head = (df if bounded else df.limit(max_rows + 1)).toArrow()
     if head.num_rows <= max_rows:
         yield head.sort_by(key)
         return
@@ -55,6 +62,7 @@ def fold_blocks(
     score: Callable[[pa.Table], Column],
     merge: Callable[[Column, Column], Column],
     max_rows: int = BLOCK_ROWS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``column``: every point scored against all rows of ``small``.
 
@@ -63,7 +71,7 @@ def fold_blocks(
     points with their best score so far are written, so no task ever holds more than one.
     """
     scored = None
-    for block in blocks(small, key, max_rows):
+    for block in blocks(small, key, max_rows, at_most):
         if scored is None:
             scored = points.withColumn(column, score(block))
         else:

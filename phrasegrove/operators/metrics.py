@@ -19,6 +19,7 @@ def silhouette_scores(
     vec_col: str = "embedding",
     score_col: str = "silhouette",
     max_rows: int = BLOCK_ROWS,
+    clusters_at_most: int | None = None,
 ) -> DataFrame:
     """Add the squared-Euclidean silhouette of every point.
 
@@ -26,12 +27,12 @@ def silhouette_scores(
     points ever meets. A point alone in its cluster scores 0; with one cluster it is null.
     """
     context = df.sparkSession.sparkContext
-    moments = cluster_moments(df, cluster_col, vec_col)
-    profiles = pack(moments, "total", "sums").join(
-        moments.groupBy("cluster_id").agg(
-            F.max("n").alias("n"), F.sum("squares").alias("squares")
-        ),
-        "cluster_id",
+    profiles = pack(
+        cluster_moments(df, cluster_col, vec_col),
+        "total",
+        "sums",
+        F.max("n").alias("n"),
+        F.sum("squares").alias("squares"),
     )
 
     def score(block: pa.Table) -> Column:
@@ -76,7 +77,9 @@ def silhouette_scores(
         .when(inside > outside, outside / inside - 1)
         .otherwise(0.0)
     )
-    scored = fold_blocks(df, profiles, "cluster_id", "_gap", score, merge, max_rows)
+    scored = fold_blocks(
+        df, profiles, "cluster_id", "_gap", score, merge, max_rows, clusters_at_most
+    )
     return scored.withColumn(score_col, value).drop("_gap")
 
 
@@ -92,9 +95,15 @@ def silhouette_by_cluster(
     )
 
 
-def mean_silhouette(df: DataFrame, cluster_col: str, vec_col: str = "embedding") -> DataFrame:
+def mean_silhouette(
+    df: DataFrame,
+    cluster_col: str,
+    vec_col: str = "embedding",
+    clusters_at_most: int | None = None,
+) -> DataFrame:
     """One row: the mean silhouette over all points."""
-    return silhouette_scores(df, cluster_col, vec_col).agg(F.avg("silhouette").alias("silhouette"))
+    scored = silhouette_scores(df, cluster_col, vec_col, clusters_at_most=clusters_at_most)
+    return scored.agg(F.avg("silhouette").alias("silhouette"))
 
 
 def elbow(sweep: DataFrame, run_col: str = "run_id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,11 +25,14 @@ def cluster_moments(df: DataFrame, cluster_col: str, vec_col: str = "embedding")
     )
 
 
-def pack(values: DataFrame, value_col: str, output_col: str) -> DataFrame:
-    """``(cluster_id, dim, value)`` rows to one array per cluster; dims rows per group."""
+def pack(values: DataFrame, value_col: str, output_col: str, *more: Column) -> DataFrame:
+    """``(cluster_id, dim, value)`` rows to one array per cluster; dims rows per group.
+
+    ``more`` are further aggregates over a cluster's rows.
+    """
     cells = F.sort_array(F.collect_list(F.struct("dim", value_col)))
     return values.groupBy("cluster_id").agg(
-        F.transform(cells, lambda cell: cell[value_col]).alias(output_col)
+        F.transform(cells, lambda cell: cell[value_col]).alias(output_col), *more
     )
 
 

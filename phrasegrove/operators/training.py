@@ -99,7 +99,7 @@ def apply_pipeline(model: PipelineModel, df: DataFrame, vec_col: str = "embeddin
 
 
 def level_silhouette(
-    predictions: DataFrame, features_col: str, prediction_col: str
+    predictions: DataFrame, features_col: str, prediction_col: str, k: int
 ) -> float | None:
     """Mean silhouette over all rows, or None with fewer than two clusters in use.
 
@@ -107,7 +107,7 @@ def level_silhouette(
     clusters by one matrix product.
     """
     points = with_array(predictions, features_col, "_point", "double")
-    return mean_silhouette(points, prediction_col, "_point").first()["silhouette"]
+    return mean_silhouette(points, prediction_col, "_point", k).first()["silhouette"]
 
 
 def fit_level(
@@ -124,11 +124,12 @@ def fit_level(
         raise ValueError(f"level {level} needs at least two rows to cluster, got {n}")
     prediction_col = f"cluster_n{level}"
     model = make_estimator(k, features_col, prediction_col).fit(df)
-    silhouette = level_silhouette(model.transform(df), features_col, prediction_col)
+    k_found = len(model.clusterCenters())
+    silhouette = level_silhouette(model.transform(df), features_col, prediction_col, k_found)
     return LevelFit(
         level=level,
         k=k,
-        k_found=len(model.clusterCenters()),
+        k_found=k_found,
         n=n,
         inertia=float(model.summary.trainingCost),
         silhouette=silhouette,
