@@ -178,7 +178,7 @@ def embedding_reconcile(spark, sf_dir):
 
 def phrase_batches(spark, sf_dir):
     numbered = incremental.number_batches(
-        documents(spark, sf_dir).select("id"), EmbedParams().batch_size
+        documents(spark, sf_dir).select("id"), EmbedParams().batch_size, digits=3
     )
     return numbered.select("id", F.col("batch_no").cast("long"))
 

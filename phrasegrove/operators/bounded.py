@@ -19,9 +19,11 @@ BROADCAST_ROWS = 1 << 17
 # Key pieces a hot key is spread over in a shuffle.
 SALTS = 64
 
-# A sampled key with at least this share of the sample is hot, so at most 1,000 keys are.
+# A key with at least this share of a sample is hot, so at most 1,000 keys are. A sample of
+# fewer rows, or a key with fewer of them, says nothing.
 HOT_SHARE = 0.001
 HOT_SAMPLE_ROWS = 1000
+HOT_KEY_ROWS = 10
 
 
 def pin(df: DataFrame, max_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -103,12 +105,18 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, fraction: float
     """Keys, null among them, that hold at least ``share`` of a sample of the rows.
 
     They only steer how work is spread; no result depends on them. At most 1/share keys can
-    qualify, and a sample too small to tell a hot key from chance names none.
+    qualify. Only the key column is read.
     """
-    sample = df.select(key).sample(fraction, seed=42)
-    total = sample.count()
-    if total < HOT_SAMPLE_ROWS:
+    counts = (
+        df.select(key)
+        .sample(fraction, seed=42)
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    total, top = counts.agg(F.sum("n"), F.max("n")).first()
+    if not total or total < HOT_SAMPLE_ROWS:
+        return []
+    floor = max(HOT_KEY_ROWS, share * total)
+    if top < floor:
         return []
-    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col("n") >= max(10.0, share * total))
-    return [row[0] for row in hot.select(key).take(int(1 / share) + 1)]
+    return [row[0] for row in counts.where(F.col("n") >= floor).take(int(1 / share) + 1)]

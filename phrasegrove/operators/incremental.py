@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from phrasegrove.operators.bounded import SALTS, hot_keys
+from phrasegrove.operators.bounded import BROADCAST_ROWS, SALTS, hot_keys
 
-# Hex digits of the id's digest that order the batches: 16^3 = 4,096 buckets.
-BUCKET_DIGITS = 3
+# Hex digits of the id's digest that order the batches: 16^4 = 65,536 buckets.
+BUCKET_DIGITS = 4
 
 
 def existing_ids(table: DataFrame, id_col: str = "id") -> DataFrame:
@@ -38,6 +38,22 @@ def new_phrases(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> Data
     )
 
 
+def new_rows(
+    raw: DataFrame, existing: DataFrame, n_new: int, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """One raw row per id that has no embedding, where ``n_new`` such ids are known to exist.
+
+    An increment of up to ``max_rows`` ids is found from the id columns and sent to the raw
+    scan, so that old phrases' texts are never shuffled. For more, copies fall away before
+    the shuffle and both sides of the anti-join are grouped by id, so no id can be hot.
+    """
+    if n_new <= max_rows:
+        ids = rows_per_id(raw, existing).where(is_new()).select("id")
+        return first_per_id(raw.join(F.broadcast(ids), "id", "left_semi"))
+    unique = first_per_id(raw.where(F.col("id").isNotNull()))
+    return unique.join(existing_ids(existing), "id", "left_anti")
+
+
 def first_per_id(df: DataFrame, id_col: str = "id") -> DataFrame:
     """One row per id: the smallest by the other columns. Copies are dropped before the shuffle."""
     others = [c for c in df.columns if c != id_col]
@@ -45,27 +61,52 @@ def first_per_id(df: DataFrame, id_col: str = "id") -> DataFrame:
     return chosen.select(id_col, "_row.*").select(*df.columns)
 
 
-def reconcile(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> DataFrame:
-    """One row of counts: raw, already embedded, new, existing ids, and their sum after the run.
+def rows_per_id(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> DataFrame:
+    """``(id, raw, known)``: number of raw rows and whether the id is embedded.
 
-    Both sides are summed per id in one aggregate; there is no join a frequent id could skew.
+    Both sides are summed per id in one aggregate over the id columns alone; there is no join
+    a frequent id could skew. Null is an id of its own and is never known.
     """
-    marks = raw.select(F.col(id_col).alias("id"), F.lit(1).alias("raw"), F.lit(0).alias("known"))
     known = existing.where(F.col(id_col).isNotNull())
+    marks = raw.select(F.col(id_col).alias("id"), F.lit(1).alias("raw"), F.lit(0).alias("known"))
     marks = marks.unionByName(
         known.select(F.col(id_col).alias("id"), F.lit(0).alias("raw"), F.lit(1).alias("known"))
     )
-    per_id = marks.groupBy("id").agg(F.sum("raw").alias("raw"), F.max("known").alias("known"))
+    return marks.groupBy("id").agg(F.sum("raw").alias("raw"), F.max("known").alias("known"))
+
+
+def is_new():
+    """Of ``rows_per_id`` rows: an id with phrases but no embedding."""
+    return (F.col("known") == 0) & F.col("id").isNotNull()
+
+
+def _total(value):
+    return F.coalesce(F.sum(value), F.lit(0)).cast("long")
+
+
+def reconcile(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row of counts: raw rows, those embedded, those new, existing ids, and existing ids
+    and new rows together."""
+    return (
+        rows_per_id(raw, existing, id_col)
+        .agg(
+            _total(F.col("raw")).alias("total_raw"),
+            _total(F.when(F.col("known") == 1, F.col("raw"))).alias("already_embedded"),
+            _total(F.when(F.col("known") == 0, F.col("raw"))).alias("new_phrases"),
+            _total(F.col("known")).alias("existing_ids"),
+        )
+        .withColumn("cumulative", F.col("existing_ids") + F.col("new_phrases"))
+    )
 
-    def total(value):
-        return F.coalesce(F.sum(value), F.lit(0)).cast("long")
 
-    return per_id.agg(
-        total(F.col("raw")).alias("total_raw"),
-        total(F.when(F.col("known") == 1, F.col("raw"))).alias("already_embedded"),
-        total(F.when(F.col("known") == 0, F.col("raw"))).alias("new_phrases"),
-        total(F.col("known")).alias("existing_ids"),
-    ).withColumn("cumulative", F.col("existing_ids") + F.col("new_phrases"))
+def increment(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row: raw rows, those without an id, those embedded, and distinct new ids."""
+    return rows_per_id(raw, existing, id_col).agg(
+        _total(F.col("raw")).alias("total_raw"),
+        _total(F.when(F.col("id").isNull(), F.col("raw"))).alias("without_id"),
+        _total(F.when(F.col("known") == 1, F.col("raw"))).alias("already_embedded"),
+        F.count_if(is_new()).alias("new_ids"),
+    )
 
 
 def number_batches(

@@ -36,6 +36,7 @@ class EmbedParams:
     attempts: int = 3
     first_delay: float = 2.0
     dims: int = 384
+    rows_per_task: int = 50_000  # phrases a lost task has to embed again, at most
 
 
 @dataclass(frozen=True)

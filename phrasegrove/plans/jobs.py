@@ -16,7 +16,7 @@ from phrasegrove.functions.vectors import with_array
 from phrasegrove.operators.bounded import pin
 from phrasegrove.operators.embedding import embed_phrases
 from phrasegrove.operators.hierarchy import with_names
-from phrasegrove.operators.incremental import first_per_id
+from phrasegrove.operators.incremental import increment, new_rows
 from phrasegrove.operators.metrics import elbow, metric_rows
 from phrasegrove.operators.naming import cluster_samples, name_hierarchy
 from phrasegrove.operators.nearest import distance_to_centroid
@@ -38,9 +38,9 @@ from phrasegrove.operators.training import (
 from phrasegrove.params import ClusterParams, EmbedParams, NamingParams, Tables
 from phrasegrove.plans import checks
 from phrasegrove.sources.models import load_model, save_model
+from phrasegrove.sources.shared import cut_lineage
 from phrasegrove.sources.tables import (
     DAY,
-    count_rows,
     on_day,
     read_or_empty,
     replace_day,
@@ -57,12 +57,13 @@ def model_path(tables: Tables, part: str) -> str:
 
 @dataclass(frozen=True)
 class EmbedSummary:
-    """``rejected`` counts raw rows without id or text, ``repeated`` further rows of an id."""
+    """Raw rows, those without an id, those embedded before, ids that were new, and ids
+    embedded now. A new id without any text is not embedded."""
 
     total_raw: int
-    rejected: int
-    repeated: int
+    without_id: int
     already_embedded: int
+    new_ids: int
     embedded: int
 
 
@@ -75,33 +76,40 @@ def embed_new(
 ) -> EmbedSummary:
     """Embed the phrases of the raw table that the embeddings table lacks, and append them.
 
-    Copies of an id fall away before the shuffle, and both sides of the anti-join are grouped
-    by id already, so no id can be hot. With nothing new no client is called and no row is
-    added, so running again is harmless. All counts come from the one run.
+    With nothing new no client is called, so running again is harmless. Many new phrases go in
+    waves of at most ``rows_per_task`` per task; each wave is appended when it is done, and a
+    job that is stopped goes on from there. The counts are taken from the tables, since
+    counters kept by tasks count twice where a lost executor's tasks run again.
     """
     checks.require(checks.usable_table(spark, tables.raw, ["id", "frase"]))
     raw = spark.table(tables.raw).select(F.col("id").cast("string"), F.col("frase").cast("string"))
-    existing = read_or_empty(spark, tables.embeddings, schemas.EMBEDDINGS)
-
-    raw, seen = count_rows(raw)
-    usable, seen_usable = count_rows(raw.where(F.col("id").isNotNull() & F.col("frase").isNotNull()))
-    unique, seen_unique = count_rows(first_per_id(usable))
-    new, seen_new = count_rows(
-        unique.join(existing.select("id").distinct(), "id", "left_anti")
-    )
-    stamped = embed_phrases(new, make_embedder, params).withColumn("created_at", F.lit(created_at))
-    rows = schemas.conform(stamped, schemas.EMBEDDINGS).withColumn(DAY, F.to_date("created_at"))
-    write_table(rows, tables.embeddings, "append", DAY)
-
-    n_raw, n_usable, n_unique, n_new = (
-        s.get["rows"] for s in (seen, seen_usable, seen_unique, seen_new)
-    )
+    existing = read_or_empty(spark, tables.embeddings, schemas.EMBEDDINGS).select("id")
+    counts = increment(raw, existing).first()
+
+    if counts.new_ids:
+        new = new_rows(raw.where(F.col("frase").isNotNull()), existing, counts.new_ids)
+        waves = -(-counts.new_ids // (params.max_concurrent * params.rows_per_task))
+        if waves > 1:
+            new = cut_lineage(new)
+        for wave in range(waves):
+            part = new.where(F.pmod(F.xxhash64("id"), F.lit(waves)) == wave) if waves > 1 else new
+            rows = embed_phrases(part, make_embedder, params)
+            rows = schemas.conform(
+                rows.withColumn("created_at", F.lit(created_at)), schemas.EMBEDDINGS
+            )
+            write_table(
+                rows.withColumn(DAY, F.to_date("created_at")), tables.embeddings, "append", DAY
+            )
+    embedded = 0
+    if table_exists(spark, tables.embeddings):
+        stored = spark.table(tables.embeddings)
+        embedded = stored.where(F.col("created_at") == F.lit(created_at)).count()
     return EmbedSummary(
-        total_raw=n_raw,
-        rejected=n_raw - n_usable,
-        repeated=n_usable - n_unique,
-        already_embedded=n_unique - n_new,
-        embedded=n_new,
+        total_raw=counts.total_raw,
+        without_id=counts.without_id,
+        already_embedded=counts.already_embedded,
+        new_ids=counts.new_ids,
+        embedded=embedded,
     )
 
 

@@ -56,8 +56,20 @@ def test_reconcile(spark):
     raw = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id string")
     existing = spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "id string")
     assert incremental.reconcile(raw, existing).first() == (4, 1, 3, 2, 5)
+    assert incremental.increment(raw, existing).first() == (4, 1, 1, 1)
     nothing = spark.createDataFrame([], "id string")
     assert incremental.reconcile(nothing, nothing).first() == (0, 0, 0, 0, 0)
+    assert incremental.increment(nothing, nothing).first() == (0, 0, 0, 0)
+
+
+@pytest.mark.parametrize("max_rows", [100, 1])
+def test_new_rows_both_ways(spark, max_rows):
+    raw = spark.createDataFrame(
+        [("a", "x"), ("b", "z"), ("b", "y"), (None, "n"), ("c", "w")], "id string, frase string"
+    )
+    existing = spark.createDataFrame([("a",), (None,)], "id string")
+    rows = incremental.new_rows(raw, existing, 2, max_rows)
+    assert sorted(rows.collect()) == [("b", "y"), ("c", "w")]
 
 
 def test_first_per_id_is_stable(spark):

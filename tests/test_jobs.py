@@ -50,9 +50,9 @@ def test_embedding_job_takes_only_what_is_new(spark, tables):
     bad = [(None, "no id"), ("q", None), ("p1", "second text of p1")]
     write_table(raw_frame(spark, phrase_rows(0, 50) + bad), tables.raw)
     first = embed(spark, tables, DAY_1)
-    assert first == jobs.EmbedSummary(53, 2, 1, 0, 50)
+    assert first == jobs.EmbedSummary(53, 1, 0, 51, 50)
     again = embed(spark, tables, DAY_2, NeverAsked)
-    assert again == jobs.EmbedSummary(53, 2, 1, 50, 0)
+    assert again == jobs.EmbedSummary(53, 1, 51, 1, 0)
     write_table(raw_frame(spark, phrase_rows(50, 7)), tables.raw)
     assert embed(spark, tables, DAY_2).embedded == 7
     rows = spark.table(tables.embeddings)
@@ -63,7 +63,15 @@ def test_embedding_job_takes_only_what_is_new(spark, tables):
 
 def test_all_rows_rejected(spark, tables):
     write_table(raw_frame(spark, [(None, "a"), ("b", None)]), tables.raw)
-    assert embed(spark, tables, DAY_1) == jobs.EmbedSummary(2, 2, 0, 0, 0)
+    assert embed(spark, tables, DAY_1) == jobs.EmbedSummary(2, 1, 0, 1, 0)
+
+
+def test_waves_append_every_phrase_once(spark, tables):
+    write_table(raw_frame(spark, phrase_rows(0, 100)), tables.raw)
+    small = replace(EMBED, rows_per_task=10)
+    summary = jobs.embed_new(spark, tables, EMBEDDER, small, DAY_1)
+    assert (summary.new_ids, summary.embedded) == (100, 100)
+    assert spark.table(tables.embeddings).select("id").distinct().count() == 100
 
 
 def train(spark, tables, **more):
