@@ -118,12 +118,16 @@ def fit_level(
     features_col: str,
     n: int | None = None,
 ) -> LevelFit:
-    """Fit one level on rows that are held in memory or few. ``n`` is their number, if known."""
+    """Fit one level on rows that are held in memory or few. ``n`` is their number, if known.
+
+    The estimator gets a projection of the held frame: it then keeps the vectors themselves
+    through its iterations, where it would decode the held columns again in each.
+    """
     n = df.count() if n is None else n
     if n < 2:
         raise ValueError(f"level {level} needs at least two rows to cluster, got {n}")
     prediction_col = f"cluster_n{level}"
-    model = make_estimator(k, features_col, prediction_col).fit(df)
+    model = make_estimator(k, features_col, prediction_col).fit(df.select(features_col))
     k_found = len(model.clusterCenters())
     silhouette = level_silhouette(model.transform(df), features_col, prediction_col, k_found)
     return LevelFit(
