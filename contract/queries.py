@@ -90,19 +90,19 @@ def assigned(spark, sf_dir):
     return hierarchy.assign_hierarchy(vectors(spark, sf_dir), n1, mapping), mapping
 
 
-def samples(spark, sf_dir):
+def samples(spark, sf_dir, rows):
     """The vectors nearest their centroid, with their document's text where there is one."""
-    rows, mapping = assigned(spark, sf_dir)
     chosen = naming.cluster_samples(
         rows.select("id", "cluster_n1", "distance"), NAMING.samples_per_cluster
     )
-    return naming.attach_texts(chosen, documents(spark, sf_dir)), mapping
+    return naming.attach_texts(chosen, documents(spark, sf_dir))
 
 
 def named(spark, sf_dir):
-    chosen, mapping = samples(spark, sf_dir)
-    names = naming.name_hierarchy(chosen, mapping, TermNamer, NAMING, keep=pin)
-    return names, mapping
+    """Rows with their clusters, the map of the levels, and the names of all levels."""
+    rows, mapping = assigned(spark, sf_dir)
+    chosen = samples(spark, sf_dir, rows)
+    return rows, mapping, naming.name_hierarchy(chosen, mapping, TermNamer, NAMING, keep=pin)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -330,12 +330,13 @@ def parented(centres, mapping, level):
 
 
 def cluster_samples(spark, sf_dir):
-    rows = samples(spark, sf_dir)[0].withColumn("distance", F.round("distance", 6))
+    rows = samples(spark, sf_dir, assigned(spark, sf_dir)[0])
+    rows = rows.withColumn("distance", F.round("distance", 6))
     return rows.select("cluster_n1", "position", "id", "distance", "frase")
 
 
 def naming_prompt(spark, sf_dir):
-    groups = naming.sample_phrases(samples(spark, sf_dir)[0])
+    groups = naming.sample_phrases(samples(spark, sf_dir, assigned(spark, sf_dir)[0]))
     return naming.naming_prompts(groups, 1)
 
 
@@ -355,23 +356,23 @@ def parse_name_json(spark, sf_dir):
 
 
 def names_n1(spark, sf_dir):
-    groups = naming.sample_phrases(samples(spark, sf_dir)[0])
+    groups = naming.sample_phrases(samples(spark, sf_dir, assigned(spark, sf_dir)[0]))
     return naming.name_level(groups, 1, TermNamer, NAMING)
 
 
 def parent_children(spark, sf_dir):
-    names, mapping = named(spark, sf_dir)
+    _, mapping, names = named(spark, sf_dir)
     level = names.where("nivel = 1")
     groups = naming.child_names(mapping, level, "cluster_n1", "cluster_n2")
     return groups.select("cluster_id", F.concat_ws("|", "phrases").alias("children"))
 
 
 def names_parent(spark, sf_dir):
-    return named(spark, sf_dir)[0].where("nivel > 1")
+    return named(spark, sf_dir)[2].where("nivel > 1")
 
 
 def names_wide(spark, sf_dir):
-    names, mapping = named(spark, sf_dir)
+    _, mapping, names = named(spark, sf_dir)
     return hierarchy.names_wide(mapping, names)
 
 
@@ -380,8 +381,7 @@ def names_long(spark, sf_dir):
 
 
 def enrich_names(spark, sf_dir):
-    names, mapping = named(spark, sf_dir)
-    rows, _ = assigned(spark, sf_dir)
+    rows, _, names = named(spark, sf_dir)
     plain = names.select("cluster_id", "nivel", "nome", "dor")
     enriched = hierarchy.with_names(rows, plain)
     stamped = enriched.withColumn("processed_on", F.to_date(F.lit(STAMP)))

@@ -45,9 +45,10 @@ def write_table(
     partition_by: str | None = None,
     path: str | None = None,
 ) -> None:
+    """Append to or replace a table; a new one gets the catalog's own format."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
-    writer = df.write.mode(mode).format("parquet")
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if path:

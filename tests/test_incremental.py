@@ -10,6 +10,7 @@ from phrasegrove.operators import bounded, incremental
 from phrasegrove.operators.embedding import embed_phrases
 from phrasegrove.params import EmbedParams
 from phrasegrove.sources import tables
+from phrasegrove.sources.shared import shared_folder
 from phrasegrove.sources.synthetic import synthetic_mixture
 
 
@@ -72,6 +73,40 @@ def test_new_rows_both_ways(spark, max_rows):
     assert sorted(rows.collect()) == [("b", "y"), ("c", "w")]
 
 
+def test_copies_fall_away_before_a_large_anti_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = spark.range(100).select("id", F.lit("x").alias("frase"))
+        plan = incremental.new_rows(raw, spark.range(50), 10**9)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join, partial = text.index("SortMergeJoin"), text.index("partial_min")
+    assert join < text.index("Exchange hashpartitioning") < partial
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+class FakeContext:
+    master = "spark://cluster:7077"
+
+    def getCheckpointDir(self):
+        return None
+
+
+class FakeSession:
+    sparkContext = FakeContext()
+
+    class conf:
+        @staticmethod
+        def get(name, default):
+            return default
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession())
+
+
 def test_first_per_id_is_stable(spark):
     rows = [("a", "z", 1), ("a", "b", 9), ("c", None, 2)]
     for order in (rows, rows[::-1]):
