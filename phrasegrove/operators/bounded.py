@@ -56,6 +56,15 @@ def blocks(
                 yield block
 
 
+def once(function):
+    """Have a costly function run once per row.
+
+    Of a deterministic one the optimizer puts a copy below every filter on its result, and
+    both run. This keeps such filters above it.
+    """
+    return function.asNondeterministic()
+
+
 def fold_blocks(
     points: DataFrame,
     small: DataFrame,
@@ -77,8 +86,8 @@ def fold_blocks(
         if scored is None:
             scored = points.withColumn(column, score(block))
         else:
-            scored = cut_lineage(scored)
-            scored = scored.withColumn(column, merge(F.col(column), score(block)))
+            scored = cut_lineage(scored).withColumn("_new", score(block))
+            scored = scored.withColumn(column, merge(F.col(column), F.col("_new"))).drop("_new")
     return scored
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from phrasegrove import schemas
 from phrasegrove.functions import kernels
-from phrasegrove.operators.bounded import BLOCK_ROWS, fold_blocks
+from phrasegrove.operators.bounded import BLOCK_ROWS, fold_blocks, once
 from phrasegrove.operators.moments import cluster_moments, pack
 
 
@@ -61,7 +61,7 @@ def silhouette_scores(
                 )
             return pa.StructArray.from_arrays(fields, ["inside", "outside"])
 
-        return distances(vec_col, F.col(cluster_col).cast("int"))
+        return once(distances)(vec_col, F.col(cluster_col).cast("int"))
 
     def merge(old: Column, new: Column) -> Column:
         return F.struct(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from phrasegrove.functions import kernels
 from phrasegrove.functions.vectors import squared_distance
-from phrasegrove.operators.bounded import BLOCK_ROWS, fold_blocks, left_join_dimension
+from phrasegrove.operators.bounded import BLOCK_ROWS, fold_blocks, left_join_dimension, once
 
 
 def nearest_centroid(
@@ -45,10 +45,11 @@ def nearest_centroid(
                 kernels.scatter(gap, kept, len(vectors), pa.float64()),
                 kernels.scatter(ids[at], kept, len(vectors), pa.int32()),
             ]
-            return pa.StructArray.from_arrays(fields, ["distance", "cluster_id"])
+            return pa.StructArray.from_arrays(
+                fields, ["distance", "cluster_id"], mask=fields[0].is_null()
+            )
 
-        answer = best(vec_col)
-        return F.when(answer["cluster_id"].isNotNull(), answer)
+        return once(best)(vec_col)
 
     return (
         fold_blocks(points, centroid_rows, "cluster_id", "_best", score, F.least, max_rows)

@@ -100,6 +100,18 @@ def test_nearest_gives_ties_to_the_smaller_id_and_null_to_bad_vectors(spark):
         }
 
 
+def test_a_filter_on_the_result_does_not_run_the_kernel_twice(spark):
+    df, _, _ = points_frame(spark)
+    centres = centroid_frame(spark, np.eye(6))
+    near = nearest_centroid(df, centres).where("distance < 1 and cluster_id is not null")
+    scored = metrics.silhouette_scores(df, "cluster").where("silhouette < 0")
+    for frame in (near, scored):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+    pruned = nearest_centroid(df, centres).select("id")
+    assert "ArrowEvalPython" not in pruned._jdf.queryExecution().executedPlan().toString()
+
+
 def test_kernel_is_exact_for_far_and_equal_centres():
     rng = np.random.default_rng(0)
     base = rng.normal(size=(50, 8)) + 1e4
