@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -18,6 +19,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from phrasegrove.functions.vectors import with_array, with_vector
+from phrasegrove.operators.bounded import pin
 from phrasegrove.operators.hierarchy import cluster_mapping, with_parents
 from phrasegrove.operators.incremental import hash_sample
 from phrasegrove.operators.metrics import mean_silhouette
@@ -176,8 +178,12 @@ def centre_vectors(spark: SparkSession, model) -> DataFrame:
 
 def centre_rows(spark: SparkSession, model) -> DataFrame:
     """``(cluster_id, centroid)`` of a fitted model, in array form."""
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(rows, "cluster_id int, centroid array<double>")
+    centres = [c.tolist() for c in model.clusterCenters()]
+    rows = {
+        "cluster_id": pa.array(range(len(centres)), pa.int32()),
+        "centroid": pa.array(centres, pa.list_(pa.float64())),
+    }
+    return spark.createDataFrame(pa.table(rows))
 
 
 def train_levels(
@@ -213,7 +219,7 @@ def assemble(spark: SparkSession, features_model: PipelineModel, levels) -> Trai
     return TrainedHierarchy(
         pipeline=PipelineModel(stages=[*features_model.stages, levels[0].model]),
         levels=levels,
-        mapping=cluster_mapping(*centres),
+        mapping=pin(cluster_mapping(*centres)),
     )
 
 

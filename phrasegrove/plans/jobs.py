@@ -177,7 +177,7 @@ def train(
     save_model(trained.pipeline, model_path(tables, PIPELINE))
     save_model(levels[1].model, model_path(tables, KMEANS_N2))
     save_model(levels[2].model, model_path(tables, KMEANS_N3))
-    mapping = pin(trained.mapping)
+    mapping = trained.mapping
     write_table(schemas.conform(mapping, schemas.MAPPING), tables.mapping, "overwrite")
 
     if make_namer is not None:

@@ -17,6 +17,8 @@ from pyspark.sql.types import (
 
 _LEVELS = (1, 2, 3)
 
+# The tables' columns, their order, types and nullability.
+
 
 def _col(name, kind, required=False):
     return StructField(name, kind, not required)
