@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phrasegrove.sources.shared import fresh_path
@@ -74,6 +74,18 @@ def add_columns(
     return source.mapInArrow(run, schema)
 
 
+def running_sum(df: DataFrame, key: str, chunk: str, order: list[Column], value: Column, name: str) -> DataFrame:
+    """``name``: the sum of ``value`` over the earlier rows of a key, in two steps by ``chunk``."""
+    before = F.sum("_s").over(Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1))
+    starts = df.groupBy(key, chunk).agg(F.sum(value).alias("_s"))
+    starts = starts.select(F.col(key), F.col(chunk), F.coalesce(before, F.lit(0)).alias("_start"))
+    inside = F.sum(value).over(
+        Window.partitionBy(key, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    rows = df.withColumn("_inside", F.coalesce(inside, F.lit(0)))
+    return rows.join(starts, [key, chunk]).withColumn(name, F.col("_start") + F.col("_inside")).drop("_start", "_inside")
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of unsigned 64-bit integers (the finalizer of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -22,10 +22,10 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from phrasegrove.llm.common import WORD, stored
+from phrasegrove.llm.common import WORD, running_sum, stored
 
 #: Slots of the schedule, about.
 SLOTS = 1 << 18
@@ -94,18 +94,6 @@ def schedule(plan: DataFrame, block: int, total: int) -> DataFrame:
     return slots.join(wide, "cell").where("lower <= point and point < upper").select("k", "sid")
 
 
-def _running(df: DataFrame, key: str, chunk: str, order: list[Column], value: Column, name: str) -> DataFrame:
-    """``name``: the sum of ``value`` over the earlier rows of a key, in two steps by ``chunk``."""
-    before = F.sum("_s").over(Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1))
-    starts = df.groupBy(key, chunk).agg(F.sum(value).alias("_s"))
-    starts = starts.select(F.col(key), F.col(chunk), F.coalesce(before, F.lit(0)).alias("_start"))
-    inside = F.sum(value).over(
-        Window.partitionBy(key, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    rows = df.withColumn("_inside", F.coalesce(inside, F.lit(0)))
-    return rows.join(starts, [key, chunk]).withColumn(name, F.col("_start") + F.col("_inside")).drop("_start", "_inside")
-
-
 def mix(
     docs: DataFrame,
     weights=WEIGHTS,
@@ -138,11 +126,11 @@ def mix(
     wide = rows.join(plan.select("source", "sid"), rows.source.eqNullSafe(plan.source)).select(
         "doc_id", "size", "spot", "sid", F.substring("spot", 1, CHUNK_DIGITS).alias("chunk")
     )
-    lined = _running(wide, "sid", "chunk", [F.col("spot"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
+    lined = running_sum(wide, "sid", "chunk", [F.col("spot"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
 
     # Slots, ranked within their source.
     drawn = schedule(plan, block, total).withColumn("part", F.floor(F.col("k") / SLOT_CHUNK))
-    ranked = _running(drawn, "sid", "part", [F.col("k")], F.lit(1), "rank")
+    ranked = running_sum(drawn, "sid", "part", [F.col("k")], F.lit(1), "rank")
     count = F.ceil(F.col("source_size") / F.lit(block)).cast("bigint")
     sources = plan.select("sid", "source_size", "target", count.alias("blocks"))
     used = (

@@ -72,7 +72,61 @@ select ln.doc_id, ln.size, ln.source_size, ln.target, coalesce(tk.taken, 0)::big
 from ln left join tk on ln.doc_id = tk.doc_id and ln.sid = tk.sid and ln.start = tk.start and ln.size > 0
 """
 
+OP7 = r"""
+with p as (
+  select page_id, coalesce(html, '') as html,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+           || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+           || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' as head,
+         chr(13) || chr(10) || chr(13) || chr(10) as gap
+  from pages
+), r as (
+  select page_id, head || strlen(html) || gap || html || gap as rec from p
+), d as (
+  select page_id, sha256(rec) as digest, strlen(rec)::bigint as n_bytes,
+         coalesce(floor(page_id / 1000.0), -1)::bigint as warc_file,
+         md5(coalesce(cast(page_id as varchar), '')) as spot
+  from r
+)
+select page_id, warc_file,
+  coalesce(sum(n_bytes) over (partition by warc_file
+    order by substr(spot, 1, 2) || substr(digest, 1, 2), spot || digest, n_bytes
+    rows between unbounded preceding and 1 preceding), 0)::bigint as record_offset,
+  n_bytes,
+  case when substr(digest, 1, 2) in ('00', '40', '80', 'c0', '02', '42', '82', 'c2') then 'changed'
+       when substr(digest, 1, 2) in ('01', '41', '81', 'c1') then 'missing' else 'ok' end as status
+from d
+"""
+
+OP8 = r"""
+with r as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages
+), p as (
+  select page_id,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from r
+), rules(verdict, h, q) as (
+  values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), u as (
+  select distinct host, path from p
+), f as (
+  select host, path, arg_max(h || q, length(h || q)) as rule, arg_max(verdict, length(h || q)) as verdict
+  from u join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, q)
+  group by host, path
+), l as (
+  select distinct host, path from u where regexp_matches(host, '(^|\.)(cheap-pills|free-bets)\.')
+)
+select page_id, p.host, p.path, f.rule,
+  coalesce(f.verdict, case when l.host is not null then 'block' else 'allow' end) as verdict
+from p left join f on p.host = f.host and p.path = f.path
+left join l on p.host = l.host and p.path = l.path
+"""
+
 ORACLES = {
     "op3_source_mix": OP3,
     "op5_exact_dedup": OP5,
+    "op7_warc_fixity": OP7,
+    "op8_url_filter": OP8,
 }

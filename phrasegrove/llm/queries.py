@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phrasegrove.llm import exact_dedup, mixing
-from phrasegrove.llm.common import read_table
+from phrasegrove.llm import exact_dedup, mixing, url_filter, warc_fixity
+from phrasegrove.llm.common import read_table, stored
+
+#: The rules of the contract. Fixed values.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+#: Host labels whose pages' canonical URLs make the list of blocked URLs.
+LISTED_LABELS = "(^|[.])(cheap-pills|free-bets)[.]"
 
 
 def op3_source_mix(spark, sf_dir) -> DataFrame:
@@ -20,7 +30,56 @@ def op5_exact_dedup(spark, sf_dir) -> DataFrame:
     return exact_dedup.exact_dedup(docs.where(old), docs.where(~old)).drop("historical")
 
 
+def op7_warc_fixity(spark, sf_dir) -> DataFrame:
+    """Every record of an archive of ``pages``, with what the audit of its replica found.
+
+    The replica is the same archive with damage by a rule on the record's own SHA-256: one in
+    64 records is cut to half its body, one in 64 is absent, one in 64 has another byte put first.
+    """
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    whole = warc_fixity.warc_record(F.col("url"), F.col("html"))
+    rows = pages.withColumn("digest", F.sha2(whole, 256)).withColumn("length", F.octet_length(whole))
+    kind = F.substring("digest", 1, 2)
+    body = F.coalesce("html", F.lit(""))
+    half = F.expr("substring(coalesce(html, ''), 1, cast(length(coalesce(html, '')) div 2 as int))")
+    harmed = (
+        F.when(kind.isin("00", "40", "80", "c0"), warc_fixity.warc_record(F.col("url"), half))
+        .when(kind.isin("02", "42", "82", "c2"), warc_fixity.warc_record(F.col("url"), F.concat(F.lit("~"), body)))
+    )
+    rows = rows.withColumn("harmed", harmed).select(
+        "page_id",
+        "digest",
+        F.col("length").cast("bigint").alias("length"),
+        F.coalesce(F.sha2("harmed", 256), "digest").alias("b_digest"),
+        F.coalesce(F.octet_length("harmed"), "length").cast("bigint").alias("b_length"),
+        kind.isin("01", "41", "81", "c1").alias("absent"),
+    )
+    archive = stored(warc_fixity.place(rows), "archive")
+    replica = archive.where("not absent").select(
+        "file", "offset", F.col("b_length").alias("length"), F.col("b_digest").alias("digest")
+    )
+    found = warc_fixity.audit(archive.select("file", "offset", "length", "digest"), replica)
+    return archive.join(found.select("file", "offset", "status"), ["file", "offset"], "left").select(
+        "page_id",
+        F.col("file").alias("warc_file"),
+        F.col("offset").alias("record_offset"),
+        F.col("length").alias("n_bytes"),
+        F.coalesce("status", F.lit("ok")).alias("status"),
+    )
+
+
+def op8_url_filter(spark, sf_dir) -> DataFrame:
+    """Rules as the contract has them; the list of URLs comes from pages under listed labels."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    host, path = url_filter.host_and_path("url")
+    listed = pages.select(host.alias("host"), path.alias("path")).where(F.col("host").rlike(LISTED_LABELS))
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return url_filter.judge(pages, rules, listed)
+
+
 QUERIES = {
     "op3_source_mix": op3_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_warc_fixity": op7_warc_fixity,
+    "op8_url_filter": op8_url_filter,
 }
