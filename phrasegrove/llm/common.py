@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from phrasegrove.sources.shared import fresh_path
 
@@ -28,6 +31,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shipped:
+    """A file at a path of the driver, sent to the workers once; its size is fixed."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        with open(path, "rb") as file:
+            content = file.read()
+        self.key = hashlib.sha256(content).hexdigest()
+        self.data = spark.sparkContext.broadcast(content)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -48,30 +61,56 @@ def free_name(taken: Sequence[str], wanted: str) -> str:
     return wanted
 
 
+#: Bytes of a batch's source column that are worked on at a time, about.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``SLICE_BYTES``, so that long texts do not add up."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.column(column).nbytes))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def lists_of(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
+    """The column's arrays as numpy arrays, null read as empty."""
+    lists = batch.column(column)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
+    ends = np.cumsum(sizes)
+    return [flat[end - size : end] for end, size in zip(ends, sizes)]
+
+
 def add_columns(
-    df: DataFrame, column: str, added: str, make: Callable[[list[str]], dict[str, pa.Array]]
+    df: DataFrame,
+    column: str,
+    added: str,
+    make: Callable[[list], dict[str, pa.Array]],
+    as_arrays: bool = False,
 ) -> DataFrame:
-    """``df`` with columns computed from the texts of ``column``, batch by batch.
+    """``df`` with columns computed from the texts (or arrays) of ``column``, batch by batch.
 
     ``added`` is their schema in DDL; a column of the same name is replaced. Rows keep their
     order and their other columns.
     """
-    extra = df.sparkSession.createDataFrame([], added).schema
+    extra = T.StructType.fromDDL(added)
     new = {field.name.lower() for field in extra}
-    kept = [name for name in df.columns if name.lower() not in new]
-    source = df.select(*kept, F.col(column).alias("_text"))
-    schema = type(extra)([*source.select(*kept).schema.fields, *extra.fields])
+    kept = [field for field in df.schema if field.name.lower() not in new]
+    source = free_name([*df.columns, *new], "_source")
+    rows = df.withColumn(source, F.col(column)).select(*(f"`{f.name}`" for f in kept), source)
+    schema = T.StructType([*kept, *extra])
+    read = lists_of if as_arrays else texts_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = make(texts_of(batch, "_text"))
-            arrays = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays(
-                arrays + [made[field.name] for field in extra],
-                names=[*kept, *(field.name for field in extra)],
-            )
-
-    return source.mapInArrow(run, schema)
+        for batch in slices(batches, source):
+            made = make(read(batch, source))
+            arrays = [*batch.columns[:-1], *(made[field.name] for field in extra)]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def running_sum(df: DataFrame, key: str, chunk: str, order: list[Column], value: Column, name: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phrasegrove.llm import exact_dedup, mixing, url_filter, warc_fixity
-from phrasegrove.llm.common import read_table, stored
+from phrasegrove.llm import exact_dedup, mixing, sentencepiece_codec, url_filter, warc_fixity
+from phrasegrove.llm.common import Shipped, read_table, stored
 
 #: The rules of the contract. Fixed values.
 URL_RULES = [
@@ -19,6 +20,19 @@ URL_RULES = [
 LISTED_LABELS = "(^|[.])(cheap-pills|free-bets)[.]"
 
 
+def op2_sentencepiece(spark, sf_dir) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = Shipped(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    ids = sentencepiece_codec.encode(docs, model).drop("text")
+    both = sentencepiece_codec.decode(ids, model)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_source_mix(spark, sf_dir) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -78,6 +92,7 @@ def op8_url_filter(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_source_mix": op3_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_warc_fixity": op7_warc_fixity,
