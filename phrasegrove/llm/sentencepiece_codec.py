@@ -21,6 +21,7 @@ one, so ties and repeated rows need no rule; extra columns are kept.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -32,8 +33,8 @@ from phrasegrove.llm.common import Shipped, add_columns
 
 SPACE = "▁"
 UNKNOWN = " ⁇ "
-#: Chunks whose encodings a worker keeps, and the longest chunk kept.
-MEMO = 200_000
+#: Chunks whose encodings a worker keeps in either half of its memory, and the longest one kept.
+MEMO = 250_000
 MEMO_CHARS = 48
 
 
@@ -63,6 +64,14 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += width
 
 
+def _automaton(names) -> ahocorasick.Automaton:
+    finder = ahocorasick.Automaton()
+    for name in names:
+        finder.add_word(name, len(name))
+    finder.make_automaton()
+    return finder
+
+
 class PieceCodec:
     def __init__(self, model: bytes):
         # Field numbers and piece types of the model format. Fixed values.
@@ -91,12 +100,12 @@ class PieceCodec:
         inside = set("".join(several))
         alone = re.escape("".join(c for c in map(chr, range(256)) if c not in inside))
         self.cut = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone or SPACE}]").findall
-        self.finder = ahocorasick.Automaton()
-        for name in self.ids:
-            self.finder.add_word(name, len(name))
-        self.finder.make_automaton()
+        self.longest = _automaton(self.ids).iter_long
+        self.all_of_several = _automaton(several).iter
         self.fits: dict[tuple[str, str], bool] = {}
+        # What is met again moves from the older half to the newer; a full half replaces the older.
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
         surface = []
         for name, kind in zip(names, kinds):
@@ -138,26 +147,51 @@ class PieceCodec:
         return known
 
     def pieces(self, chunk: str) -> list[str]:
-        """The encoding of a chunk, by backtracking."""
-        options: list[list[int]] = [[i + 1] for i in range(len(chunk))]
-        for last, width in self.finder.iter(chunk):
-            if width > 1:
-                options[last + 1 - width].append(last + 1)
-        failed = bytearray(len(chunk) + 1)
+        """The encoding of a chunk.
+
+        Taking the longest piece at every place, without a look at neighbours, is often the answer
+        already; else the places are tried in order, with the shorter pieces and backtracking.
+        """
+        fits, at, before, taken = self.fits, 0, "", []
+        for last, width in self.longest(chunk):
+            piece = chunk[at : last + 1]
+            if len(piece) != width:
+                break
+            known = fits.get((before, piece))
+            if not (self.compatible(before, piece) if known is None else known):
+                break
+            taken.append(piece)
+            before, at = piece, last + 1
+        return taken if at == len(chunk) else self.backtracked(chunk)
+
+    def backtracked(self, chunk: str) -> list[str]:
+        fits, size = self.fits, len(chunk)
+        options: list[list[int]] = [[i] for i in range(1, size + 1)]
+        for last, width in self.all_of_several(chunk):
+            options[last + 1 - width].append(last + 1)
+        failed = bytearray(size + 1)
         ends: list[int] = []
         at, before = 0, ""
-        while at < len(chunk):
+        while at < size:
             for end in reversed(options[at]):
-                if not failed[end] and self.compatible(before, chunk[at:end]):
+                if failed[end]:
+                    continue
+                piece = chunk[at:end]
+                known = fits.get((before, piece))
+                if self.compatible(before, piece) if known is None else known:
                     ends.append(end)
-                    before, at = chunk[at:end], end
+                    before, at = piece, end
                     break
             else:
                 failed[at] = 1
                 ends.pop()
                 at = ends[-1] if ends else 0
                 before = chunk[ends[-2] if len(ends) > 1 else 0 : at]
-        return [chunk[a:b] for a, b in zip([0, *ends], ends)]
+        start, taken = 0, []
+        for end in ends:
+            taken.append(chunk[start:end])
+            start = end
+        return taken
 
     def _ids(self, piece: str) -> list[int]:
         if piece in self.ids:
@@ -166,26 +200,31 @@ class PieceCodec:
             return [self.unknown]
         return [self.byte_ids[b] for b in piece.encode()]
 
-    def encode_chunk(self, chunk: str) -> bytes:
-        known = self.memo.get(chunk)
-        if known is None:
-            ids = [i for piece in self.pieces(chunk) for i in self._ids(piece)]
-            known = np.array(ids, np.int32).tobytes()
-            if len(chunk) <= MEMO_CHARS:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[chunk] = known
-        return known
+    def _encoded(self, chunk: str) -> bytes:
+        found = self.older.get(chunk)
+        if found is None:
+            ids = self.ids
+            try:
+                numbers = [ids[piece] for piece in self.pieces(chunk)]
+            except KeyError:
+                numbers = [i for piece in self.pieces(chunk) for i in self._ids(piece)]
+            found = array("i", numbers).tobytes()
+        if len(chunk) <= MEMO_CHARS:
+            if len(self.memo) >= MEMO:
+                self.memo, self.older = {}, self.memo
+            self.memo[chunk] = found
+        return found
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
         chunks = self.cut(SPACE + text.replace(" ", SPACE))
-        try:
-            found = b"".join(map(self.memo.__getitem__, chunks))
-        except KeyError:
-            found = b"".join(map(self.encode_chunk, chunks))
-        return np.frombuffer(found, np.int32)
+        found = list(map(self.memo.get, chunks))
+        if None in found:
+            for i, known in enumerate(found):
+                if known is None:
+                    found[i] = self._encoded(chunks[i])
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids."""
