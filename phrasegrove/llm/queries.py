@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phrasegrove.llm import exact_dedup, mixing, sentencepiece_codec, url_filter, warc_fixity
+from phrasegrove.llm import exact_dedup, mixing, sentencepiece_codec, token_counts, url_filter, warc_fixity
 from phrasegrove.llm.common import Shipped, read_table, stored
 
 #: The rules of the contract. Fixed values.
@@ -91,10 +91,23 @@ def op8_url_filter(spark, sf_dir) -> DataFrame:
     return url_filter.judge(pages, rules, listed)
 
 
+def op10_token_counts(spark, sf_dir) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = token_counts.Compiled(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    counted = token_counts.count_tokens(docs, tokenizer)
+    return counted.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 512).alias("over_limit"),
+    )
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_source_mix": op3_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_url_filter": op8_url_filter,
+    "op10_token_counts": op10_token_counts,
 }

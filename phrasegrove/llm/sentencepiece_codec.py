@@ -34,7 +34,7 @@ from phrasegrove.llm.common import Shipped, add_columns
 SPACE = "▁"
 UNKNOWN = " ⁇ "
 #: Chunks whose encodings a worker keeps in either half of its memory, and the longest one kept.
-MEMO = 250_000
+MEMO = 350_000
 MEMO_CHARS = 48
 
 
