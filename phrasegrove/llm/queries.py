@@ -6,7 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phrasegrove.llm import exact_dedup, mixing, sentencepiece_codec, token_counts, url_filter, warc_fixity
+from phrasegrove.llm import (
+    exact_dedup,
+    language_id,
+    mixing,
+    sentencepiece_codec,
+    token_counts,
+    url_filter,
+    warc_fixity,
+)
 from phrasegrove.llm.common import Shipped, read_table, stored
 
 #: The rules of the contract. Fixed values.
@@ -44,6 +52,13 @@ def op5_exact_dedup(spark, sf_dir) -> DataFrame:
     return exact_dedup.exact_dedup(docs.where(old), docs.where(~old)).drop("historical")
 
 
+def op6_language_id(spark, sf_dir) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit(docs)
+    rows = docs.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "text")
+    return language_id.identify(rows, model).drop("text")
+
+
 def op7_warc_fixity(spark, sf_dir) -> DataFrame:
     """Every record of an archive of ``pages``, with what the audit of its replica found.
 
@@ -107,6 +122,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_source_mix": op3_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_language_id": op6_language_id,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_url_filter": op8_url_filter,
     "op10_token_counts": op10_token_counts,
