@@ -124,7 +124,55 @@ from p left join f on p.host = f.host and p.path = f.path
 left join l on p.host = l.host and p.path = l.path
 """
 
+OP1 = r"""
+with d as (
+  select row_number() over () as row, doc_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), p as (
+  select row, unnest(w) as v, unnest(range(len(w))) as i from d
+), g as (
+  select row, i, v, lag(v) over (partition by row order by i) as u from p
+), total as (
+  select count(*) as n from p
+), c1 as (
+  select v, count(*) as c from g group by v
+), c2 as (
+  select u, v, count(*) as c from g where u is not null group by u, v
+), o1 as (
+  select row, v, count(*) as c from g group by row, v
+), o2 as (
+  select row, u, v, count(*) as c from g where u is not null group by row, u, v
+), own as (
+  select row, count(*) as n from g group by row
+), s as (
+  select g.row, coalesce(c2.c - o2.c, 0) as big, c1.c - o1.c as uni, cu.c - ou.c as con,
+    greatest(1, total.n - own.n) as rest, g.u is not null as has
+  from g join c1 on g.v = c1.v join o1 on g.row = o1.row and g.v = o1.v
+    join own on g.row = own.row, total
+    left join c2 on g.u = c2.u and g.v = c2.v
+    left join o2 on g.row = o2.row and g.u = o2.u and g.v = o2.v
+    left join c1 cu on g.u = cu.v left join o1 ou on g.row = ou.row and g.u = ou.v
+), l as (
+  select row,
+    case when big > 0 then ln(big / con)
+         else case when has then ln(0.4::double) else 0 end
+              + case when uni > 0 then ln(uni / rest) else ln(0.4::double) - ln(rest) end end as x,
+    case when big > 0 then 2 when uni > 0 then 1 else 0 end as used
+  from s
+), a as (
+  select row, sum(x) as x, count(*) as n, count(*) filter (used = 2) as b, count(*) filter (used = 1) as u,
+    count(*) filter (used = 0) as z
+  from l group by row
+)
+select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(b, 0)::bigint as n_bigram,
+  coalesce(u, 0)::bigint as n_unigram, coalesce(z, 0)::bigint as n_unseen, round(coalesce(x, 0.0::double), 3) as log_score
+from d left join a on d.row = a.row
+"""
+
 ORACLES = {
+    "op1_lm_scoring": OP1,
     "op3_source_mix": OP3,
     "op5_exact_dedup": OP5,
     "op7_warc_fixity": OP7,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from phrasegrove.llm import (
     exact_dedup,
     language_id,
+    lm_scoring,
     mixing,
     sentencepiece_codec,
     token_counts,
@@ -28,6 +29,19 @@ URL_RULES = [
 LISTED_LABELS = "(^|[.])(cheap-pills|free-bets)[.]"
 
 
+def op1_lm_scoring(spark, sf_dir) -> DataFrame:
+    """Each document against the bigram and unigram counts of all others."""
+    scores = lm_scoring.lm_scores(read_table(spark, sf_dir, "documents"))
+    return scores.select(
+        "doc_id",
+        F.col("words").alias("n_words"),
+        F.col("found_2").alias("n_bigram"),
+        F.col("found_1").alias("n_unigram"),
+        F.col("found_0").alias("n_unseen"),
+        F.round("log_score", 3).alias("log_score"),
+    )
+
+
 def op2_sentencepiece(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = Shipped(spark, public_tokenizers.path("piece_bpe_32k.model"))
@@ -119,6 +133,7 @@ def op10_token_counts(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_source_mix": op3_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
