@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phrasegrove.llm import (
+    embedding_dedup,
     exact_dedup,
     language_id,
     lm_scoring,
@@ -120,6 +121,10 @@ def op8_url_filter(spark, sf_dir) -> DataFrame:
     return url_filter.judge(pages, rules, listed)
 
 
+def op9_embedding_dedup(spark, sf_dir) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     tokenizer = token_counts.Compiled(spark, public_tokenizers.path("byte_bpe_50k.json"))
@@ -140,5 +145,6 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_warc_fixity": op7_warc_fixity,
     "op8_url_filter": op8_url_filter,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_token_counts": op10_token_counts,
 }
