@@ -171,9 +171,45 @@ select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(b, 0)::bigint as n_bi
 from d left join a on d.row = a.row
 """
 
+OP4 = r"""
+with recursive d as (
+  select row_number() over () as row, doc_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select distinct row, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i:i + 4], ' ') end as g
+  from (select row, w, unnest(range(1, greatest(2, len(w) - 3))) as i from d where len(w) > 0)
+), n as (
+  select row, count(*) as n from s group by row
+), sets as (
+  select row, md5(string_agg(g, chr(10) order by g)) as h from s group by row
+), one as (
+  select h, min(row) as row from sets group by h
+), p as (
+  select a.row as a, b.row as b, count(*) as c
+  from s a join s b on a.g = b.g and a.row < b.row
+  where a.row in (select row from one) and b.row in (select row from one)
+  group by all
+), linked as (
+  select a, b from p join n x on a = x.row join n y on b = y.row where 100 * c >= 75 * (x.n + y.n - c)
+), edges as (
+  select a, b from linked union select b, a from linked
+  union select one.row, sets.row from one join sets using (h) where one.row <> sets.row
+  union select sets.row, one.row from one join sets using (h) where one.row <> sets.row
+), reach(a, b) as (
+  select row, row from d
+  union select reach.a, edges.b from reach join edges on reach.b = edges.a
+)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, min(o.doc_id) as component_id
+from d left join n on d.row = n.row join reach on d.row = reach.a join d o on reach.b = o.row
+group by d.row, d.doc_id, n.n
+"""
+
 ORACLES = {
     "op1_lm_scoring": OP1,
     "op3_source_mix": OP3,
+    "op4_jaccard_join": OP4,
     "op5_exact_dedup": OP5,
     "op7_warc_fixity": OP7,
     "op8_url_filter": OP8,

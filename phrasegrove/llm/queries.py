@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from phrasegrove.llm import (
     embedding_dedup,
     exact_dedup,
+    jaccard_join,
     language_id,
     lm_scoring,
     mixing,
@@ -60,6 +61,10 @@ def op3_source_mix(spark, sf_dir) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark, sf_dir) -> DataFrame:
+    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark, sf_dir) -> DataFrame:
     """History is one half of the rows, by a hash of the id; the rest is looked up."""
     docs = read_table(spark, sf_dir, "documents")
@@ -141,6 +146,7 @@ QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_source_mix": op3_source_mix,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_language_id": op6_language_id,
     "op7_warc_fixity": op7_warc_fixity,
