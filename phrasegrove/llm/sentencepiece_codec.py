@@ -34,8 +34,10 @@ from phrasegrove.llm.common import Shipped, add_columns
 SPACE = "▁"
 UNKNOWN = " ⁇ "
 #: Chunks whose encodings a worker keeps in either half of its memory, and the longest one kept.
-MEMO = 350_000
+MEMO = 150_000
 MEMO_CHARS = 48
+#: Pairs of pieces whose compatibility a worker keeps.
+PAIRS = 300_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -140,7 +142,7 @@ class PieceCodec:
         """Whether both pieces come back when their characters are merged anew."""
         known = self.fits.get((left, right))
         if known is None:
-            if len(self.fits) >= 1 << 20:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             known = self.merged(left + right) == ([left, right] if left else [right])
             self.fits[left, right] = known
@@ -278,14 +280,24 @@ def ragged(parts: list[np.ndarray], kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def encode(df: DataFrame, model: Shipped, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """Add ``ids_col``, the texts' token ids; ``model`` is a model file."""
+def encode(
+    df: DataFrame, model: Shipped, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None
+) -> DataFrame:
+    """Add ``ids_col``, the texts' token ids; ``model`` is a model file.
+
+    With ``decoded_col`` the ids are decoded again in the same pass over the rows.
+    """
 
     def make(texts: list[str]) -> dict[str, pa.Array]:
         codec = _codec(model)
-        return {ids_col: ragged([codec.encode(text) for text in texts], pa.int32())}
-
-    return add_columns(df, text_col, f"`{ids_col}` array<int>", make)
+        ids = [codec.encode(text) for text in texts]
+        made = {ids_col: ragged(ids, pa.int32())}
+        if decoded_col:
+            made[decoded_col] = pa.array([codec.decode(i) for i in ids], pa.string())
+        return made
+
+    added = f"`{ids_col}` array<int>" + (f", `{decoded_col}` string" if decoded_col else "")
+    return add_columns(df, text_col, added, make)
 
 
 def decode(df: DataFrame, model: Shipped, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -69,6 +69,8 @@ def test_frame(spark, clashing_docs):
     for r in rows:
         want = LIBRARY.encode(r.text or "")
         assert r.ids == want and r.decoded == LIBRARY.decode(want)
+    fused = sc.encode(docs, model, decoded_col="decoded").collect()
+    assert sorted((repr(r.ids), r.decoded) for r in fused) == sorted((repr(r.ids), r.decoded) for r in rows)
     assert sc.decode(sc.encode(docs.where("false"), model), model).count() == 0
 
 
