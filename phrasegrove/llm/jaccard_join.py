@@ -318,7 +318,11 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``."""
+    """One row per document: ``doc_id, n_shingles, component_id, kept, spot``.
+
+    ``kept`` marks one document of each component, that with the smallest id (repeated rows of
+    one id and text are all marked); ``spot`` is the hash of the text, for joins back.
+    """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     source = source.withColumn("spot", F.xxhash64("text"))
@@ -350,13 +354,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = stored(verified(stored(passing_sketches(pairs, classes), "pairs"), classes, source), "more")
 
     labels = components(links.union(more), "a", "b")
-    named = classes.select("node", F.col("rep.i").alias("i")).join(labels, "node", "left")
+    named = classes.select("node", "rep").join(labels, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("i").alias("component_id"))
-    named = named.join(least, "component").select("node", "component_id")
-    out = rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    least = named.groupBy("component").agg(F.min("rep").alias("least"))
+    named = named.join(least, "component").select("node", "least")
+    out = rows.select("doc_id", "spot", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    stays = F.col("doc_id").eqNullSafe(F.col("least.i")) & (F.col("spot") == F.col("least.s"))
     return out.join(named, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("least.i")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, stays).otherwise(F.lit(True)).alias("kept"),
+        "spot",
     )

@@ -42,14 +42,15 @@ CHUNK_DIGITS = 3
 SLOT_CHUNK = 1 << 14
 
 
-def sized(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
-    """``(doc_id, source, size, spot)``: words of each document and its place in the shuffle."""
+def sized(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", carry=()) -> DataFrame:
+    """``(doc_id, source, size, spot, ...)``: words of each document and its place in the shuffle."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint")
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         size.alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("spot"),
+        *carry,
     )
 
 
@@ -103,9 +104,11 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken``."""
-    rows = stored(sized(docs, id_col, text_col, source_col), "sizes")
+    """One row per document: ``doc_id, size, source_size, target, taken``, and the columns of
+    ``carry``, whose names must differ from those of this operator's steps."""
+    rows = stored(sized(docs, id_col, text_col, source_col, carry), "sizes")
     planned = targets(rows, weights, budget, repeats)
     sid = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     # The words that the mix holds by target, as whole numbers that the schedule can cut.
@@ -124,7 +127,7 @@ def mix(
 
     # The line of each source, cut into blocks.
     wide = rows.join(plan.select("source", "sid"), rows.source.eqNullSafe(plan.source)).select(
-        "doc_id", "size", "spot", "sid", F.substring("spot", 1, CHUNK_DIGITS).alias("chunk")
+        "doc_id", "size", "spot", "sid", F.substring("spot", 1, CHUNK_DIGITS).alias("chunk"), *carry
     )
     lined = running_sum(wide, "sid", "chunk", [F.col("spot"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
 
@@ -162,5 +165,6 @@ def mix(
             "source_size",
             "target",
             F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+            *carry,
         )
     )

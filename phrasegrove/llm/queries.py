@@ -61,7 +61,7 @@ def op3_source_mix(spark, sf_dir) -> DataFrame:
 
 
 def op4_jaccard_join(spark, sf_dir) -> DataFrame:
-    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents")).drop("kept", "spot")
 
 
 def op5_exact_dedup(spark, sf_dir) -> DataFrame:

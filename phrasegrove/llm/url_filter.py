@@ -52,13 +52,18 @@ def build_filter(keys: DataFrame) -> DataFrame:
     return rows.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)))
 
 
-def passing(rows: DataFrame, bloom: DataFrame) -> DataFrame:
-    """The rows whose ``key`` may be in the filter."""
+def may_hold(rows: DataFrame, bloom: DataFrame, out: str) -> DataFrame:
+    """Add ``out``: whether the row's ``key`` may be in the filter; false is certain."""
     masks = _masks("key")
-    test = [f"(w{i} & m{i}) = m{i}" for i in range(WORDS)]
+    test = " and ".join(f"(w{i} & m{i}) = m{i}" for i in range(WORDS))
     found = rows.withColumns({f"m{i}": m for i, m in enumerate(masks)}).withColumn("block", _block("key"))
-    found = found.join(F.broadcast(bloom), "block").where(" and ".join(test))
-    return found.select(*rows.columns)
+    found = found.join(F.broadcast(bloom), "block", "left")
+    return found.select(*rows.columns, F.coalesce(F.expr(test), F.lit(False)).alias(out))
+
+
+def passing(rows: DataFrame, bloom: DataFrame) -> DataFrame:
+    """The rows whose ``key`` may be in the filter."""
+    return may_hold(rows, bloom, "_held").where("_held").drop("_held")
 
 
 def candidates(urls: DataFrame, lengths: list[int]) -> DataFrame:
