@@ -17,9 +17,11 @@ than d + 1 words takes part once more with another hash, until it has enough; an
 pair of such documents would have met before. So no linked pair is lost.
 
 Verification. Members of a signature's group are compared with one of them; links merge them into
-components, and only members of different components are compared pairwise in a second round.
-A pair is first compared by bit sketches of twice its size in bits, and what passes by the
-sets themselves, made again from the few texts that need it.
+components. In a second round members of different components meet; there a hub stands for the
+members linked with it, and two hubs that differ by more than their radii and a link allow need no
+closer look (differences obey the triangle inequality). A pair is first compared by bit sketches
+of twice its size in bits, and what passes by the sets themselves, made again from the few
+texts that need it.
 
 Equal sets are one node from the start. Defined cases: texts without words have an empty set and
 link with nothing; fewer than five words are one shingle; a null text has no words; a null id takes
@@ -29,7 +31,6 @@ documents of their own; an empty table gives an empty result; extra columns are
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,18 +39,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phrasegrove.llm.common import WORD, from_planes, mix64, planes, slices, stored, texts_of
+from phrasegrove.llm.common import from_planes, mix64, planes, slices, stored, texts_of
 from phrasegrove.llm.components import components
 from phrasegrove.llm.url_filter import build_filter, passing
 
-SPLIT = re.compile(WORD).findall
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SHINGLE = 5
 #: Characters of the corpus per bucket of signatures.
 BUCKET_CHARS = 12_000_000
 #: Documents of the sample that steers the order of words, and how many of them make a word common.
-SAMPLE_DOCS = 3000
+SAMPLE_DOCS = 8000
 COMMON = 3
+#: Rows of hubs that a task compares at a time, about; a group is not cut.
+HUB_ROWS = 20_000
+#: Words whose hashes a worker keeps.
+WORDS_KEPT = 300_000
 #: Least number of words of a sketch.
 LEAST_WORDS = 64
 
@@ -70,22 +73,36 @@ def differ(a: int, b: int) -> int:
     return (a + b) // 7
 
 
+class WordHashes(dict):
+    """Hashes of words; a worker keeps a bounded number of them."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        made = self[word] = xxhash.xxh64_intdigest(word)
+        return made
+
+
+_hash_of = WordHashes().__getitem__
+
+
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
-    index: dict[str, int] = {}
-    numbers = []
-    for text in texts:
-        words = SPLIT(text.translate(LOWER))
-        numbers.append(np.array([index.setdefault(w, len(index)) for w in words], np.int64))
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in index], np.uint64)
+    """Sorted distinct shingle hashes of each text.
+
+    The lower() and split() of bytes know A-Z and the contract's white space, and no other.
+    """
     out = []
-    for number in numbers:
-        words = hashes[number] if len(number) else np.zeros(0, np.uint64)
+    for text in texts:
+        split = text.encode().lower().split()
+        words = np.fromiter(map(_hash_of, split), np.uint64, len(split))
         width = min(SHINGLE, len(words))
         value = np.zeros(len(words) - width + 1 if width else 0, np.uint64)
         for k in range(width):
             value = value * np.uint64(0x9E3779B97F4A7C15) + words[k : len(words) - width + 1 + k]
-        out.append(np.unique(mix64(value + np.uint64(width))))
+        value.sort()
+        distinct = np.append(True, value[1:] != value[:-1])[: len(value)]
+        # The hash is scrambled when sketches are made; here it only has to tell shingles apart.
+        out.append(value[distinct] ^ np.uint64(width))
     return out
 
 
@@ -97,27 +114,52 @@ def band_of(size: int) -> int:
     return int(np.searchsorted(LOWS, size, side="right")) - 1
 
 
-def _parts(shingles: np.ndarray, band: int, turn: int, words: int) -> np.ndarray:
-    spread = mix64(shingles ^ np.uint64(band * 1000 + turn + 1))
-    return ((spread >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)).astype(np.int64)
+def words_in(band) -> np.ndarray:
+    return np.maximum(LEAST_WORDS, LOWS[np.asarray(band) + 1])
+
+
+def bits_in(band) -> np.ndarray:
+    """Bits of a band's parity sketch: whole words of 64, about twice the largest size."""
+    return 64 * -(-2 * LOWS[np.asarray(band) + 1] // 64)
+
+
+def _spread(shingles: np.ndarray, band, turn: int) -> np.ndarray:
+    seed = np.atleast_1d(band).astype(np.uint64) * np.uint64(1000) + np.uint64(turn + 1)
+    return mix64(shingles ^ (seed * np.uint64(0x9E3779B97F4A7C15)))
+
+
+def _place(spread: np.ndarray, room) -> np.ndarray:
+    return ((spread >> np.uint64(32)) * np.asarray(room, np.uint64) >> np.uint64(32)).astype(np.int64)
 
 
-def sketch_words(shingles: np.ndarray, band: int, turn: int) -> np.ndarray:
-    """Signatures of the words that are not empty: hashes of band, place and content."""
-    words = max(LEAST_WORDS, int(LOWS[band + 1]))
-    part = _parts(shingles, band, turn, words)
-    sketch = np.zeros(words, np.uint64)
-    np.bitwise_xor.at(sketch, part, shingles)
-    full = np.unique(part)
-    place = np.uint64(((band * 1000 + turn) << 40) & (2**64 - 1)) + full.astype(np.uint64)
-    return mix64(sketch[full] ^ mix64(place))
+def sketch_words(sets: list[np.ndarray], bands: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the words that are not empty, and whose they are.
+
+    A signature is a hash of the band, the word's place and its content. Every set has the band
+    of its sketch.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    room = words_in(bands)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    spread = _spread(every, bands[owner], turn)
+    start = np.cumsum(room) - room
+    at = start[owner] + _place(spread, room[owner])
+    total = int(room.sum())
+    sketch = np.zeros(total, np.uint64)
+    np.bitwise_xor.at(sketch, at, spread)
+    full = np.flatnonzero(np.bincount(at, minlength=total))
+    whose = np.repeat(np.arange(len(sets)), room)[full]
+    place = (full - start[whose]).astype(np.uint64)
+    tag = (bands[whose].astype(np.uint64) * np.uint64(1000) + np.uint64(turn)) << np.uint64(44)
+    return mix64(sketch[full] ^ mix64(tag ^ place)), whose
 
 
 def sketch_bits(shingles: np.ndarray, band: int) -> bytes:
     """Parities of the shingles that fall on each bit."""
-    bits = 64 * -(-2 * int(LOWS[band + 1]) // 64)
-    part = _parts(shingles, band, 999, bits)
-    return np.packbits((np.bincount(part, minlength=bits) & 1).astype(bool)).tobytes()
+    bits = int(bits_in(band))
+    at = _place(_spread(shingles, band, 998), bits)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool)).tobytes()
 
 
 def roles(size: int) -> list[tuple[int, int]]:
@@ -131,23 +173,46 @@ def roles(size: int) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(shingles: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
-    """The words by which a set meets its partners; ``common`` has sorted words to avoid."""
-    out = []
-    for band, most in roles(len(shingles)):
-        for turn in range(999):
-            words = sketch_words(shingles, band, turn)
-            if len(words) > most + 1:
-                rank = mix64(words) >> np.uint64(1)
-                if common is not None and len(common):
-                    at = np.minimum(np.searchsorted(common, words), len(common) - 1)
-                    rank |= (common[at] == words).astype(np.uint64) << np.uint64(63)
-                out.append(words[np.argpartition(rank, most)[: most + 1]])
-            else:
-                out.append(words)
-            if len(words) > most:
-                break
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+class Frequent:
+    """Sorted words that several sets of the sample share, with the number of sets."""
+
+    def __init__(self, words=(), counts=()):
+        self.words = np.asarray(words, np.uint64)
+        self.counts = np.asarray(counts, np.uint64)
+
+    def rank(self, words: np.ndarray) -> np.ndarray:
+        """The order in which words are taken: by the sample's count, then at random."""
+        rank = mix64(words) >> np.uint64(16)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+            known = self.words[at] == words
+            rank[known] |= np.minimum(self.counts[at[known]], np.uint64(0xFFFF)) << np.uint64(48)
+        return rank
+
+
+def signatures(sets: list[np.ndarray], frequent: Frequent = Frequent()) -> tuple[np.ndarray, np.ndarray]:
+    """The words by which sets meet their partners, and whose they are."""
+    found, owners = [], []
+    open_ = [(i, band, most) for i, s in enumerate(sets) for band, most in roles(len(s))]
+    turn = 0
+    while open_:
+        bands = np.array([band for _, band, _ in open_], np.int64)
+        words, whose = sketch_words([sets[i] for i, _, _ in open_], bands, turn)
+        rank = frequent.rank(words)
+        bounds = np.searchsorted(whose, np.arange(len(open_) + 1))
+        again = []
+        for k, (i, band, most) in enumerate(open_):
+            mine = words[bounds[k] : bounds[k + 1]]
+            if len(mine) > most + 1:
+                mine = mine[np.argpartition(rank[bounds[k] : bounds[k + 1]], most)[: most + 1]]
+            elif len(mine) <= most:
+                again.append((i, band, most))
+            found.append(mine)
+            owners.append(np.full(len(mine), i))
+        open_, turn = again, turn + 1
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(owners)
 
 
 def profiles(docs: DataFrame) -> DataFrame:
@@ -174,23 +239,25 @@ def profiles(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, spot bigint, n bigint, node bigint, upper binary, lower binary")
 
 
-def common_words(docs: DataFrame) -> np.ndarray:
-    """Signatures that several different sets of a bounded sample share: at most as many as the
-    sample has words. Only the order in which words are taken depends on them."""
-    share = min(1.0, 1.2 * SAMPLE_DOCS / max(1, docs.count()))
-    sampled = docs.where(F.abs(F.col("spot") % 1_000_000) < int(share * 1_000_000)).limit(SAMPLE_DOCS)
+def frequent_words(docs: DataFrame) -> Frequent:
+    """Words of several different sets of a bounded sample, at most a third of the sample's words.
+    Only the order in which words are taken depends on them."""
+    share = min(1.0, 1.1 * SAMPLE_DOCS / max(1, docs.count()))
+    sampled = docs.where(F.pmod("spot", F.lit(1_000_000)) < int(share * 1_000_000)).limit(SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            for s in shingle_sets(texts_of(batch, "text")):
-                found = [sketch_words(s, band, 0) for band, _ in roles(len(s))]
-                words = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-                node = pa.array(np.full(len(words), node_of(s)), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(words), node], names=["word", "node"])
+            sets = shingle_sets(texts_of(batch, "text"))
+            open_ = [(s, band) for s in sets for band, _ in roles(len(s))]
+            words, whose = sketch_words([s for s, _ in open_], np.array([b for _, b in open_], np.int64), 0)
+            nodes = np.array([node_of(s) for s, _ in open_], np.int64)[whose]
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(nodes, pa.int64())], names=["word", "node"])
 
     words = sampled.select("text").mapInArrow(run, "word bigint, node bigint")
-    words = words.distinct().groupBy("word").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= COMMON)
-    return np.sort(np.array([r.word for r in words.select("word").collect()], np.int64).view(np.uint64))
+    counted = words.groupBy("word").agg(F.countDistinct("node").alias("k")).where(F.col("k") >= COMMON).toArrow()
+    word = counted["word"].to_numpy().view(np.uint64)
+    order = np.argsort(word)
+    return Frequent(word[order], counted["k"].to_numpy()[order])
 
 
 def signature_rows(docs: DataFrame, buckets: int, common) -> DataFrame:
@@ -200,10 +267,8 @@ def signature_rows(docs: DataFrame, buckets: int, common) -> DataFrame:
         for batch in slices(batches, "text"):
             sets = shingle_sets(texts_of(batch, "text"))
             nodes, at = np.unique([node_of(s) for s in sets], return_index=True)
-            found = [signatures(sets[i], common.value) for i in at]
+            words, owner = signatures([sets[i] for i in at], common.value)
             size_of = np.array([len(sets[i]) for i in at], np.int64)
-            words = np.concatenate(found)
-            owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
             order = np.argsort(words)
             words, owner = words[order], owner[order]
             bucket = ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -260,27 +325,100 @@ def shared_words(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(run, "g bigint, node bigint, n bigint").distinct()
 
 
+def apart_at_least(one: dict, two: dict) -> int:
+    """A lower bound of the shingles in which two sets differ, by the sketches of a band that both
+    have, or else by their sizes. Sets are rows with ``n``, ``upper`` and ``lower``."""
+    i, j = band_of(one["n"]), band_of(two["n"])
+    if abs(i - j) > 1:
+        return abs(one["n"] - two["n"])
+    x, y = one["upper" if i <= j else "lower"], two["upper" if j <= i else "lower"]
+    return int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum())
+
+
 def passing_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose bit sketches allow a link; ``a`` has the smaller set."""
-    one = classes.select(F.col("node").alias("a"), F.col("n").alias("size_a"), F.col("upper").alias("bits_a"))
-    two = classes.select(F.col("node").alias("b"), F.col("n").alias("size_b"), "upper", "lower")
-    rows = pairs.join(one, "a").join(two, "b")
+    """The pairs ``(a, b)`` whose sizes and bit sketches allow a link."""
+    for side in "ab":
+        columns = [F.col(c).alias(f"{c}_{side}") for c in ("n", "upper", "lower")]
+        pairs = pairs.join(classes.select(F.col("node").alias(side), *columns), side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy()
-            band_a = np.searchsorted(LOWS, a, side="right")
-            band_b = np.searchsorted(LOWS, b, side="right")
-            rows = zip(*(batch.column(c).to_pylist() for c in ("bits_a", "upper", "lower")))
             keep = np.zeros(batch.num_rows, bool)
-            for i, (x, upper, lower) in enumerate(rows):
-                if 3 * b[i] <= 4 * a[i]:  # so the smaller set's band is its partner's, or the one below
-                    y = upper if band_a[i] == band_b[i] else lower
-                    apart = np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)
-                    keep[i] = np.bitwise_count(apart).sum() <= differ(int(a[i]), int(b[i]))
+            sides = [
+                [dict(zip(("n", "upper", "lower"), row)) for row in zip(*(batch.column(f"{c}_{x}").to_pylist() for c in ("n", "upper", "lower")))]
+                for x in "ab"
+            ]
+            for i, (x, y) in enumerate(zip(*sides)):
+                if 3 * max(x["n"], y["n"]) <= 4 * min(x["n"], y["n"]):
+                    keep[i] = apart_at_least(x, y) <= differ(x["n"], y["n"])
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return rows.select("a", "b", "size_a", "size_b", "bits_a", "upper", "lower").mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(run, "a bigint, b bigint")
+
+
+def hubs_of(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, hub, radius)`` of the linked nodes: the partner with the most links, or the node
+    itself if it has more, and a bound of the shingles in which they differ."""
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+    best = both.join(degree.withColumnRenamed("a", "b"), "b").groupBy("a").agg(
+        F.max(F.struct("degree", "b")).alias("top")
+    )
+    best = best.join(degree, "a")
+    own = F.struct("degree", F.col("a").alias("b")) > F.col("top")
+    chosen = best.select(F.col("a").alias("node"), F.when(own, F.col("a")).otherwise(F.col("top.b")).alias("hub"))
+    size = classes.select("node", "n")
+    chosen = chosen.join(size, "node").join(size.select(F.col("node").alias("hub"), F.col("n").alias("m")), "hub")
+    radius = F.when(F.col("node") == F.col("hub"), F.lit(0)).otherwise(F.floor((F.col("n") + F.col("m")) / 7))
+    return chosen.select("node", "hub", radius.cast("bigint").alias("radius"))
+
+
+def near_hubs(members: DataFrame) -> DataFrame:
+    """``(h, k)``: hubs of one group and different components that may have linked members.
+
+    ``members`` has ``g, hub, component, radius, most, n, upper, lower``: a hub's set, and the largest
+    radius and size of what it stands for. If hubs differ in more shingles than both radii and a link
+    allow, so do any members, as the difference of sets obeys the triangle inequality.
+    """
+    parts = max(1, members.count() // HUB_ROWS)
+
+    def run(table: pa.Table) -> pa.Table:
+        found = set()
+        groups: dict[int, list[dict]] = {}
+        for row in table.to_pylist():
+            groups.setdefault(row["g"], []).append(row)
+        for rows in groups.values():
+            found.update(_near_pairs(rows))
+        pairs = sorted(found)
+        return pa.table({"h": pa.array([h for h, _ in pairs], pa.int64()), "k": pa.array([k for _, k in pairs], pa.int64())})
+
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("g"), F.lit(parts)))
+    return dealt.groupBy("part").applyInArrow(run, "h bigint, k bigint").distinct()
+
+
+def _near_pairs(rows: list[dict]) -> Iterator[tuple[int, int]]:
+    """The pairs of one group, compared sketch by sketch: all rows with a band's sketch at once."""
+    rows.sort(key=lambda r: (r["n"], r["hub"]))
+    bands = np.array([band_of(r["n"]) for r in rows])
+    part, radius, most = (np.array([r[c] for r in rows]) for c in ("component", "radius", "most"))
+    hub = [r["hub"] for r in rows]
+    for band in np.unique(bands):
+        own, above = np.flatnonzero(bands == band), np.flatnonzero(bands == band + 1)
+        sketches = [rows[i]["upper"] for i in own] + [rows[i]["lower"] for i in above]
+        at = np.concatenate([own, above])
+        matrix = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(at), -1)
+        for x in range(len(own)):
+            others = at[x + 1 :]
+            least = np.bitwise_count(matrix[x + 1 :] ^ matrix[x]).sum(axis=1)
+            room = radius[others] + radius[own[x]] + (most[others] + most[own[x]]) // 7
+            for y in others[(least <= room) & (part[others] != part[own[x]])]:
+                yield hub[own[x]], hub[y]
+        # Hubs further apart than neighbouring bands are only held against each other by size.
+        for y in np.flatnonzero(bands > band + 1):
+            gap = rows[y]["n"] - np.array([rows[x]["n"] for x in own])
+            room = radius[y] + radius[own] + (most[y] + most[own]) // 7
+            for x in own[(gap <= room) & (part[own] != part[y])]:
+                yield hub[x], hub[y]
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -335,7 +473,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, -(-chars // BUCKET_CHARS))
-    common = spark.sparkContext.broadcast(common_words(source))
+    common = spark.sparkContext.broadcast(frequent_words(source))
     groups = stored(shared_words(signature_rows(source, buckets, common)), "groups")
 
     # First round: all members of a group against one of them.
@@ -343,14 +481,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = groups.join(heads, "g").where("node <> head.node").select(F.col("head.node").alias("a"), F.col("node").alias("b"))
     tried = stored(passing_sketches(star.distinct(), classes), "tried")
     links = stored(verified(tried, classes, source), "links")
-    # Second round: members of a group that are still in different components.
+    # Second round: members of a group that are still in different components, hub against hub.
     labels = components(links, "a", "b")
-    member = groups.join(labels, "node", "left").select("g", "node", "n", F.coalesce("component", "node").alias("component"))
+    known = labels.join(hubs_of(links, classes), "node", "left")
+    member = groups.join(known, "node", "left").select(
+        "g",
+        "node",
+        "n",
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce("hub", "node").alias("hub"),
+        F.coalesce("radius", F.lit(0)).alias("radius"),
+    )
     mixed = member.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("g")
     member = stored(member.join(mixed, "g"), "members")
-    other = member.select("g", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("k"))
-    pairs = member.join(other, "g").where("component <> k and struct(n, node) < struct(m, b) and 3 * m <= 4 * n")
-    pairs = pairs.select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti")
+    per_hub = member.groupBy("g", "hub", "component").agg(F.max("radius").alias("radius"), F.max("n").alias("most"))
+    sketches = classes.select(F.col("node").alias("hub"), "n", "upper", "lower")
+    near = stored(near_hubs(stored(per_hub.join(sketches, "hub"), "hubs")), "near")
+    spokes = member.select("hub", "node", "n", "component").distinct()
+    one = spokes.select(F.col("hub").alias("h"), F.col("node").alias("a"), F.col("n").alias("size_a"), F.col("component").alias("x"))
+    two = spokes.select(F.col("hub").alias("k"), F.col("node").alias("b"), F.col("n").alias("size_b"), F.col("component").alias("y"))
+    pairs = near.join(one, "h").join(two, "k").where("x <> y and 3 * greatest(size_a, size_b) <= 4 * least(size_a, size_b)")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = pairs.join(done, ["a", "b"], "left_anti")
     more = stored(verified(stored(passing_sketches(pairs, classes), "pairs"), classes, source), "more")
 
     labels = components(links.union(more), "a", "b")

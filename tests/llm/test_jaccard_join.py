@@ -126,11 +126,14 @@ def test_linked_sets_share_a_signature(monkeypatch, words):
         pool = rng.permutation(pool)[: a + b - both]
         x, y = np.sort(pool[:a]), np.sort(pool[a - both :])
         assert 4 * both >= 3 * (a + b - both)
-        shared = np.intersect1d(jj.signatures(x), jj.signatures(y))
+        mine, theirs = (jj.signatures([s])[0] for s in (x, y))
+        shared = np.intersect1d(mine, theirs)
         assert len(shared)
-        # Whatever is held to be common, the pair still meets.
-        common = np.sort(rng.choice(np.concatenate([shared, jj.signatures(x)]), 1 + len(shared) // 2))
-        assert len(np.intersect1d(jj.signatures(x, common), jj.signatures(y, common)))
+        # Whatever is held to be frequent, the pair still meets.
+        words = np.unique(rng.choice(np.concatenate([shared, mine]), 1 + len(shared) // 2))
+        frequent = jj.Frequent(words, rng.integers(3, 9, len(words)))
+        both = jj.signatures([x, y], frequent)
+        assert len(np.intersect1d(both[0][both[1] == 0], both[0][both[1] == 1]))
 
 
 def test_bit_sketches_bound_the_difference():
