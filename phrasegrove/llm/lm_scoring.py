@@ -21,7 +21,6 @@ rows are documents of their own; an empty table gives an empty result; extra col
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,17 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phrasegrove.llm.common import WORD, from_planes, mix64, planes, slices, stored, texts_of
+from phrasegrove.llm.common import from_planes, mix64, planes, slices, stored, texts_of
 
-SPLIT = re.compile(WORD).findall
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Characters of a block (a longer text is one of its own), and of the corpus per bucket.
 BLOCK_CHARS = 8_000_000
 BUCKET_CHARS = 8_000_000
 
 
-def split_words(text: str) -> list[str]:
-    return SPLIT(text.translate(LOWER))
+def split_words(text: bytes) -> list[bytes]:
+    """The lower() and split() of bytes know A-Z and the contract's white space, and no other."""
+    return text.lower().split()
 
 
 def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -72,7 +70,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 pa.array([ids], pa.list_(kind)),
                 pa.array([[len(r) for r in raw]], pa.list_(pa.int64())),
                 pa.array([held], pa.int64()),
-                pa.array([sum(len(SPLIT(t)) for t in texts)], pa.int64()),
+                pa.array([sum(len(r.split()) for r in raw)], pa.int64()),
                 pa.array([squeeze.compress(b"".join(raw))], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, names=schema.names)
@@ -99,10 +97,10 @@ class Exploded:
     def __init__(self, sizes, texts: bytes, order: int):
         raw = zstandard.ZstdDecompressor().decompress(texts)
         ends = np.cumsum(sizes, dtype=np.int64) if len(sizes) else np.zeros(0, np.int64)
-        index: dict[str, int] = {}
+        index: dict[bytes, int] = {}
         lengths, numbers = [], []
         for end, size in zip(ends, sizes):
-            words = split_words(raw[end - size : end].decode())
+            words = split_words(raw[end - size : end])
             lengths.append(len(words))
             numbers.append(np.array([index.setdefault(w, len(index)) for w in words], np.int64))
         self.lengths = np.array(lengths, np.int64)
