@@ -223,8 +223,12 @@ def fit(docs: DataFrame, sample: Sample = Sample(), id_col="doc_id", text_col="t
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.substring(text_col, 1, sample.chars).alias("text"), F.col(lang_col).cast("string").alias("lang"), spot.alias("spot")
     )
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("spot", "text"))
-    taken = rows.withColumn("place", place).where(F.col("place") <= sample.docs).select("text", "lang").collect()
+    # First within a 64th of a language, so that no task gets what all tasks hold of one.
+    for keys in (["lang", "piece"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("spot", "text"))
+        rows = rows.withColumn("piece", F.pmod("spot", F.lit(64))).withColumn("place", place)
+        rows = rows.where(F.col("place") <= sample.docs).select("text", "lang", "spot")
+    taken = rows.select("text", "lang").collect()
     return learn([(r.text, r.lang) for r in taken], sample)
 
 
