@@ -108,6 +108,21 @@ def level_wcss(cells: str, group: str) -> str:
                 from {cells} group by {group}, d))"""
 
 
+RAWS = """
+raws as (
+  select cast(doc_id as varchar) as id, text as frase from documents
+  union all select cast(doc_id as varchar), text from documents where source in ('src1', 'src2')
+  union all select null, text from documents where source = 'src3'),
+vecs as (select cast(vec_id as varchar) as id from embeddings),
+fresh_raws as (select * from raws where id is null or id not in (select id from vecs))"""
+
+PROMPT_TEXTS = " union all ".join(
+    f"select {level} as nivel, {sql_text(SYSTEM_TEXT[level])} as system_text, "
+    f"{sql_text(USER_TEXT[level])} as user_text"
+    for level in (1, 2, 3)
+)
+
+
 ORACLES = {
     "scan_day_filter": f"""
 select event_id, user_id, event_type, value from events where cast(ts as date) = {DAY}""",
@@ -124,15 +139,15 @@ union all select 'conversations', count(*) from conversations
 union all select 'embeddings', count(*) from embeddings
 union all select 'events', count(*) from events""",
     "existing_ids": "select distinct cast(vec_id as varchar) as id from embeddings",
-    "new_phrases": f"with {FRESH} select id, frase from fresh",
+    "new_phrases": f"with {RAWS} select id, frase from fresh_raws",
     "new_phrases_first_run": f"with {DOCS} select id, frase from docs",
     "embedding_reconcile": f"""
-with {FRESH}
-select (select count(*) from docs) as total_raw,
-       (select count(*) from docs where id in (select id from stored)) as already_embedded,
-       (select count(*) from fresh) as new_phrases,
-       (select count(*) from stored) as existing_ids,
-       (select count(*) from stored) + (select count(*) from fresh) as cumulative""",
+with {RAWS}
+select (select count(*) from raws) as total_raw,
+       (select count(*) from raws where id in (select id from vecs)) as already_embedded,
+       (select count(*) from fresh_raws) as new_phrases,
+       (select count(*) from vecs) as existing_ids,
+       (select count(*) from vecs) + (select count(*) from fresh_raws) as cumulative""",
     "phrase_batches": f"""
 with {DOCS}
 select id, cast(floor((row_number() over (order by substr(md5(id), 1, 3), id) - 1) / 500)
@@ -197,15 +212,22 @@ select k, round(inertia, 6) as inertia, round(curvature, 6) + 0.0 as curvature,
     "assign_hierarchy": f"""
 with {ASSIGNED} select id, cluster_n1, cluster_n2, cluster_n3 from h""",
     "embedding_quality": """
-with e as (select len(embedding) as n_dims,
+with given as (
+  select embedding from embeddings
+  union all
+  select case label when 0 then embedding[1:63] when 2 then list_append(embedding[1:63], 'nan'::float)
+         when 3 then list_append(embedding[1:63], null::float) end
+  from embeddings where label in (0, 1, 2, 3)),
+e as (select len(embedding) as n_dims,
   coalesce(len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or isnan(x))) = 0,
-           false) as valid from embeddings)
+           false) as valid from given)
 select cast(n_dims as integer) as n_dims, count(*) as n_rows,
        count(*) filter (where valid) as n_valid, count(*) filter (where not valid) as n_invalid
 from e group by 1""",
     "assignment_quality": f"""
 with {ASSIGNED}
-select count(*) as n_rows, count(*) filter (where cluster_n1 is null) as n_unassigned,
+select count(*) + (select count(*) from embeddings where label in (0, 1, 2, 3)) as n_rows,
+       (select count(*) from embeddings where label in (0, 1, 2, 3)) as n_unassigned,
        min(cluster_n1) as min_cluster, max(cluster_n1) as max_cluster,
        count(distinct cluster_n1) as n_clusters from h""",
     "run_metrics": f"""
@@ -232,9 +254,9 @@ with {SAMPLES},
 g as (select cluster_n1 as cluster_id, count(frase) as n,
              string_agg('- ' || frase, chr(10) order by position) as bullets
       from s group by 1)
-select cluster_id, 1 as nivel, n as n_phrases, {sql_text(SYSTEM_TEXT[1])} as system_prompt,
-       replace({sql_text(USER_TEXT[1])}, '%d', n::varchar) || chr(10) || chr(10)
-         || coalesce(bullets, '') as user_prompt from g""",
+select cluster_id, nivel, n as n_phrases, system_text as system_prompt,
+       replace(user_text, '%d', n::varchar) || chr(10) || chr(10)
+         || coalesce(bullets, '') as user_prompt from g, ({PROMPT_TEXTS})""",
     "parse_name_json": f"""
 with r as (select event_id, event_type in ('purchase', 'signup') as ok, event_type, user_id
            from events)
@@ -264,6 +286,30 @@ from h left join wide using (cluster_n1)""",
     "model_roundtrip": "select count(*) as n_rows, cast(0 as bigint) as n_differ from embeddings",
     "stream_assign": f"""
 with {ASSIGNED} select id, cluster_n1, cluster_n2, cluster_n3 from h""",
+    "pca_project": """
+select count(*) as n_rows, 16 as n_axes, count(*) filter (where embedding is null) as n_differ,
+       0 as n_crooked from embeddings""",
+    "train_level": """
+select k, k as k_found, (select count(*) from embeddings) as n, 0::bigint as n_not_nearest,
+       true as inertia_agrees from (select unnest([2, 5, 10, 20]) as k)""",
+    "train_hierarchy": """
+select count(*) as n_rows, count(*) filter (where embedding is null) as n_unassigned,
+       0::bigint as n_split, true as mapped_all from embeddings""",
+    "k_sweep": """
+select k, true as elbow_agrees, true as inertia_falls, true as has_silhouette
+from (select unnest([2, 5, 10, 20]) as k)""",
+    "k_sweep_metrics": """
+select 'sweep' as run_id, k as k_n1, 5 as n_filled, 8 as n_null
+from (select unnest([2, 5, 10, 20]) as k)""",
+    "job_training": """
+select part, n::bigint as n, 0::bigint as n_bad
+from (values ('names_1', 20), ('names_2', 8), ('names_3', 3), ('mapping', 20), ('metrics', 10)) t(part, n)""",
+    "job_assignment": """
+with new_docs as (
+  select count(*) as n from documents where doc_id not in (select vec_id from embeddings)),
+damaged as (select count(*) as n from embeddings where label in (0, 2, 3))
+select new_docs.n + damaged.n as n_in, new_docs.n as n_out, damaged.n as n_quarantined,
+       0::bigint as n_unassigned, 0::bigint as n_unnamed from new_docs, damaged""",
     "job_embedding": f"""
 with {FRESH}
 select id, 64 as n_dims, date '2024-01-14' as day from stored

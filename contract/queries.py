@@ -8,11 +8,13 @@ phrases, ``embeddings`` for stored vectors, ``events`` for rows of many days. Th
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 from functools import partial
 
+import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phrasegrove import schemas
@@ -72,9 +74,33 @@ def vectors(spark, sf_dir):
     )
 
 
+def with_damage(rows):
+    """The vectors, and again those of labels 0 to 3: cut short, null, with a NaN, with a null."""
+    size = F.size("embedding")
+    first = F.slice("embedding", 1, size - 1)
+    damaged = (
+        F.when(F.col("label") == 0, first)
+        .when(F.col("label") == 2, F.concat(first, F.array(F.lit(float("nan")).cast("float"))))
+        .when(F.col("label") == 3, F.concat(first, F.array(F.lit(None).cast("float"))))
+    )
+    broken = rows.where(F.col("label").isin(0, 1, 2, 3))
+    broken = broken.withColumn("id", F.concat(F.lit("x"), "id")).withColumn("embedding", damaged)
+    return rows.unionByName(broken)
+
+
+def raw_with_copies(spark, sf_dir):
+    """The raw phrases, those of two sources twice, and those of one again without an id."""
+    given = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("frase"), "source"
+    )
+    twice = given.where(F.col("source").isin("src1", "src2"))
+    nameless = given.where("source = 'src3'").withColumn("id", F.lit(None).cast("string"))
+    return given.unionByName(twice).unionByName(nameless).drop("source")
+
+
 def label_levels(spark, sf_dir):
     """Centroids of the labels, of the labels' remainders by 4, and of those by 2."""
-    n1 = pin(moments.centroids(vectors(spark, sf_dir), "label"))
+    n1 = pin(moments.centroids(vectors(spark, sf_dir), "label", dims=DIMS))
     n2 = pin(moments.centroids(n1.withColumn("g", F.col("cluster_id") % 4), "g", "centroid"))
     n3 = pin(moments.centroids(n2.withColumn("g", F.col("cluster_id") % 2), "g", "centroid"))
     return n1, n2, n3
@@ -164,7 +190,7 @@ def existing_ids(spark, sf_dir):
 
 
 def new_phrases(spark, sf_dir):
-    return incremental.new_phrases(documents(spark, sf_dir), vectors(spark, sf_dir))
+    return incremental.new_phrases(raw_with_copies(spark, sf_dir), vectors(spark, sf_dir))
 
 
 def new_phrases_first_run(spark, sf_dir):
@@ -173,7 +199,7 @@ def new_phrases_first_run(spark, sf_dir):
 
 
 def embedding_reconcile(spark, sf_dir):
-    return incremental.reconcile(documents(spark, sf_dir), vectors(spark, sf_dir))
+    return incremental.reconcile(raw_with_copies(spark, sf_dir), vectors(spark, sf_dir))
 
 
 def phrase_batches(spark, sf_dir):
@@ -196,10 +222,10 @@ def embed_documents(spark, sf_dir):
 
 def day_embeddings_union(spark, sf_dir):
     stored = vectors(spark, sf_dir).select("id", "embedding", F.lit("stored").alias("origin"))
-    fresh = embed_phrases(new_phrases(spark, sf_dir), make_embedder, EMBED).select(
+    fresh = embed_phrases(documents(spark, sf_dir), make_embedder, EMBED).select(
         "id", "embedding", F.lit("new").alias("origin")
     )
-    both = stored.unionByName(fresh)
+    both = incremental.day_embeddings(stored, fresh)
     cells = both.select("id", "origin", F.explode("embedding").alias("x"))
     size = F.sqrt(F.sum(F.col("x").cast("double") * F.col("x")))
     return cells.groupBy("id", "origin").agg(
@@ -220,18 +246,18 @@ def covariance_pairs(spark, sf_dir):
 
 
 def label_centroids(spark, sf_dir):
-    means = moments.centroids(vectors(spark, sf_dir), "label")
+    means = moments.centroids(vectors(spark, sf_dir), "label", dims=DIMS)
     return rounded(moments.unpack(means, "centroid"), "value")
 
 
 def nearest(spark, sf_dir):
-    n1 = moments.centroids(vectors(spark, sf_dir), "label")
+    n1 = moments.centroids(vectors(spark, sf_dir), "label", dims=DIMS)
     found = nearest_centroid(vectors(spark, sf_dir), n1)
     return rounded(found.select("id", "cluster_id", "distance"), "distance")
 
 
 def lloyd_step(spark, sf_dir):
-    n1 = moments.centroids(vectors(spark, sf_dir), "label")
+    n1 = moments.centroids(vectors(spark, sf_dir), "label", dims=DIMS)
     moved = moments.centroids(nearest_centroid(vectors(spark, sf_dir), n1), "cluster_id")
     return rounded(moments.unpack(moved, "centroid"), "value")
 
@@ -246,15 +272,12 @@ def silhouette(spark, sf_dir):
 
 def elbow(spark, sf_dir):
     """Inertia of the groupings ``label mod k``, all from one pass over the vectors."""
-    sums = moments.cluster_moments(vectors(spark, sf_dir), "label")
+    sums = moments.cluster_moments(vectors(spark, sf_dir), "label", dims=DIMS)
     candidates = F.explode(F.array(*[F.lit(k) for k in SWEEP_GROUPS]))
-    regrouped = (
-        sums.withColumn("k", candidates)
-        .groupBy("k", (F.col("cluster_id") % F.col("k")).alias("g"), "dim")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])
+    regrouped = moments.merged_moments(
+        sums.withColumn("k", candidates), F.col("cluster_id") % F.col("k"), "k"
     )
-    spread = F.sum(F.col("squares") - F.col("total") * F.col("total") / F.col("n"))
-    sweep = regrouped.groupBy("k").agg(spread.alias("inertia"))
+    sweep = regrouped.groupBy("k").agg(F.sum("spread").alias("inertia"))
     marked = metrics.elbow(sweep.withColumn("run_id", F.lit("labels")))
     return rounded(
         marked.select("k", "inertia", "curvature", "recommended"), "inertia", "curvature"
@@ -278,11 +301,14 @@ def assign_hierarchy(spark, sf_dir):
 
 
 def embedding_quality(spark, sf_dir):
-    return quality.embedding_report(vectors(spark, sf_dir), "embedding", DIMS)
+    return quality.embedding_report(with_damage(vectors(spark, sf_dir)), "embedding", DIMS)
 
 
 def assignment_quality(spark, sf_dir):
-    return quality.assignment_report(assigned(spark, sf_dir)[0], "cluster_n1")
+    """Damaged vectors are assigned too, and stay without a cluster."""
+    n1, mapping = label_mapping(spark, sf_dir)
+    rows = with_damage(vectors(spark, sf_dir)).drop("label")
+    return quality.assignment_report(hierarchy.assign_hierarchy(rows, n1, mapping), "cluster_n1")
 
 
 def run_metrics(spark, sf_dir):
@@ -294,24 +320,15 @@ def run_metrics(spark, sf_dir):
         (parented(n1, mapping, 1), "parent", "centroid"),
         (parented(n2, mapping, 2), "parent", "centroid"),
     ]
-    row = None
+    fits = []
     for level, (points, cluster, vec) in enumerate(level_points, start=1):
-        per_cluster = moments.wcss(moments.cluster_moments(points, cluster, vec))
-        parts = per_cluster.agg(
-            F.count("*").cast("int").alias(f"k_n{level}"),
-            F.sum("wcss").cast("float").alias(f"inertia_n{level}"),
-            F.sum("n").alias("total_records"),
-        )
-        if level > 1:
-            parts = parts.drop("total_records")
-        score = metrics.mean_silhouette(points, cluster, vec).select(
-            F.col("silhouette").cast("float").alias(f"silhouette_n{level}")
-        )
-        for part in (parts, score):
-            part = pin(part).withColumn("run_id", F.lit("labels"))
-            row = part if row is None else row.join(part, "run_id")
-    full = metrics.metric_rows(
-        row.withColumn("trained_at", F.lit(STAMP)).withColumn("pca_dims", F.lit(DIMS))
+        per_cluster = moments.wcss(moments.cluster_moments(points, cluster, vec, DIMS))
+        found = per_cluster.agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("wcss").alias("w"))
+        k, n, inertia = found.first()
+        score = metrics.mean_silhouette(points, cluster, vec, DIMS).first()[0]
+        fits.append(training.LevelFit(level, k, k, n, inertia, score, None))
+    full = jobs.run_metrics(
+        spark, fits, replace(SMALL, pca_dims=DIMS), "labels", STAMP, fits[0].n
     )
     floats = [f"{m}_n{n}" for m in ("silhouette", "inertia") for n in (1, 2, 3)]
     shown = full.drop("trained_at").withColumns({c: F.col(c).cast("double") for c in floats})
@@ -336,8 +353,10 @@ def cluster_samples(spark, sf_dir):
 
 
 def naming_prompt(spark, sf_dir):
-    groups = naming.sample_phrases(samples(spark, sf_dir, assigned(spark, sf_dir)[0]))
-    return naming.naming_prompts(groups, 1)
+    """The prompts of all levels, each for the same groups of phrases."""
+    groups = pin(naming.sample_phrases(samples(spark, sf_dir, assigned(spark, sf_dir)[0])))
+    prompts_of = [naming.naming_prompts(groups, level) for level in (1, 2, 3)]
+    return prompts_of[0].unionByName(prompts_of[1]).unionByName(prompts_of[2])
 
 
 def parse_name_json(spark, sf_dir):
@@ -381,9 +400,9 @@ def names_long(spark, sf_dir):
 
 
 def enrich_names(spark, sf_dir):
-    rows, _, names = named(spark, sf_dir)
+    rows, mapping, names = named(spark, sf_dir)
     plain = names.select("cluster_id", "nivel", "nome", "dor")
-    enriched = hierarchy.with_names(rows, plain)
+    enriched = hierarchy.with_names(rows, plain, mapping)
     stamped = enriched.withColumn("processed_on", F.to_date(F.lit(STAMP)))
     return stamped.select("id", *hierarchy.WIDE_COLUMNS, "processed_on")
 
@@ -398,34 +417,108 @@ def features(spark, sf_dir):
 
 
 def pca_project(spark, sf_dir):
-    cells = with_array(features(spark, sf_dir), training.FEATURES_COL, "axes", "double")
-    return cells.select("id", F.posexplode("axes").alias("dim", "value"))
+    """The projection against the saved axes times the unit vectors, and the axes' products."""
+    rows = vectors(spark, sf_dir)
+    model = training.fit_features(rows, SMALL.pca_dims)
+    axes = model.stages[-1].pc.toArray()
+    products = axes.T @ axes
+    crooked = int((abs(products - np.eye(len(products))) > 1e-9).sum())
+    columns = F.array(*[F.array(*map(F.lit, axis.tolist())) for axis in axes.T])
+    both = with_array(training.apply_pipeline(model, rows), training.FEATURES_COL, "found", "double")
+    both = l2_normalize(both, "embedding", "unit").withColumn(
+        "wanted",
+        F.transform(
+            columns,
+            lambda axis: F.aggregate(
+                F.zip_with("unit", axis, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x
+            ),
+        ),
+    )
+    apart = F.exists(F.zip_with("found", "wanted", lambda x, y: F.abs(x - y)), lambda x: x > 1e-6)
+    return both.agg(
+        F.count("*").alias("n_rows"),
+        F.max(F.size("found")).alias("n_axes"),
+        F.count_if(apart).alias("n_differ"),
+        F.lit(crooked).alias("n_crooked"),
+    )
+
+
+def fit_report(spark, rows, fit):
+    """One row of a fitted level: its size, points that are not at their nearest centre, and
+    whether the inertia is the sum of the distances."""
+    points = with_array(fit.model.transform(rows), training.FEATURES_COL, "point", "double")
+    placed = nearest_centroid(points, training.centre_rows(spark, fit.model), "point", "near")
+    off = F.col("near") != F.col(fit.model.getPredictionCol())
+    return placed.agg(
+        F.lit(fit.k).alias("k"),
+        F.lit(fit.k_found).alias("k_found"),
+        F.count("*").alias("n"),
+        F.count_if(off).alias("n_not_nearest"),
+        (F.abs(F.sum("distance") - fit.inertia) <= 1e-6 * (1 + fit.inertia)).alias("inertia_agrees"),
+    )
 
 
 def train_level(spark, sf_dir):
     with training.kept(features(spark, sf_dir)) as rows:
-        fits = [
-            training.fit_level(rows, k, 1, training.kmeans(SMALL), training.FEATURES_COL)
-            for k in SMALL.k_candidates
-        ]
-    return training.level_frame(spark, fits)
+        report = None
+        for k in SMALL.k_candidates:
+            fit = training.fit_level(rows, k, 1, training.kmeans(SMALL), training.FEATURES_COL)
+            one = pin(fit_report(spark, rows, fit))
+            report = one if report is None else report.unionByName(one)
+    return report
 
 
 def train_hierarchy(spark, sf_dir):
+    """Every vector is in one cluster of each level, the map is a tree, and all of it is found."""
     trained = training.train_hierarchy(vectors(spark, sf_dir), SMALL)
     scored = training.score(vectors(spark, sf_dir), trained.pipeline, trained.mapping)
-    return scored.select("id", "cluster_n1", "cluster_n2", "cluster_n3")
+    levels = [f"cluster_n{n}" for n in (1, 2, 3)]
+    missing = F.lit(False)
+    for level in levels:
+        missing = missing | F.col(level).isNull()
+    counts = scored.agg(F.count("*").alias("n_rows"), F.count_if(missing).alias("n_unassigned"))
+    above = trained.mapping.groupBy("cluster_n2").agg(F.countDistinct("cluster_n3").alias("parents"))
+    split = above.agg(F.count_if(F.col("parents") != 1).alias("n_split"))
+    size = trained.mapping.agg(
+        F.count("*").alias("n_mapped"), F.countDistinct("cluster_n1").alias("n_clusters")
+    )
+    found = F.lit(trained.levels[0].k_found)
+    one = [pin(part).withColumn("one", F.lit(1)) for part in (counts, split, size)]
+    joined = one[0].join(one[1], "one").join(one[2], "one")
+    return joined.select(
+        "n_rows",
+        "n_unassigned",
+        "n_split",
+        ((F.col("n_mapped") == found) & (F.col("n_clusters") == found)).alias("mapped_all"),
+    )
 
 
-def k_sweep(spark, sf_dir):
+def swept(spark, sf_dir):
     fits = training.k_sweep(features(spark, sf_dir), SMALL)
     sweep = training.sweep_frame(spark, fits, "sweep", SMALL.silhouette_threshold)
     return metrics.elbow(sweep)
 
 
+def k_sweep(spark, sf_dir):
+    """The candidates, with the recommendation against the rule worked out from the inertias."""
+    rows = pin(swept(spark, sf_dir))
+    marks = {r.k: (r.inertia, r.recommended) for r in rows.select("k", "inertia", "recommended").collect()}
+    ks, top = sorted(marks), max(inertia for inertia, _ in marks.values())
+    scaled = {k: marks[k][0] / top for k in ks}
+    bend = {b: scaled[a] - 2 * scaled[b] + scaled[c] for a, b, c in zip(ks, ks[1:], ks[2:])}
+    best = max(bend, key=lambda k: (bend[k], -k))
+    agrees = F.col("recommended") == (F.col("k") == best)
+    falls = F.coalesce(F.col("inertia") <= F.lag("inertia").over(Window.orderBy("k")), F.lit(True))
+    scored = F.col("silhouette").between(-1, 1)
+    return rows.select(
+        "k", agrees.alias("elbow_agrees"), falls.alias("inertia_falls"), scored.alias("has_silhouette")
+    )
+
+
 def k_sweep_metrics(spark, sf_dir):
+    """What the metrics table holds of a sweep: known columns filled, the others null."""
     name = f"{scratch_database(spark)}.metrics"
-    rows = k_sweep(spark, sf_dir).select(
+    rows = swept(spark, sf_dir).select(
         "run_id",
         F.lit(STAMP).alias("trained_at"),
         F.col("k").alias("k_n1"),
@@ -433,7 +526,12 @@ def k_sweep_metrics(spark, sf_dir):
         F.col("inertia").alias("inertia_n1"),
     )
     tables.write_table(metrics.metric_rows(rows), name)
-    return tables.read_table(spark, name)
+    known = ["run_id", "trained_at", "k_n1", "silhouette_n1", "inertia_n1"]
+    kept = tables.read_table(spark, name)
+    filled = sum((F.col(c).isNotNull().cast("int") for c in known), F.lit(0))
+    other = [c for c in kept.columns if c not in known]
+    null = sum((F.col(c).isNull().cast("int") for c in other), F.lit(0))
+    return kept.select("run_id", "k_n1", filled.alias("n_filled"), null.alias("n_null"))
 
 
 def model_roundtrip(spark, sf_dir):
@@ -457,10 +555,12 @@ def model_roundtrip(spark, sf_dir):
 def streamed_assignment(spark, sf_dir):
     n1, mapping = label_mapping(spark, sf_dir)
     given = table(spark, sf_dir, "embeddings")
+    # A stream reads folders: a table that is one file is first written as a folder of parts.
+    folder = fresh_path(spark, "source")
+    given.repartition(4).write.parquet(folder)
     source = (
         spark.readStream.schema(given.schema)
-        .option("pathGlobFilter", "embeddings.parquet")
-        .parquet(sf_dir)
+        .parquet(folder)
         .select(F.col("vec_id").cast("string").alias("id"), "embedding")
     )
 
@@ -479,7 +579,7 @@ def streamed_assignment(spark, sf_dir):
 def job_tables(spark, sf_dir) -> Tables:
     """Tables of a first day: all raw phrases, and the given vectors as stored embeddings."""
     base = scratch_database(spark)
-    names = {f: f"{base}.{f}" for f in Tables.__dataclass_fields__ if f != "models"}
+    names = {f: f"{base}.{f}" for f in Tables.__dataclass_fields__ if f != "models"}  # and quarantine
     job = Tables(models=fresh_path(spark, "models"), **names)
     tables.write_table(schemas.conform(documents(spark, sf_dir), schemas.RAW), job.raw)
     stored = vectors(spark, sf_dir).join(documents(spark, sf_dir), "id", "left")
@@ -513,14 +613,43 @@ def trained_job(spark, sf_dir):
 
 
 def job_training(spark, sf_dir):
+    """Rows of each table that the training job leaves, and of a second run: metrics only grow."""
     job = trained_job(spark, sf_dir)
-    return tables.read_table(spark, job.metrics)
+    jobs.train(spark, job, SMALL, "again", STAMP + timedelta(days=1), DIMS, TermNamer, NAMING)
+    names = tables.read_table(spark, job.names)
+    per_level = names.groupBy(F.concat(F.lit("names_"), "nivel").alias("part")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("nome") == prompts.FALLBACK).alias("n_bad")
+    )
+    mapping = tables.read_table(spark, job.mapping).agg(
+        F.lit("mapping").alias("part"), F.count("*").alias("n"), F.lit(0).cast("long").alias("n_bad")
+    )
+    kept = tables.read_table(spark, job.metrics)
+    partly = F.col("silhouette_n1").isNull() | F.col("inertia_n1").isNull()
+    measured = kept.agg(
+        F.lit("metrics").alias("part"), F.count("*").alias("n"), F.count_if(partly).alias("n_bad")
+    )
+    return per_level.unionByName(mapping).unionByName(measured)
 
 
 def job_assignment(spark, sf_dir):
+    """A day with damaged rows, assigned twice: what went in, and what came out where."""
     job = trained_job(spark, sf_dir)
-    jobs.assign(spark, job, DAY, STAMP, DIMS)
-    return tables.read_table(spark, job.output).drop("embedding")
+    damaged = with_damage(vectors(spark, sf_dir)).where("id like 'x%' and embedding is not null")
+    damaged = damaged.withColumn("frase", F.lit("")).withColumn("created_at", F.lit(datetime(2024, 1, 15, 1)))
+    damaged = schemas.conform(damaged, schemas.EMBEDDINGS).withColumn(tables.DAY, F.lit(DAY))
+    tables.write_table(damaged, job.embeddings, "append", tables.DAY)
+    for _ in range(2):
+        done = jobs.assign(spark, job, DAY, STAMP, DIMS)
+    rows = tables.read_table(spark, job.output)
+    unnamed = F.col("nome_n1").isNull() | F.col("nome_n2").isNull() | F.col("nome_n3").isNull()
+    came = tables.read_table(spark, job.embeddings).where(F.col(tables.DAY) == F.lit(DAY)).count()
+    return rows.agg(
+        F.lit(came).cast("long").alias("n_in"),
+        F.count("*").alias("n_out"),
+        F.lit(done.quarantined).cast("long").alias("n_quarantined"),
+        F.count_if(F.col("cluster_n3").isNull()).alias("n_unassigned"),
+        F.count_if(unnamed).alias("n_unnamed"),
+    )
 
 
 QUERIES = {

@@ -14,6 +14,7 @@ import numpy as np
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+# The methods' names are fixed values.
 class Embedder(Protocol):
     def embed_batch(self, texts: list[str]) -> list[list[float]]: ...
 
@@ -54,14 +55,13 @@ class TokenHashEmbedder:
     def _hash(self, word: str) -> int:
         return int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % self.dims
 
-    def embed_batch(self, texts: list[str]) -> list[list[float]]:
-        vectors = []
-        for text in texts:
-            buckets = [self._bucket(word) for word in words(text)]
-            counts = np.bincount(buckets, minlength=self.dims).astype("f8")
-            size = np.sqrt((counts * counts).sum())
-            vectors.append((counts / size if size else counts).astype("f4").tolist())
-        return vectors
+    def embed_batch(self, texts: list[str]) -> np.ndarray:
+        found = [[self._bucket(word) for word in words(text)] for text in texts]
+        row = np.repeat(np.arange(len(texts)), [len(buckets) for buckets in found])
+        cells = row * self.dims + np.array([b for buckets in found for b in buckets], "i8")
+        counts = np.bincount(cells, minlength=len(texts) * self.dims).reshape(-1, self.dims)
+        size = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        return (counts / np.maximum(size, 1e-300)).astype("f4")
 
 
 class TermNamer:

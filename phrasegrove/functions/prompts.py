@@ -15,21 +15,19 @@ _ANSWER_FORM = (
 )
 
 SYSTEM_TEXT = {
-    1: "You study what customers say. You are given phrases that customers wrote and that "
-    "share one meaning. Give the cluster a short, specific name and say what pain or need "
-    "stands behind it. " + _ANSWER_FORM,
-    2: "You study what customers say. You are given the names of related clusters. Give the "
-    "group a broader name that covers them all and say what pain or need they share. "
-    + _ANSWER_FORM,
-    3: "You plan products from what customers say. You are given the names of related groups. "
-    "Give the category a strategic name that covers them all and say what central pain or "
-    "need it stands for. " + _ANSWER_FORM,
+    1: "Below is a list of short messages. They were put together because they are near each "
+    "other in meaning. Say in a few words what they have in common, and which difficulty or wish "
+    "their writers share. " + _ANSWER_FORM,
+    2: "Below are labels, each of which stands for many messages. Find one label under which all "
+    "of them fit, and the difficulty or wish that runs through them. " + _ANSWER_FORM,
+    3: "Below are labels of whole groups of messages. Find the one heading that someone deciding "
+    "what to build next would file them under, and the need at the root of them. " + _ANSWER_FORM,
 }
 
 USER_TEXT = {
-    1: "Name the cluster of these %d phrases:",
-    2: "Name the group of these %d clusters:",
-    3: "Name the category of these %d groups:",
+    1: "%d messages:",
+    2: "%d labels of clusters:",
+    3: "%d labels of groups:",
 }
 
 

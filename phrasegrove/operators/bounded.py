@@ -1,20 +1,18 @@
-"""Ways to use a side that is small by rule: its size is checked, and a larger one still works."""
+"""Small sides of an operation, costly functions, and keys that many rows share."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phrasegrove.sources.shared import cut_lineage
+from phrasegrove.sources.shared import stored
 
-# Rows of a vector table held by one task at a time: 2^15 x 1,024 doubles are 256 MB.
-BLOCK_ROWS = 1 << 15
-
-# Rows of a dimension that may be broadcast.
-BROADCAST_ROWS = 1 << 17
+# Bytes of a vector table that a task compares its points with at a time.
+BLOCK_BYTES = 32 << 20
 
 # Key pieces a hot key is spread over in a shuffle.
 SALTS = 64
@@ -26,34 +24,32 @@ HOT_SAMPLE_ROWS = 1000
 HOT_KEY_ROWS = 10
 
 
-def pin(df: DataFrame, max_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Evaluate a small frame once: in memory up to ``max_rows``, else in the shared folder."""
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return df.sparkSession.createDataFrame(head, df.schema)
-    return cut_lineage(df)
+def pin(df: DataFrame) -> DataFrame:
+    """Evaluate a frame once: it is written first and read from there ever after."""
+    return stored(df, "pin")
 
 
-def blocks(
-    df: DataFrame, key: str, max_rows: int = BLOCK_ROWS, at_most: int | None = None
-) -> Iterator[pa.Table]:
-    """The rows of ``df`` sorted by ``key``, in pieces of a checked size.
+def ship_blocks(
+    small: DataFrame, key: str, prepare: Callable[[pa.Table], object], block_bytes: int | None = None
+) -> list[Broadcast]:
+    """The rows of a vector table sorted by ``key``, as broadcasts of at most ``BLOCK_BYTES`` each.
 
-    ``at_most`` is a bound the caller vouches for, such as a fitted model's k; below
-    ``max_rows`` it saves the check.
+    Such a table has k x dims numbers, as the fitted model has that comes from the driver anyway;
+    Spark refuses to fetch more than ``spark.driver.maxResultSize``.
     """
-    bounded = at_most is not None and at_most <= max_rows
-    head = (df if bounded else df.limit(max_rows + 1)).toArrow()
-    if head.num_rows <= max_rows:
-        yield head.sort_by(key)
-        return
-    stored = cut_lineage(df)
-    pieces = 2 * -(-stored.count() // max_rows)
-    piece_of = F.pmod(F.xxhash64(F.lit(pieces), key), F.lit(pieces))
-    for piece in range(pieces):
-        for block in blocks(stored.where(piece_of == piece), key, max_rows):
-            if block.num_rows:
-                yield block
+    table = small.toArrow().sort_by(key)
+    rows = max(1, (block_bytes or BLOCK_BYTES) * table.num_rows // max(1, table.nbytes))
+    context = small.sparkSession.sparkContext
+    starts = range(0, max(1, table.num_rows), rows)
+    return [context.broadcast(prepare(table.slice(at, rows).combine_chunks())) for at in starts]
+
+
+def each_block(shipped: list[Broadcast]) -> Iterator:
+    """The blocks' contents one after the other; of several, a task holds one at a time."""
+    for block in shipped:
+        yield block.value
+        if len(shipped) > 1:
+            vars(block).pop("_value", None)
 
 
 def once(function):
@@ -65,49 +61,13 @@ def once(function):
     return function.asNondeterministic()
 
 
-def fold_blocks(
-    points: DataFrame,
-    small: DataFrame,
-    key: str,
-    column: str,
-    score: Callable[[pa.Table], Column],
-    merge: Callable[[Column, Column], Column],
-    max_rows: int = BLOCK_ROWS,
-    at_most: int | None = None,
-) -> DataFrame:
-    """Add ``column``: every point scored against all rows of ``small``.
-
-    A side of up to ``max_rows`` rows is shipped to the tasks as one block and the points
-    stay where they are. A larger one goes block after block; between two blocks the
-    points with their best score so far are written, so no task ever holds more than one.
-    """
-    scored = None
-    for block in blocks(small, key, max_rows, at_most):
-        if scored is None:
-            scored = points.withColumn(column, score(block))
-        else:
-            scored = cut_lineage(scored).withColumn("_new", score(block))
-            scored = scored.withColumn(column, merge(F.col(column), F.col("_new"))).drop("_new")
-    return scored
-
-
-def left_join_dimension(
-    facts: DataFrame, dimension: DataFrame, key: str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def left_join_dimension(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Left join with a dimension that has one row per key.
 
-    Up to ``max_rows`` rows the dimension is broadcast and the facts do not move. Beyond
-    it, each key is spread over ``SALTS`` pieces so that no single cluster fills one task.
+    Spark broadcasts the dimension when its size allows; otherwise the skew join splits the
+    facts of a large cluster.
     """
-    if dimension.limit(max_rows + 1).count() <= max_rows:
-        return facts.join(F.broadcast(dimension), key, "left")
-    pieces = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
-    return (
-        facts.withColumn("_piece", spread)
-        .join(dimension.withColumn("_piece", pieces), [key, "_piece"], "left")
-        .drop("_piece")
-    )
+    return facts.join(dimension, key, "left")
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, fraction: float = 0.01) -> list:

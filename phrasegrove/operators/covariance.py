@@ -10,7 +10,7 @@ from phrasegrove.functions import kernels
 
 
 def covariance(df: DataFrame, vec_col: str, dims: int) -> DataFrame:
-    """``(i, j, cov)`` for i <= j over the complete vectors.
+    """``(i, j, cov)`` for i <= j over the complete vectors; null where there is but one.
 
     Each task sums its rows' products by matrix multiplication and emits one row per pair;
     the pairs are then added up by an ordinary aggregate. No row is expanded to its pairs.
@@ -38,4 +38,4 @@ def covariance(df: DataFrame, vec_col: str, dims: int) -> DataFrame:
         partial, "i int, j int, n long, xi double, xj double, xij double"
     )
     n, xi, xj, xij = (F.sum(c) for c in ("n", "xi", "xj", "xij"))
-    return parts.groupBy("i", "j").agg(((xij - xi * xj / n) / (n - 1)).alias("cov"))
+    return parts.groupBy("i", "j").agg(((xij - xi * xj / n) / F.nullif(n - 1, F.lit(0))).alias("cov"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def embed_phrases(
     """``(id, frase, embedding)`` from a client that each task makes for itself.
 
     A task calls its client one batch at a time, so the number of partitions is the number of
-    parallel calls. Phrases are dealt to them by id. A call that fails to the end, or answers
+    parallel calls. Phrases are dealt to them in turn, so copies of an id do not meet. A call that fails to the end, or answers
     with a wrong number or size of vectors, fails the job; no phrase is lost unnoticed.
     """
 
@@ -39,7 +40,7 @@ def embed_phrases(
                 f"asked for {len(texts)} vectors of {params.dims}, got {len(vectors)} "
                 f"of sizes {sorted(sizes)}"
             )
-        return [[float(x) for x in v] for v in vectors]
+        return list(np.asarray(vectors, "f4"))
 
     def run(frames):
         client = make_embedder()
@@ -56,6 +57,6 @@ def embed_phrases(
             yield waiting.assign(embedding=embed(waiting["frase"].tolist(), client))
 
     phrases = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("frase"))
-    return phrases.repartition(params.max_concurrent, "id").mapInPandas(
+    return phrases.repartition(params.max_concurrent).mapInPandas(
         run, "id string, frase string, embedding array<float>"
     )

@@ -80,17 +80,22 @@ def names_long(wide: DataFrame) -> DataFrame:
     return wide.select(F.inline(cells)).where(F.col("cluster_id").isNotNull()).distinct()
 
 
-def with_names(assigned: DataFrame, names: DataFrame | None) -> DataFrame:
+def with_names(
+    assigned: DataFrame, names: DataFrame | None, mapping: DataFrame | None = None
+) -> DataFrame:
     """Add name and pain of all three levels to rows that carry the three cluster ids.
 
-    The names are left-joined level by level, as each level's rows are small; without a names
-    table the columns are null.
+    The names of all levels are one row per N1 cluster of ``mapping`` (or of the rows' own ids),
+    so there is one join. Without a names table the columns are null.
     """
-    for level in LEVELS:
-        if names is None:
-            for field in ("nome", "dor"):
-                assigned = assigned.withColumn(f"{field}_n{level}", F.lit(None).cast("string"))
-        else:
-            key = f"cluster_n{level}"
-            assigned = left_join_dimension(assigned, level_names(names, level), key)
-    return assigned
+    if names is None:
+        fields = [f"{field}_n{level}" for level in LEVELS for field in ("nome", "dor")]
+        return assigned.withColumns({field: F.lit(None).cast("string") for field in fields})
+    keys = [f"cluster_n{level}" for level in LEVELS]
+    pairs = assigned.select(*keys).distinct() if mapping is None else mapping.select(*keys)
+    # A row without a cluster stays without names.
+    wide = names_wide(pairs, names).where(F.col(keys[0]).isNotNull())
+    wide = wide.withColumnsRenamed({key: f"_{key}" for key in keys})
+    same = [F.col(keys[0]) == F.col(f"_{keys[0]}")]
+    same += [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys[1:]]
+    return assigned.join(wide, same, "left").drop(*(f"_{key}" for key in keys))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from phrasegrove.operators.bounded import BROADCAST_ROWS, SALTS, hot_keys
+from phrasegrove.operators.bounded import SALTS, hot_keys
 
 # Hex digits of the id's digest that order the batches: 16^4 = 65,536 buckets.
 BUCKET_DIGITS = 4
@@ -25,9 +25,9 @@ def new_phrases(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> Data
     hot = hot_keys(raw, id_col)
     if not hot:
         return raw.join(known, id_col, "left_anti")
-    named = [value for value in hot if value is not None]
-    is_hot = F.col(id_col).isin(named)
-    spread = F.coalesce(is_hot, F.lit(True))
+    is_hot = F.col(id_col).isin([value for value in hot if value is not None])
+    is_hot = F.coalesce(is_hot, F.lit(False))
+    spread = is_hot | F.col(id_col).isNull()
     position = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     return (
@@ -38,20 +38,13 @@ def new_phrases(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> Data
     )
 
 
-def new_rows(
-    raw: DataFrame, existing: DataFrame, n_new: int, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """One raw row per id that has no embedding, where ``n_new`` such ids are known to exist.
+def new_rows(raw: DataFrame, ids: DataFrame) -> DataFrame:
+    """One raw row per id of ``ids``, the distinct new ids found from the id columns.
 
-    An increment of up to ``max_rows`` ids is found from the id columns and sent to the raw
-    scan, so that old phrases' texts are never shuffled. For more, copies fall away before
-    the shuffle and both sides of the anti-join are grouped by id, so no id can be hot.
+    The ids go to the raw scan: broadcast when they are few, else as the smaller side of a join.
+    What old phrases say is never grouped, and copies fall away before the grouping's shuffle.
     """
-    if n_new <= max_rows:
-        ids = rows_per_id(raw, existing).where(is_new()).select("id")
-        return first_per_id(raw.join(F.broadcast(ids), "id", "left_semi"))
-    unique = first_per_id(raw.where(F.col("id").isNotNull()))
-    return unique.join(existing_ids(existing), "id", "left_anti")
+    return first_per_id(raw.join(ids.select("id"), "id", "left_semi"))
 
 
 def first_per_id(df: DataFrame, id_col: str = "id") -> DataFrame:
@@ -101,7 +94,11 @@ def reconcile(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> DataFr
 
 def increment(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> DataFrame:
     """One row: raw rows, those without an id, those embedded, and distinct new ids."""
-    return rows_per_id(raw, existing, id_col).agg(
+    return increment_counts(rows_per_id(raw, existing, id_col))
+
+
+def increment_counts(per_id: DataFrame) -> DataFrame:
+    return per_id.agg(
         _total(F.col("raw")).alias("total_raw"),
         _total(F.when(F.col("id").isNull(), F.col("raw"))).alias("without_id"),
         _total(F.when(F.col("known") == 1, F.col("raw"))).alias("already_embedded"),
@@ -109,6 +106,15 @@ def increment(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> DataFr
     )
 
 
+def day_embeddings(stored_rows: DataFrame, fresh: DataFrame, id_col: str = "id") -> DataFrame:
+    """The day's stored embeddings and the new ones together, each id once.
+
+    Of an id in both the stored row stays; columns that one side lacks are null there.
+    """
+    more = fresh.join(existing_ids(stored_rows, id_col), id_col, "left_anti")
+    return stored_rows.unionByName(more, allowMissingColumns=True)
+
+
 def number_batches(
     df: DataFrame, batch_size: int, id_col: str = "id", digits: int = BUCKET_DIGITS
 ) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phrasegrove import schemas
 from phrasegrove.functions import kernels
-from phrasegrove.operators.bounded import BLOCK_ROWS, fold_blocks, once
+from phrasegrove.operators.bounded import each_block, once, ship_blocks
 from phrasegrove.operators.moments import cluster_moments, pack
 
 
@@ -18,56 +18,57 @@ def silhouette_scores(
     cluster_col: str,
     vec_col: str = "embedding",
     score_col: str = "silhouette",
-    max_rows: int = BLOCK_ROWS,
-    clusters_at_most: int | None = None,
+    dims: int | None = None,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """Add the squared-Euclidean silhouette of every point.
 
     The clusters' counts and sums are all a point has to be compared with, so no pair of
-    points ever meets. A point alone in its cluster scores 0; with one cluster it is null.
+    points ever meets, and the points are not shuffled. A point alone in its cluster scores 0;
+    with one cluster, no cluster or an incomplete vector it is null.
     """
-    context = df.sparkSession.sparkContext
+    squares = F.sum(F.col("spread") + F.col("total") * F.col("total") / F.col("n"))
     profiles = pack(
-        cluster_moments(df, cluster_col, vec_col),
+        cluster_moments(df, cluster_col, vec_col, dims),
         "total",
         "sums",
         F.max("n").alias("n"),
-        F.sum("squares").alias("squares"),
+        squares.alias("squares"),
     )
 
-    def score(block: pa.Table) -> Column:
-        if block.num_rows == 0:
-            return F.lit(None).cast("struct<inside: double, outside: double>")
+    def prepare(block: pa.Table):
         ids = block.column("cluster_id").to_numpy().astype("i4")
-        counts = block.column("n").to_numpy().astype("f8")
-        squares = block.column("squares").to_numpy()
+        if not len(ids):
+            return ids, np.zeros(0), np.zeros((0, 0)), np.zeros(0)
         lists = block.column("sums").combine_chunks()
         _, sums = kernels.usable_rows(lists, len(lists[0]))
-        shipped = context.broadcast((ids, counts, sums, squares))
-
-        @F.arrow_udf("struct<inside: double, outside: double>")
-        def distances(vectors: pa.Array, clusters: pa.Array) -> pa.Array:
-            ids, counts, sums, squares = shipped.value
-            kept, rows = kernels.usable_rows(vectors, sums.shape[1])
-            wanted = clusters.take(pa.array(kept)).to_numpy(zero_copy_only=False)
+        if len(sums) != len(ids):
+            raise ValueError("the vectors are of several sizes: say by dims which one counts")
+        counts = block.column("n").to_numpy().astype("f8")
+        return ids, counts, sums, block.column("squares").to_numpy()
+
+    shipped = ship_blocks(profiles, "cluster_id", prepare, block_bytes)
+
+    @F.arrow_udf("struct<inside: double, outside: double>")
+    def distances(vectors: pa.Array, clusters: pa.Array) -> pa.Array:
+        kept, rows, inside, outside = np.zeros(0, "i8"), None, np.zeros(0), np.zeros(0)
+        for ids, counts, sums, squares in each_block(shipped):
+            if not len(ids):
+                continue
+            if rows is None:
+                kept, rows = kernels.usable_rows(vectors, sums.shape[1])
+                wanted = clusters.take(pa.array(kept)).to_numpy(zero_copy_only=False)
+                inside, outside = np.full(len(rows), np.nan), np.full(len(rows), np.inf)
             at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
             own = np.where(ids[at] == wanted, at, -1)
-            inside, outside = kernels.mean_distances(rows, own, counts, sums, squares)
-            fields = []
-            for values in (inside, outside):
-                known = np.isfinite(values)
-                fields.append(
-                    kernels.scatter(values[known], kept[known], len(vectors), pa.float64())
-                )
-            return pa.StructArray.from_arrays(fields, ["inside", "outside"])
-
-        return once(distances)(vec_col, F.col(cluster_col).cast("int"))
-
-    def merge(old: Column, new: Column) -> Column:
-        return F.struct(
-            F.coalesce(old["inside"], new["inside"]).alias("inside"),
-            F.least(old["outside"], new["outside"]).alias("outside"),
-        )
+            mine, others = kernels.mean_distances(rows, own, counts, sums, squares)
+            inside = np.where(np.isnan(inside), mine, inside)
+            outside = np.minimum(outside, others)
+        fields = []
+        for values in (inside, outside):
+            known = np.isfinite(values)
+            fields.append(kernels.scatter(values[known], kept[known], len(vectors), pa.float64()))
+        return pa.StructArray.from_arrays(fields, ["inside", "outside"])
 
     inside, outside = F.col("_gap.inside"), F.col("_gap.outside")
     value = (
@@ -77,17 +78,19 @@ def silhouette_scores(
         .when(inside > outside, outside / inside - 1)
         .otherwise(0.0)
     )
-    scored = fold_blocks(
-        df, profiles, "cluster_id", "_gap", score, merge, max_rows, clusters_at_most
-    )
-    return scored.withColumn(score_col, value).drop("_gap")
+    gap = once(distances)(vec_col, F.col(cluster_col).cast("int"))
+    return df.withColumn("_gap", gap).withColumn(score_col, value).drop("_gap")
 
 
 def silhouette_by_cluster(
-    df: DataFrame, cluster_col: str, vec_col: str = "embedding", threshold: float = 0.3
+    df: DataFrame,
+    cluster_col: str,
+    vec_col: str = "embedding",
+    threshold: float = 0.3,
+    dims: int | None = None,
 ) -> DataFrame:
     """``(cluster_id, n, silhouette, below_threshold)`` of every cluster."""
-    scored = silhouette_scores(df, cluster_col, vec_col)
+    scored = silhouette_scores(df, cluster_col, vec_col, dims=dims)
     return (
         scored.groupBy(F.col(cluster_col).cast("int").alias("cluster_id"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))
@@ -96,13 +99,10 @@ def silhouette_by_cluster(
 
 
 def mean_silhouette(
-    df: DataFrame,
-    cluster_col: str,
-    vec_col: str = "embedding",
-    clusters_at_most: int | None = None,
+    df: DataFrame, cluster_col: str, vec_col: str = "embedding", dims: int | None = None
 ) -> DataFrame:
     """One row: the mean silhouette over all points."""
-    scored = silhouette_scores(df, cluster_col, vec_col, clusters_at_most=clusters_at_most)
+    scored = silhouette_scores(df, cluster_col, vec_col, dims=dims)
     return scored.agg(F.avg("silhouette").alias("silhouette"))
 
 

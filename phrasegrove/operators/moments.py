@@ -6,25 +6,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def cluster_moments(df: DataFrame, cluster_col: str, vec_col: str = "embedding") -> DataFrame:
-    """``(cluster_id, dim, n, total, squares)`` by one aggregate.
+def complete(vec_col: str, dims: int | None) -> Column:
+    """A vector without null and NaN elements and, where ``dims`` is given, of that size."""
+    clean = F.array_contains(vec_col, F.lit(float("nan"))) == F.lit(False)
+    sized = F.size(vec_col) == dims if dims is not None else F.lit(True)
+    return F.coalesce(clean & sized, F.lit(False))
 
-    Every task reduces its rows to clusters x dims sums before the shuffle, so a cluster
-    that holds most of the points costs no more than any other.
+
+def cluster_moments(
+    df: DataFrame, cluster_col: str, vec_col: str = "embedding", dims: int | None = None
+) -> DataFrame:
+    """``(cluster_id, dim, n, total, spread)`` of the complete vectors by one aggregate.
+
+    ``spread`` is the sum of the squared distances to the mean, from the aggregate's running
+    mean, so it does not suffer from vectors far from the origin. Every task reduces its rows to
+    clusters x dims sums before the shuffle, so a cluster that holds most of the points
+    costs no more than any other.
     """
     return (
         df.where(F.col(cluster_col).isNotNull())
+        .withColumn(vec_col, F.col(vec_col).cast("array<double>"))
+        .where(complete(vec_col, dims))
         .select(F.col(cluster_col).cast("int").alias("cluster_id"), F.posexplode(vec_col))
-        .select("cluster_id", F.col("pos").alias("dim"), F.col("col").cast("double").alias("x"))
+        .select("cluster_id", F.col("pos").alias("dim"), F.col("col").alias("x"))
         .groupBy("cluster_id", "dim")
         .agg(
             F.count("x").alias("n"),
             F.sum("x").alias("total"),
-            F.sum(F.col("x") * F.col("x")).alias("squares"),
+            (F.var_pop("x") * F.count("x")).alias("spread"),
         )
     )
 
 
+def merged_moments(moments: DataFrame, group: Column, *keys: str) -> DataFrame:
+    """Moments of unions of clusters: ``group`` is the cluster that each one goes to."""
+    parts = moments.withColumn("cluster_id", group)
+    mean = F.col("total") / F.col("n")
+    whole = parts.groupBy(*keys, "cluster_id", "dim").agg(
+        F.sum("n").alias("n"),
+        F.sum("total").alias("total"),
+        # Within the parts, and of the parts' means about the whole's.
+        F.sum("spread").alias("within"),
+        F.collect_list(F.struct(F.col("n").alias("n"), mean.alias("mean"))).alias("parts"),
+    )
+    centre = F.col("total") / F.col("n")
+    between = F.aggregate(
+        "parts", F.lit(0.0), lambda s, p: s + p["n"] * (p["mean"] - centre) * (p["mean"] - centre)
+    )
+    return whole.select(*keys, "cluster_id", "dim", "n", "total", (F.col("within") + between).alias("spread"))
+
+
 def pack(values: DataFrame, value_col: str, output_col: str, *more: Column) -> DataFrame:
     """``(cluster_id, dim, value)`` rows to one array per cluster; dims rows per group.
 
@@ -40,9 +71,11 @@ def unpack(vectors: DataFrame, vec_col: str, value_col: str = "value") -> DataFr
     return vectors.select("cluster_id", F.posexplode(vec_col).alias("dim", value_col))
 
 
-def centroids(df: DataFrame, cluster_col: str, vec_col: str = "embedding") -> DataFrame:
+def centroids(
+    df: DataFrame, cluster_col: str, vec_col: str = "embedding", dims: int | None = None
+) -> DataFrame:
     """``(cluster_id, centroid)``: the mean vector of each cluster."""
-    means = cluster_moments(df, cluster_col, vec_col).select(
+    means = cluster_moments(df, cluster_col, vec_col, dims).select(
         "cluster_id", "dim", (F.col("total") / F.col("n")).alias("mean")
     )
     return pack(means, "mean", "centroid")
@@ -53,7 +86,4 @@ def wcss(moments: DataFrame) -> DataFrame:
 
     It follows from the sums alone, so the points are read once.
     """
-    return moments.groupBy("cluster_id").agg(
-        F.max("n").alias("n"),
-        F.sum(F.col("squares") - F.col("total") * F.col("total") / F.col("n")).alias("wcss"),
-    )
+    return moments.groupBy("cluster_id").agg(F.max("n").alias("n"), F.sum("spread").alias("wcss"))

@@ -45,7 +45,7 @@ def attach_texts(samples: DataFrame, phrases: DataFrame, id_col: str = "id") ->
 
     Samples are few (clusters x n), so they go to the phrases and not the other way round.
     """
-    chosen = pin(samples)
+    chosen = pin(samples)  # read twice below
     found = phrases.join(chosen.select(id_col), id_col)
     return chosen.join(found, id_col, "left")
 

@@ -7,10 +7,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +28,6 @@ INTERMEDIATE = [VECTOR_COL, "_unit_vector", FEATURES_COL]
 
 ROWS_PER_PARTITION = 4096
 
-# Rows x clusters up to which the evaluator was measured to be the faster one.
-EVALUATOR_CELLS = 5_000_000
-
 CENTROID_VECTORS = StructType(
     [
         StructField("cluster_id", IntegerType(), False),
@@ -106,31 +101,13 @@ def apply_pipeline(model: PipelineModel, df: DataFrame, vec_col: str = "embeddin
 
 
 def level_silhouette(
-    predictions: DataFrame, features_col: str, prediction_col: str, k: int, n: int
+    predictions: DataFrame, features_col: str, prediction_col: str, k: int
 ) -> float | None:
-    """Mean silhouette over all rows, or None with fewer than two clusters in use.
-
-    ``ClusteringEvaluator`` measures each row against each cluster one by one; beyond
-    ``EVALUATOR_CELLS`` of those, the closed form with one matrix product per batch is faster.
-    Both give the same value.
-    """
+    """Mean silhouette over all rows, or None with fewer than two clusters in use."""
     if k < 2:
         return None
-    if n * k > EVALUATOR_CELLS:
-        points = with_array(predictions, features_col, "_point", "double")
-        return mean_silhouette(points, prediction_col, "_point", k).first()["silhouette"]
-    evaluator = ClusteringEvaluator(
-        featuresCol=features_col,
-        predictionCol=prediction_col,
-        metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    )
-    try:
-        return float(evaluator.evaluate(predictions))
-    except Py4JJavaError as error:
-        if "Number of clusters must be greater than one" in str(error.java_exception):
-            return None
-        raise
+    points = with_array(predictions, features_col, "_point", "double")
+    return mean_silhouette(points, prediction_col, "_point").first()["silhouette"]
 
 
 def fit_level(
@@ -153,7 +130,7 @@ def fit_level(
     model = make_estimator(k, features_col, prediction_col).fit(df.select(features_col))
     k_found = len(model.clusterCenters())
     scored = model.transform(df)
-    silhouette = level_silhouette(scored, features_col, prediction_col, k_found, n)
+    silhouette = level_silhouette(scored, features_col, prediction_col, k_found)
     return LevelFit(
         level=level,
         k=k,

@@ -49,7 +49,7 @@ class NamingParams:
 
 @dataclass(frozen=True)
 class Tables:
-    """Catalog names of the six tables and the folder that holds the fitted models."""
+    """Catalog names of the tables and the folder that holds the fitted models."""
 
     raw: str
     embeddings: str
@@ -58,3 +58,8 @@ class Tables:
     names: str
     metrics: str
     models: str
+    quarantine: str = ""  # rows that a job cannot use; by default beside the output table
+
+    @property
+    def quarantine_table(self) -> str:
+        return self.quarantine or f"{self.output}_quarantine"

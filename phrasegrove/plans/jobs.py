@@ -16,9 +16,15 @@ from phrasegrove.functions.vectors import with_array
 from phrasegrove.operators.bounded import pin
 from phrasegrove.operators.embedding import embed_phrases
 from phrasegrove.operators.hierarchy import with_names
-from phrasegrove.operators.incremental import increment, new_rows
+from phrasegrove.operators.incremental import (
+    day_embeddings,
+    increment_counts,
+    is_new,
+    new_rows,
+    rows_per_id,
+)
 from phrasegrove.operators.metrics import elbow, metric_rows
-from phrasegrove.operators.naming import cluster_samples, name_hierarchy
+from phrasegrove.operators.naming import attach_texts, cluster_samples, name_hierarchy
 from phrasegrove.operators.nearest import distance_to_centroid
 from phrasegrove.operators.quality import split_valid
 from phrasegrove.operators.training import (
@@ -37,8 +43,8 @@ from phrasegrove.operators.training import (
 )
 from phrasegrove.params import ClusterParams, EmbedParams, NamingParams, Tables
 from phrasegrove.plans import checks
-from phrasegrove.sources.models import load_model, save_model
-from phrasegrove.sources.shared import cut_lineage
+from phrasegrove.sources.models import load_model, path_exists, save_model
+from phrasegrove.sources.shared import fresh_path, stored
 from phrasegrove.sources.tables import (
     DAY,
     on_day,
@@ -51,14 +57,33 @@ from phrasegrove.sources.tables import (
 PIPELINE, KMEANS_N2, KMEANS_N3 = "pipeline", "kmeans_n2", "kmeans_n3"
 
 
-def model_path(tables: Tables, part: str) -> str:
-    return f"{tables.models.rstrip('/')}/{part}"
+MAPPING, NAMES, RUNS = "mapping", "names", "runs"
+
+
+def run_path(tables: Tables, run_id: str, part: str) -> str:
+    """Where a training run keeps one of its parts: models, map or names."""
+    return f"{tables.models.rstrip('/')}/{run_id}/{part}"
+
+
+def runs_path(tables: Tables) -> str:
+    return f"{tables.models.rstrip('/')}/{RUNS}"
+
+
+def publish(spark: SparkSession, tables: Tables, run_id: str, trained_at: datetime) -> None:
+    """Make a complete run the current one, by one appended row."""
+    row = spark.createDataFrame([(run_id, trained_at)], "run_id string, trained_at timestamp")
+    row.coalesce(1).write.mode("append").parquet(runs_path(tables))
+
+
+def current_run(spark: SparkSession, tables: Tables) -> str:
+    runs = spark.read.parquet(runs_path(tables))
+    return runs.agg(F.max_by("run_id", F.struct("trained_at", "run_id"))).first()[0]
 
 
 @dataclass(frozen=True)
 class EmbedSummary:
     """Raw rows, those without an id, those embedded before, ids that were new, and ids
-    embedded now. A new id without any text is not embedded."""
+    embedded now. A new id without any text is not embedded: it is in ``new_ids`` only."""
 
     total_raw: int
     without_id: int
@@ -66,6 +91,10 @@ class EmbedSummary:
     new_ids: int
     embedded: int
 
+    @property
+    def without_text(self) -> int:
+        return self.new_ids - self.embedded
+
 
 def embed_new(
     spark: SparkSession,
@@ -76,34 +105,35 @@ def embed_new(
 ) -> EmbedSummary:
     """Embed the phrases of the raw table that the embeddings table lacks, and append them.
 
-    With nothing new no client is called, so running again is harmless. Many new phrases go in
-    waves of at most ``rows_per_task`` per task; each wave is appended when it is done, and a
-    job that is stopped goes on from there. The counts are taken from the tables, since
-    counters kept by tasks count twice where a lost executor's tasks run again.
+    The ids are compared once and kept; with nothing new no client is called, so running again is
+    harmless. New phrases are written once, in parts of at most ``rows_per_task`` per task; each
+    part is read, embedded and appended on its own, and a job that is stopped goes on from there.
+    What was embedded is counted in the day's partition before and after, since counters kept by
+    tasks count twice where a lost executor's tasks run again.
     """
     checks.require(checks.usable_table(spark, tables.raw, ["id", "frase"]))
     raw = spark.table(tables.raw).select(F.col("id").cast("string"), F.col("frase").cast("string"))
     existing = read_or_empty(spark, tables.embeddings, schemas.EMBEDDINGS).select("id")
-    counts = increment(raw, existing).first()
-
+    per_id = stored(rows_per_id(raw, existing), "ids")
+    counts = increment_counts(per_id).first()
+    embedded = 0
     if counts.new_ids:
-        new = new_rows(raw.where(F.col("frase").isNotNull()), existing, counts.new_ids)
+        before = embedded_on(spark, tables, created_at)
+        new = new_rows(raw.where(F.col("frase").isNotNull()), per_id.where(is_new()))
         waves = -(-counts.new_ids // (params.max_concurrent * params.rows_per_task))
-        if waves > 1:
-            new = cut_lineage(new)
+        path = fresh_path(spark, "new")
+        wave_of = F.pmod(F.xxhash64("id"), F.lit(waves)).cast("int")
+        new.withColumn("wave", wave_of).write.partitionBy("wave").parquet(path)
+        parts = spark.read.schema("id string, frase string, wave int").parquet(path)
         for wave in range(waves):
-            part = new.where(F.pmod(F.xxhash64("id"), F.lit(waves)) == wave) if waves > 1 else new
-            rows = embed_phrases(part, make_embedder, params)
+            rows = embed_phrases(parts.where(F.col("wave") == wave), make_embedder, params)
             rows = schemas.conform(
                 rows.withColumn("created_at", F.lit(created_at)), schemas.EMBEDDINGS
             )
             write_table(
                 rows.withColumn(DAY, F.to_date("created_at")), tables.embeddings, "append", DAY
             )
-    embedded = 0
-    if table_exists(spark, tables.embeddings):
-        stored = spark.table(tables.embeddings)
-        embedded = stored.where(F.col("created_at") == F.lit(created_at)).count()
+        embedded = embedded_on(spark, tables, created_at) - before
     return EmbedSummary(
         total_raw=counts.total_raw,
         without_id=counts.without_id,
@@ -113,6 +143,15 @@ def embed_new(
     )
 
 
+def embedded_on(spark: SparkSession, tables: Tables, moment: datetime) -> int:
+    """Rows in the day partition of ``moment``."""
+    if not table_exists(spark, tables.embeddings):
+        return 0
+    rows = spark.table(tables.embeddings)
+    day = F.to_date(F.lit(moment))
+    return rows.where((F.col(DAY) if DAY in rows.columns else F.to_date("created_at")) == day).count()
+
+
 @dataclass(frozen=True)
 class TrainSummary:
     hierarchy: TrainedHierarchy
@@ -135,6 +174,7 @@ def train(
 ) -> TrainSummary:
     """Study k, fit the hierarchy, store models, map, names and metrics.
 
+    All parts lie under the run's id and are made current together, when they are complete.
     Embeddings of another size or with null or NaN elements are left out and counted. With no
     namer the names table is left alone.
     """
@@ -174,25 +214,33 @@ def train(
     n_valid = levels[0].n
     n_all = embeddings.count()
 
-    save_model(trained.pipeline, model_path(tables, PIPELINE))
-    save_model(levels[1].model, model_path(tables, KMEANS_N2))
-    save_model(levels[2].model, model_path(tables, KMEANS_N3))
-    mapping = trained.mapping
-    write_table(schemas.conform(mapping, schemas.MAPPING), tables.mapping, "overwrite")
+    save_model(trained.pipeline, run_path(tables, run_id, PIPELINE))
+    save_model(levels[1].model, run_path(tables, run_id, KMEANS_N2))
+    save_model(levels[2].model, run_path(tables, run_id, KMEANS_N3))
+    mapping = schemas.conform(trained.mapping, schemas.MAPPING)
+    mapping.write.mode("overwrite").parquet(run_path(tables, run_id, MAPPING))
 
+    named = None
     if make_namer is not None:
-        points = apply_pipeline(trained.pipeline, valid.select("id", "frase", "embedding"))
+        points = apply_pipeline(trained.pipeline, valid.select("id", "embedding"))
         points = with_array(points, FEATURES_COL, "point", "double")
         placed = distance_to_centroid(
-            points.select("id", "frase", "cluster_n1", "point"),
+            points.select("id", "cluster_n1", "point"),
             centre_rows(spark, levels[0].model),
             "point",
         ).drop("point")
+        # Only the samples' texts are fetched, at the end.
         samples = cluster_samples(placed, naming.samples_per_cluster)
+        samples = attach_texts(samples, valid.select("id", "frase"))
         names = name_hierarchy(samples, mapping, make_namer, naming, keep=pin)
         named = schemas.conform(names.withColumn("trained_at", stamp), schemas.NAMES)
-        write_table(named, tables.names, "overwrite")
+        named.write.mode("overwrite").parquet(run_path(tables, run_id, NAMES))
 
+    # Everything of the run is written: the tables follow, then the one row that makes it current.
+    write_table(mapping, tables.mapping, "overwrite")
+    if named is not None:
+        write_table(spark.read.parquet(run_path(tables, run_id, NAMES)), tables.names, "overwrite")
+    publish(spark, tables, run_id, trained_at)
     write_table(run_metrics(spark, levels, params, run_id, trained_at, n_valid), tables.metrics)
     return TrainSummary(trained, recommended, reason, n_all - n_valid, n_valid)
 
@@ -211,27 +259,56 @@ def run_metrics(
     return spark.createDataFrame([ordered], schemas.METRICS)
 
 
-def assign(spark: SparkSession, tables: Tables, day: date, processed_at: datetime, dims: int) -> int:
-    """Score the embeddings created on ``day`` and make them the output table's part for it.
+@dataclass(frozen=True)
+class AssignSummary:
+    """Rows of the day in the output table, and rows of the day that could not be scored."""
 
-    Returns the number of rows. Running it again for a day replaces that day's rows.
+    rows: int
+    quarantined: int
+
+
+def assign(
+    spark: SparkSession,
+    tables: Tables,
+    day: date,
+    processed_at: datetime,
+    dims: int,
+    fresh: DataFrame | None = None,
+) -> AssignSummary:
+    """Score the embeddings of ``day`` and make them the output table's part for it.
+
+    Model, map and names are those of one training run, the current one. Rows with an unusable
+    embedding become the quarantine table's part for the day. Running it again for a day
+    replaces both parts. ``fresh`` are further embeddings of the day that are not stored yet.
+
+    A row's day is its partition's where the table has one, else its timestamp's in the session's
+    zone; never both, so no row falls between two days.
     """
-    pipeline_path = model_path(tables, PIPELINE)
     checks.require(
-        checks.model_present(spark, pipeline_path),
-        checks.usable_table(spark, tables.mapping, schemas.MAPPING.names),
+        checks.model_present(spark, runs_path(tables)),
         checks.usable_table(spark, tables.embeddings, schemas.EMBEDDINGS.names),
     )
     embeddings = spark.table(tables.embeddings)
-    of_day = embeddings.where(on_day("created_at", day))
-    if DAY in embeddings.columns:
-        of_day = of_day.where(F.col(DAY) == F.lit(day))
-    valid, _ = split_valid(of_day.select("id", "frase", "embedding"), "embedding", dims)
-    pipeline: PipelineModel = load_model(pipeline_path)
-    names = spark.table(tables.names) if table_exists(spark, tables.names) else None
-    scored = with_names(score(valid, pipeline, spark.table(tables.mapping)), names)
-    output = schemas.conform(
-        scored.withColumn("processed_at", F.lit(processed_at).cast("timestamp")), schemas.OUTPUT
-    )
-    replace_day(output, tables.output, day)
-    return spark.table(tables.output).where(F.col(DAY) == F.lit(day)).count()
+    of_day = F.col(DAY) == F.lit(day) if DAY in embeddings.columns else on_day("created_at", day)
+    columns = ["id", "frase", "embedding"]
+    rows = embeddings.where(of_day).select(*columns)
+    if fresh is not None:
+        rows = day_embeddings(rows, fresh.select(*columns))
+    valid, broken = split_valid(rows, "embedding", dims)
+
+    run = current_run(spark, tables)
+    pipeline: PipelineModel = load_model(run_path(tables, run, PIPELINE))
+    mapping = spark.read.schema(schemas.MAPPING).parquet(run_path(tables, run, MAPPING))
+    names_path = run_path(tables, run, NAMES)
+    names = spark.read.parquet(names_path) if path_exists(spark, names_path) else None
+    scored = with_names(score(valid, pipeline, mapping), names, mapping)
+    stamp = F.lit(processed_at).cast("timestamp")
+    replace_day(schemas.conform(scored.withColumn("processed_at", stamp), schemas.OUTPUT), tables.output, day)
+    broken = broken.withColumn("reason", F.lit("embedding"))
+    broken = schemas.conform(broken.withColumn("processed_at", stamp), schemas.QUARANTINE)
+    replace_day(broken, tables.quarantine_table, day)
+    counts = [
+        spark.table(name).where(F.col(DAY) == F.lit(day)).count()
+        for name in (tables.output, tables.quarantine_table)
+    ]
+    return AssignSummary(*counts)

@@ -49,6 +49,17 @@ OUTPUT = StructType(
     + [_col("processed_at", TimestampType(), True)]
 )
 
+# What a job could not use; not one of the fixed schemas.
+QUARANTINE = StructType(
+    [
+        _col("id", StringType()),
+        _col("frase", StringType()),
+        _col("embedding", ArrayType(FloatType())),
+        _col("reason", StringType(), True),
+        _col("processed_at", TimestampType(), True),
+    ]
+)
+
 MAPPING = StructType([_col(f"cluster_n{n}", IntegerType(), True) for n in _LEVELS])
 
 NAMES = StructType(

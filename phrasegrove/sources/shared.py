@@ -31,6 +31,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str = "rows") -> DataFrame:
+    """Write ``df`` to the shared folder once and read it from there: what the plan says of its
+    size is then what lies on disk, and nothing below it runs again."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written rows."""
     shared_folder(df.sparkSession)

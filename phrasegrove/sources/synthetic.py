@@ -51,7 +51,7 @@ def synthetic_mixture(
         topics = F.broadcast(topics)
     return rows.join(topics, "topic").select(
         F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"))).alias("id"),
-        F.format_string("Synthetic phrase on topic %d, sample %d", "topic", "id").alias("frase"),
+        F.format_string("customer note %2$d about subject %1$d", "topic", "id").alias("frase"),
         noisy.alias("embedding"),
         "topic",
     )

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 DAY = "day"
 
+# Conditions by which a catalog says that a table, or what should hold it, is not there.
+NOT_FOUND = ("TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND", "CATALOG_NOT_FOUND")
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
@@ -20,11 +24,13 @@ def read_table_with_filter(spark: SparkSession, name: str, condition: str) -> Da
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
-    """One- to three-part name; any catalog error counts as absent."""
+    """One- to three-part name. Only "not found" is an answer; any other error is raised."""
     try:
         return spark.catalog.tableExists(name)
-    except Exception:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in NOT_FOUND:
+            return False
+        raise
 
 
 def read_or_empty(spark: SparkSession, name: str, schema: StructType) -> DataFrame:

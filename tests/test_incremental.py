@@ -63,27 +63,43 @@ def test_reconcile(spark):
     assert incremental.increment(nothing, nothing).first() == (0, 0, 0, 0)
 
 
-@pytest.mark.parametrize("max_rows", [100, 1])
-def test_new_rows_both_ways(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_new_rows(spark, threshold):
     raw = spark.createDataFrame(
         [("a", "x"), ("b", "z"), ("b", "y"), (None, "n"), ("c", "w")], "id string, frase string"
     )
     existing = spark.createDataFrame([("a",), (None,)], "id string")
-    rows = incremental.new_rows(raw, existing, 2, max_rows)
-    assert sorted(rows.collect()) == [("b", "y"), ("c", "w")]
+    ids = incremental.rows_per_id(raw, existing).where(incremental.is_new())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        rows = incremental.new_rows(raw, ids)
+        text = rows._jdf.queryExecution().executedPlan().toString()
+        assert sorted(rows.collect()) == [("b", "y"), ("c", "w")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Only rows that survive the join are grouped.
+    assert text.index("partial_min") < text.index("LeftSemi")
 
 
-def test_copies_fall_away_before_a_large_anti_join(spark):
+def test_null_alone_is_hot(spark):
+    raw = spark.range(200_000).select(F.lit(None).cast("long").alias("id"), F.lit("x").alias("frase"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        raw = spark.range(100).select("id", F.lit("x").alias("frase"))
-        plan = incremental.new_rows(raw, spark.range(50), 10**9)
-        text = plan._jdf.queryExecution().executedPlan().toString()
+        left = incremental.new_phrases(raw, spark.range(50))
+        sizes = left.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    join, partial = text.index("SortMergeJoin"), text.index("partial_min")
-    assert join < text.index("Exchange hashpartitioning") < partial
-    assert text.count("Exchange hashpartitioning") == 2
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in sizes) == 200_000
+    assert max(r["count"] for r in sizes) < 100_000
+
+
+def test_day_embeddings_keep_the_stored_row(spark):
+    stored = spark.createDataFrame([("a", [1.0], "s")], "id string, embedding array<float>, o string")
+    fresh = spark.createDataFrame([("a", [2.0]), ("b", [3.0])], "id string, embedding array<float>")
+    rows = incremental.day_embeddings(stored, fresh).collect()
+    assert sorted((r.id, r.embedding, r.o) for r in rows) == [("a", [1.0], "s"), ("b", [3.0], None)]
 
 
 class FakeContext:
@@ -175,26 +191,28 @@ def test_retry_doubles_the_delay_and_gives_up():
 def test_token_hash_embedder_is_unit_length_or_zero():
     words, empty = TokenHashEmbedder(16).embed_batch(["Olá mundo, olá!", "123 --"])
     assert sum(x * x for x in words) == pytest.approx(1.0, abs=1e-6)
-    assert empty == [0.0] * 16
+    assert empty.tolist() == [0.0] * 16
 
 
-def test_left_join_dimension_both_ways(spark):
+def test_left_join_dimension(spark):
     facts = spark.range(1000).withColumn("k", F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")))
     dim = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    small = bounded.left_join_dimension(facts, dim, "k")
-    large = bounded.left_join_dimension(facts, dim, "k", max_rows=10)
-    assert "_piece" in large._jdf.queryExecution().optimizedPlan().toString()
-    key = lambda r: r.id
-    columns = ["id", "k", "v"]
-    assert sorted(small.select(columns).collect(), key=key) == sorted(
-        large.select(columns).collect(), key=key
-    )
+    rows = bounded.left_join_dimension(facts, dim, "k").collect()
+    assert len(rows) == 1000
+    assert all(r.v == (2 * r.k if r.k < 500 else None) for r in rows)
+
+
+def test_pin_evaluates_once(spark):
+    ran = spark.sparkContext.accumulator(0)
 
+    @F.udf("long")
+    def counted(x):
+        ran.add(1)
+        return x
 
-def test_pin_small_and_large(spark):
-    df = spark.range(50)
-    for max_rows in (100, 10):
-        assert bounded.pin(df, max_rows).count() == 50
+    kept = bounded.pin(spark.range(50).select(counted("id").alias("id")))
+    assert kept.count() == 50 and kept.agg(F.sum("id")).first()[0] == 1225
+    assert ran.value == 50
 
 
 def test_synthetic_mixture(spark, mixture):
@@ -211,7 +229,9 @@ def test_synthetic_mixture(spark, mixture):
 
 
 def test_tables(spark):
-    assert not tables.table_exists(spark, "absent") and not tables.table_exists(spark, "a.b.c.d.e")
+    assert not tables.table_exists(spark, "absent") and not tables.table_exists(spark, "nodb.absent")
+    with pytest.raises(Exception):
+        tables.table_exists(spark, "a.b.c.d.e")
     empty = tables.read_or_empty(spark, "absent", schemas.EMBEDDINGS)
     assert empty.schema == schemas.EMBEDDINGS and empty.isEmpty()
     df = spark.createDataFrame([("1", "x")], "id string, frase string")

@@ -7,8 +7,10 @@ from clients import NeverAsked
 from pyspark.sql import functions as F
 
 from phrasegrove import schemas
-from phrasegrove.functions.clients import TokenHashEmbedder
-from phrasegrove.operators import training
+from phrasegrove.functions.clients import TermNamer, TokenHashEmbedder
+from phrasegrove.operators import naming, training
+from phrasegrove.operators.bounded import pin
+from phrasegrove.operators.embedding import embed_phrases
 from phrasegrove.params import ClusterParams, EmbedParams, NamingParams, Tables
 from phrasegrove.plans import checks, jobs
 from phrasegrove.sources.shared import fresh_path
@@ -105,17 +107,20 @@ def test_train_and_assign(spark, tables):
     assert spark.table(tables.mapping).columns == schemas.MAPPING.names
 
     stamp = datetime(2024, 5, 4)
-    assert jobs.assign(spark, tables, date(2024, 5, 2), stamp, DIMS) == 30
+    assert jobs.assign(spark, tables, date(2024, 5, 2), stamp, DIMS) == jobs.AssignSummary(30, 0)
     output = spark.table(tables.output)
     assert output.columns == [*schemas.OUTPUT.names, "day"]
     once = {r.id: (r.cluster_n1, r.nome_n1, r.nome_n3) for r in output.collect()}
-    assert jobs.assign(spark, tables, date(2024, 5, 2), stamp, DIMS) == 30
+    assert jobs.assign(spark, tables, date(2024, 5, 2), stamp, DIMS) == jobs.AssignSummary(30, 0)
     spark.catalog.refreshTable(tables.output)
     twice = spark.table(tables.output).collect()
     assert {r.id: (r.cluster_n1, r.nome_n1, r.nome_n3) for r in twice} == once
     assert all(r.nome_n1 and r.dor_n2 and r.nome_n3 for r in twice)
-    assert jobs.assign(spark, tables, date(2024, 5, 1), stamp, DIMS) == 90
-    assert jobs.assign(spark, tables, date(2024, 1, 1), stamp, DIMS) == 0
+    # The broken row of that day is not lost.
+    assert jobs.assign(spark, tables, date(2024, 5, 1), stamp, DIMS) == jobs.AssignSummary(90, 1)
+    bad = spark.table(tables.quarantine_table).collect()
+    assert [(r.id, r.reason, r.day) for r in bad] == [("short", "embedding", date(2024, 5, 1))]
+    assert jobs.assign(spark, tables, date(2024, 1, 1), stamp, DIMS) == jobs.AssignSummary(0, 0)
     assert spark.table(tables.output).count() == 120
 
 
@@ -123,11 +128,58 @@ def test_without_a_namer_output_has_no_names(spark, tables):
     write_table(raw_frame(spark, phrase_rows(0, 40)), tables.raw)
     embed(spark, tables, DAY_1)
     train(spark, tables, make_namer=None)
-    assert jobs.assign(spark, tables, date(2024, 5, 1), DAY_2, DIMS) == 40
+    assert jobs.assign(spark, tables, date(2024, 5, 1), DAY_2, DIMS).rows == 40
     rows = spark.table(tables.output)
     assert rows.where("nome_n1 is not null or cluster_n2 is null").isEmpty()
 
 
+def test_assignment_takes_one_run_and_new_rows(spark, tables):
+    write_table(raw_frame(spark, phrase_rows(0, 40)), tables.raw)
+    embed(spark, tables, DAY_1)
+    train(spark, tables)
+    # A run that is not complete, and map and names of another run in the tables, change nothing.
+    spark.range(1).write.parquet(jobs.run_path(tables, "run-2", jobs.MAPPING))
+    empty = spark.createDataFrame([], schemas.MAPPING)
+    write_table(empty, tables.mapping, "overwrite")
+    fresh = embed_phrases(raw_frame(spark, phrase_rows(35, 10)), EMBEDDER, EMBED)
+    done = jobs.assign(spark, tables, date(2024, 5, 1), DAY_2, DIMS, fresh)
+    assert done == jobs.AssignSummary(45, 0)
+    assert spark.table(tables.output).where("cluster_n3 is null or nome_n3 is null").isEmpty()
+
+
+def test_a_failing_catalog_embeds_nothing(spark, tables, monkeypatch):
+    write_table(raw_frame(spark, phrase_rows(0, 5)), tables.raw)
+    embed(spark, tables, DAY_1)
+    asked = spark.catalog.tableExists
+
+    def failing(self, name, *more):
+        if name == tables.embeddings:
+            raise ConnectionError("no answer from the catalog")
+        return asked(name, *more)
+
+    monkeypatch.setattr(type(spark.catalog), "tableExists", failing)
+    with pytest.raises(ConnectionError):
+        embed(spark, tables, DAY_2, NeverAsked)
+    monkeypatch.undo()
+    assert spark.table(tables.embeddings).count() == 5
+
+
+def test_a_namer_is_asked_once_per_group(spark, tmp_path):
+    asked = spark.sparkContext.accumulator(0)
+
+    class Counting(TermNamer):
+        def complete_json(self, system, user):
+            asked.add(1)
+            return super().complete_json(system, user)
+
+    groups = spark.range(40).select(
+        F.col("id").cast("int").alias("cluster_id"), F.array(F.lit("some words")).alias("phrases")
+    )
+    names = pin(naming.name_level(groups, 1, Counting, NAMING))
+    assert names.count() == 40 and names.where("ok").count() == 40
+    assert asked.value == 40
+
+
 def test_checks_name_every_failure(spark, tables):
     with pytest.raises(checks.PreconditionError) as error:
         jobs.train(

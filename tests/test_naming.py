@@ -35,7 +35,7 @@ def test_prompts_and_answers(spark):
         "cluster_id int, phrases array<string>",
     )
     asked = {r.cluster_id: r for r in naming.naming_prompts(groups, 1).collect()}
-    assert asked[1].user_prompt.endswith("2 phrases:\n\n- a\n- b")
+    assert asked[1].user_prompt.endswith("2 messages:\n\n- a\n- b")
     assert asked[2].n_phrases == 0
     named = {r.cluster_id: r for r in naming.name_level(groups, 1, EchoNamer, PARAMS).collect()}
     assert (named[1].nome, named[1].ok) == ("- b", True)

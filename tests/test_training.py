@@ -62,9 +62,7 @@ def test_mapping_equals_the_models_own_prediction(spark, trained):
     assert direct == {r.cluster_n1: r.cluster_n2 for r in trained.mapping.collect()}
 
 
-@pytest.mark.parametrize("cells", [0, 10**9])
-def test_level_silhouette_equals_the_evaluator(spark, mixture, monkeypatch, cells):
-    monkeypatch.setattr(training, "EVALUATOR_CELLS", cells)
+def test_level_silhouette_equals_the_evaluator(spark, mixture):
     model = training.fit_features(mixture, 8)
     rows = training.apply_pipeline(model, mixture).select("features").cache()
     fit = training.fit_level(rows, 4, 1, training.kmeans(PARAMS), "features")
@@ -98,11 +96,9 @@ def test_fewer_distinct_points_than_clusters(spark):
     assert fit.k == 4 and fit.k_found <= 4 and fit.inertia == pytest.approx(0)
 
 
-@pytest.mark.parametrize("cells", [0, 10**9])
-def test_one_cluster_in_use_has_no_silhouette(spark, monkeypatch, cells):
-    monkeypatch.setattr(training, "EVALUATOR_CELLS", cells)
+def test_one_cluster_in_use_has_no_silhouette(spark):
     rows = vector_rows(spark, [[0, 0], [1, 0], [2, 0]]).withColumn("c", F.lit(1))
-    assert training.level_silhouette(rows, "features", "c", 2, 3) is None
+    assert training.level_silhouette(rows, "features", "c", 2) is None
 
 
 def test_equal_points_have_no_silhouette_and_one_row_is_refused(spark):

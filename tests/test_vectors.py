@@ -79,8 +79,8 @@ def test_nearest_equals_brute_force(spark):
     df, x, _ = points_frame(spark)
     centres = np.random.default_rng(9).normal(size=(40, 6))
     gaps = ((x[:, None] - centres[None]) ** 2).sum(-1)
-    for max_rows in (100, 7):  # one block, then several
-        found = nearest_centroid(df, centroid_frame(spark, centres), max_rows=max_rows)
+    for block_bytes in (None, 700):  # one block, then several
+        found = nearest_centroid(df, centroid_frame(spark, centres), block_bytes=block_bytes)
         for row in found.collect():
             assert row.cluster_id == gaps[row.id].argmin()
             assert row.distance == pytest.approx(gaps[row.id].min(), abs=1e-9)
@@ -93,8 +93,8 @@ def test_nearest_gives_ties_to_the_smaller_id_and_null_to_bad_vectors(spark):
         [(5, [1.0, 0.0]), (2, [0.0, -1.0]), (9, [1.0, 0.0])],
         "cluster_id int, centroid array<double>",
     )
-    for max_rows in (10, 1):
-        found = nearest_centroid(df, centres, max_rows=max_rows)
+    for block_bytes in (None, 1):
+        found = nearest_centroid(df, centres, block_bytes=block_bytes)
         assert {r.id: r.cluster_id for r in found.collect()} == {
             0: 2, 1: None, 2: None, 3: None, 4: None
         }
@@ -150,13 +150,13 @@ def test_covariance_equals_numpy(spark):
         assert r.cov == pytest.approx(want[r.i, r.j], abs=1e-12)
 
 
-@pytest.mark.parametrize("max_rows", [100, 3])
-def test_silhouette_equals_brute_force(spark, max_rows):
+@pytest.mark.parametrize("block_bytes", [None, 1])
+def test_silhouette_equals_brute_force(spark, block_bytes):
     df, x, labels = points_frame(spark, n=120)
     labels[0] = 50  # alone in its cluster
     df = df.withColumn("cluster", F.when(F.col("id") == 0, 50).otherwise(F.col("cluster")))
     want = brute_silhouette(x, labels)
-    scored = metrics.silhouette_scores(df, "cluster", max_rows=max_rows)
+    scored = metrics.silhouette_scores(df, "cluster", block_bytes=block_bytes)
     for r in scored.collect():
         assert r.silhouette == pytest.approx(want[r.id], abs=1e-9)
 
@@ -202,3 +202,43 @@ def test_each_run_has_its_own_elbow(spark):
     best = metrics.elbow(sweep).where("recommended").collect()
     assert sorted((r.run_id, r.k) for r in best) == [("a", 3), ("b", 3)]
     assert not any(math.isnan(r.curvature) for r in best)
+
+
+def test_bad_vectors_do_not_spoil_a_cluster(spark):
+    good = [(i, [float(i), 1.0, -float(i)], 1) for i in range(6)] + [(9, [5.0, 5.0, 5.0], 2), (10, [6.0, 5.0, 5.0], 2)]
+    bad = [(20, [float("nan"), 1.0, 1.0], 1), (21, None, 1), (22, [1.0, 2.0], 1), (23, [1.0] * 4, 1), (24, [1.0, None, 1.0], 1)]
+    schema = "id int, embedding array<double>, cluster int"
+    clean, dirty = (spark.createDataFrame(rows, schema) for rows in (good, good + bad))
+    for made in (
+        lambda df: moments.centroids(df, "cluster", dims=3),
+        lambda df: moments.wcss(moments.cluster_moments(df, "cluster", dims=3)),
+        lambda df: metrics.silhouette_scores(df, "cluster", dims=3).where("id < 20"),
+    ):
+        assert sorted(made(dirty).collect()) == sorted(made(clean).collect())
+    scores = metrics.silhouette_scores(dirty, "cluster", dims=3).where("id >= 20").collect()
+    assert len(scores) == 5 and all(r.silhouette is None for r in scores)
+
+
+def test_wcss_far_from_the_origin(spark):
+    rng = np.random.default_rng(2)
+    x = 1000 + rng.normal(size=(300, 4)) * 1e-7
+    df = spark.createDataFrame([(v.tolist(), 1) for v in x], "embedding array<double>, cluster int")
+    want = ((x - x.mean(axis=0)) ** 2).sum()
+    got = moments.wcss(moments.cluster_moments(df, "cluster")).first().wcss
+    assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_merged_moments_equal_those_of_the_union(spark):
+    rng = np.random.default_rng(3)
+    rows = [(v.tolist(), int(c)) for v, c in zip(rng.normal(size=(90, 3)) + 50, rng.integers(0, 6, 90))]
+    df = spark.createDataFrame(rows, "embedding array<double>, cluster int")
+    whole = moments.cluster_moments(df.withColumn("cluster", F.col("cluster") % 2), "cluster")
+    parts = moments.merged_moments(moments.cluster_moments(df, "cluster"), F.col("cluster_id") % 2)
+    want = {(r.cluster_id, r.dim): (r.n, r.total, r.spread) for r in whole.collect()}
+    for r in parts.collect():
+        assert (r.n, r.total, r.spread) == pytest.approx(want[r.cluster_id, r.dim], rel=1e-9)
+
+
+def test_covariance_of_one_row_is_null(spark):
+    df = spark.createDataFrame([([1.0, 2.0],)], "embedding array<double>")
+    assert {r.cov for r in covariance(df, "embedding", 2).collect()} == {None}
