@@ -51,6 +51,8 @@ SAMPLE_DOCS = 8000
 COMMON = 3
 #: Rows of hubs that a task compares at a time, about; a group is not cut.
 HUB_ROWS = 20_000
+#: Tasks that the partners of one hub are dealt to.
+PIECES = 4
 #: Words whose hashes a worker keeps.
 WORDS_KEPT = 300_000
 #: Least number of words of a sketch.
@@ -356,25 +358,25 @@ def passing_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def hubs_of(links: DataFrame, classes: DataFrame) -> DataFrame:
+def hubs_of(links: DataFrame) -> DataFrame:
     """``(node, hub, radius)`` of the linked nodes: the partner with the most links, or the node
-    itself if it has more, and a bound of the shingles in which they differ."""
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    itself if it has more, and in how many shingles they differ."""
+    both = links.select("a", "b", "apart").union(links.select("b", "a", "apart")).distinct()
     degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
     best = both.join(degree.withColumnRenamed("a", "b"), "b").groupBy("a").agg(
-        F.max(F.struct("degree", "b")).alias("top")
+        F.max(F.struct("degree", "b", "apart")).alias("top")
+    )
+    own = F.struct("degree", "a") > F.struct("top.degree", "top.b")
+    return best.join(degree, "a").select(
+        F.col("a").alias("node"),
+        F.when(own, F.col("a")).otherwise(F.col("top.b")).alias("hub"),
+        F.when(own, F.lit(0)).otherwise(F.col("top.apart")).cast("bigint").alias("radius"),
     )
-    best = best.join(degree, "a")
-    own = F.struct("degree", F.col("a").alias("b")) > F.col("top")
-    chosen = best.select(F.col("a").alias("node"), F.when(own, F.col("a")).otherwise(F.col("top.b")).alias("hub"))
-    size = classes.select("node", "n")
-    chosen = chosen.join(size, "node").join(size.select(F.col("node").alias("hub"), F.col("n").alias("m")), "hub")
-    radius = F.when(F.col("node") == F.col("hub"), F.lit(0)).otherwise(F.floor((F.col("n") + F.col("m")) / 7))
-    return chosen.select("node", "hub", radius.cast("bigint").alias("radius"))
 
 
 def near_hubs(members: DataFrame) -> DataFrame:
-    """``(h, k)``: hubs of one group and different components that may have linked members.
+    """``(h, k, least)``: hubs of one group and different components that may have linked members,
+    and a lower bound of the shingles in which the hubs differ.
 
     ``members`` has ``g, hub, component, radius, most, n, upper, lower``: a hub's set, and the largest
     radius and size of what it stands for. If hubs differ in more shingles than both radii and a link
@@ -390,13 +392,14 @@ def near_hubs(members: DataFrame) -> DataFrame:
         for rows in groups.values():
             found.update(_near_pairs(rows))
         pairs = sorted(found)
-        return pa.table({"h": pa.array([h for h, _ in pairs], pa.int64()), "k": pa.array([k for _, k in pairs], pa.int64())})
+        columns = list(zip(*pairs)) or [(), (), ()]
+        return pa.table({name: pa.array(values, pa.int64()) for name, values in zip(("h", "k", "least"), columns)})
 
     dealt = members.withColumn("part", F.pmod(F.xxhash64("g"), F.lit(parts)))
-    return dealt.groupBy("part").applyInArrow(run, "h bigint, k bigint").distinct()
+    return dealt.groupBy("part").applyInArrow(run, "h bigint, k bigint, least bigint").distinct()
 
 
-def _near_pairs(rows: list[dict]) -> Iterator[tuple[int, int]]:
+def _near_pairs(rows: list[dict]) -> Iterator[tuple[int, int, int]]:
     """The pairs of one group, compared sketch by sketch: all rows with a band's sketch at once."""
     rows.sort(key=lambda r: (r["n"], r["hub"]))
     bands = np.array([band_of(r["n"]) for r in rows])
@@ -411,18 +414,69 @@ def _near_pairs(rows: list[dict]) -> Iterator[tuple[int, int]]:
             others = at[x + 1 :]
             least = np.bitwise_count(matrix[x + 1 :] ^ matrix[x]).sum(axis=1)
             room = radius[others] + radius[own[x]] + (most[others] + most[own[x]]) // 7
-            for y in others[(least <= room) & (part[others] != part[own[x]])]:
-                yield hub[own[x]], hub[y]
+            near = (least <= room) & (part[others] != part[own[x]])
+            for y, bound in zip(others[near], least[near]):
+                yield hub[own[x]], hub[y], int(bound)
         # Hubs further apart than neighbouring bands are only held against each other by size.
         for y in np.flatnonzero(bands > band + 1):
             gap = rows[y]["n"] - np.array([rows[x]["n"] for x in own])
             room = radius[y] + radius[own] + (most[y] + most[own]) // 7
-            for x in own[(gap <= room) & (part[own] != part[y])]:
-                yield hub[x], hub[y]
+            near = (gap <= room) & (part[own] != part[y])
+            for x, bound in zip(own[near], gap[near]):
+                yield hub[x], hub[y], int(bound)
+
+
+def spoke_pairs(near: DataFrame, spokes: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(a, b)``: what stands behind two near hubs, member by member, where the sketches allow a link.
+
+    The members of the larger hub meet the others' in a task, so that only the pairs that pass are
+    rows; the others are dealt to ``PIECES`` tasks.
+    """
+    count = spokes.groupBy(F.col("hub").alias("x")).agg(F.count(F.lit(1)).alias("m"))
+    for side in "hk":
+        near = near.join(count.select(F.col("x").alias(side), F.col("m").alias(f"m_{side}")), side)
+    larger = F.struct("m_h", "h") > F.struct("m_k", "k")
+    near = near.select(
+        F.when(larger, F.col("h")).otherwise(F.col("k")).alias("h"),
+        F.when(larger, F.col("k")).otherwise(F.col("h")).alias("k"),
+    ).distinct()
+    sets = classes.select("node", "n", "upper", "lower")
+    inner = near.select("h").distinct().join(spokes.withColumnRenamed("hub", "h"), "h")
+    outer = near.join(spokes.withColumnRenamed("hub", "k"), "k").select("h", "node").distinct()
+    inner = inner.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+    outer = outer.withColumn("piece", F.pmod(F.xxhash64("node"), F.lit(PIECES)).cast("int"))
+
+    def run(inside: pa.Table, outside: pa.Table) -> pa.Table:
+        one = inside.to_pylist()
+        two = [{name[2:]: value for name, value in row.items()} for row in outside.to_pylist()]
+        found_a, found_b = [], []
+        for band in {band_of(r["n"]) for r in one}:
+            own = [r for r in one if band_of(r["n"]) == band]
+            size = np.array([r["n"] for r in own])
+            for step, mine, theirs in ((-1, "lower", "upper"), (0, "upper", "upper"), (1, "upper", "lower")):
+                others = [r for r in two if band_of(r["n"]) == band + step]
+                if not others:
+                    continue
+                matrix = np.frombuffer(b"".join(r[mine] for r in own), np.uint64).reshape(len(own), -1)
+                for y in others:
+                    apart = np.bitwise_count(matrix ^ np.frombuffer(y[theirs], np.uint64)).sum(axis=1)
+                    near = 3 * np.maximum(size, y["n"]) <= 4 * np.minimum(size, y["n"])
+                    for i in np.flatnonzero(near & (apart <= (size + y["n"]) // 7)):
+                        found_a.append(own[i]["node"])
+                        found_b.append(y["node"])
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    left = inner.join(sets, "node").groupBy("h", "piece")
+    right = outer.join(sets, "node")
+    right = right.select(*(F.col(c).alias(f"o_{c}") for c in right.columns)).groupBy("o_h", "o_piece")
+    return left.cogroup(right).applyInArrow(run, "a bigint, b bigint").where("a <> b")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that link, by their sets, made anew from one text of each node in question."""
+    """``(a, b, apart)``: the pairs that link, and in how many shingles they differ.
+
+    The sets are made anew from one text of each node in question.
+    """
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     asked = stored(asked.join(classes.select("node", "rep"), "node").select("node", F.col("rep.i").alias("i"), F.col("rep.s").alias("s")), "asked")
     # Texts that nothing asks for are mostly held back here, before they would be shuffled.
@@ -443,16 +497,19 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+            keep, apart = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, np.int64)
             for i, (x, y) in enumerate(zip(batch.column("of_a"), batch.column("of_b"))):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep[i] = 100 * both >= 75 * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+                apart[i] = len(x) + len(y) - 2 * both
+            columns = [batch.column("a"), batch.column("b"), pa.array(apart)]
+            made = pa.RecordBatch.from_arrays(columns, names=["a", "b", "apart"])
+            yield made.filter(pa.array(keep))
 
     # Plain joins, so a node with very many partners is split by the skew join.
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "of_a", "of_b")
-    return rows.mapInArrow(compare, "a bigint, b bigint")
+    return rows.mapInArrow(compare, "a bigint, b bigint, apart bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -481,10 +538,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = groups.join(heads, "g").where("node <> head.node").select(F.col("head.node").alias("a"), F.col("node").alias("b"))
     tried = stored(passing_sketches(star.distinct(), classes), "tried")
     links = stored(verified(tried, classes, source), "links")
-    # Second round: members of a group that are still in different components, hub against hub.
+    # Second round: the other members of a group, where they are still in different components, hub
+    # against hub. Their pairs with the group's head have been compared.
     labels = components(links, "a", "b")
-    known = labels.join(hubs_of(links, classes), "node", "left")
-    member = groups.join(known, "node", "left").select(
+    known = labels.join(hubs_of(links), "node", "left")
+    member = groups.join(heads, "g").where("node <> head.node").join(known, "node", "left").select(
         "g",
         "node",
         "n",
@@ -492,19 +550,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce("hub", "node").alias("hub"),
         F.coalesce("radius", F.lit(0)).alias("radius"),
     )
+    member = stored(member, "members")
     mixed = member.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("g")
-    member = stored(member.join(mixed, "g"), "members")
-    per_hub = member.groupBy("g", "hub", "component").agg(F.max("radius").alias("radius"), F.max("n").alias("most"))
+    per_hub = member.join(mixed, "g").groupBy("g", "hub", "component").agg(
+        F.max("radius").alias("radius"), F.max("n").alias("most")
+    )
     sketches = classes.select(F.col("node").alias("hub"), "n", "upper", "lower")
     near = stored(near_hubs(stored(per_hub.join(sketches, "hub"), "hubs")), "near")
-    spokes = member.select("hub", "node", "n", "component").distinct()
-    one = spokes.select(F.col("hub").alias("h"), F.col("node").alias("a"), F.col("n").alias("size_a"), F.col("component").alias("x"))
-    two = spokes.select(F.col("hub").alias("k"), F.col("node").alias("b"), F.col("n").alias("size_b"), F.col("component").alias("y"))
-    pairs = near.join(one, "h").join(two, "k").where("x <> y and 3 * greatest(size_a, size_b) <= 4 * least(size_a, size_b)")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def compared(pairs: DataFrame, before: DataFrame, label: str) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = stored(passing_sketches(pairs.join(before, ["a", "b"], "left_anti"), classes), label)
+        return stored(verified(pairs, classes, source), f"{label}-links")
+
+    # The hubs themselves first: most of the components that are near each other are one then.
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = pairs.join(done, ["a", "b"], "left_anti")
-    more = stored(verified(stored(passing_sketches(pairs, classes), "pairs"), classes, source), "more")
+    more = compared(near.select(F.col("h").alias("a"), F.col("k").alias("b")), done, "hub-pairs")
+    links = links.union(more)
+    labels = components(links, "a", "b")
+    for side in "hk":
+        named = labels.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+        near = near.join(named, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    near = near.where("of_h <> of_k").select("h", "k")
+    spokes = stored(member.select("hub", "node").distinct(), "spokes")
+    more = compared(spoke_pairs(near, spokes, classes), done, "pairs")
 
     labels = components(links.union(more), "a", "b")
     named = classes.select("node", "rep").join(labels, "node", "left")
