@@ -35,8 +35,8 @@ from pyspark.sql import types as T
 from phrasegrove.llm.common import from_planes, mix64, planes, slices, stored, texts_of
 
 #: Characters of a block (a longer text is one of its own), and of the corpus per bucket.
-BLOCK_CHARS = 8_000_000
-BUCKET_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
+BUCKET_CHARS = 4_000_000
 
 
 def split_words(text: bytes) -> list[bytes]:
