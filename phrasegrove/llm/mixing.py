@@ -10,6 +10,9 @@
    target mix.
 4. Slots are ranked within their source; rank r takes block r modulo the number of blocks. Ranks
    beyond ``repeats`` rounds take nothing, so no document is taken more often.
+5. A source that the schedule leaves off its target by more than ``NEAR`` of it, as happens with
+   targets of few blocks, is settled: its line is taken from the start, round after round, for
+   exactly the whole words of its target. These are the blocks of step 4, the last one cut by words.
 
 Ranks and offsets are prefix sums in two steps, over chunks and within a chunk, so a source with a
 third of all rows is no single task. The block size follows from the total, so that the schedule
@@ -29,6 +32,8 @@ from phrasegrove.llm.common import WORD, running_sum, stored
 
 #: Slots of the schedule, about.
 SLOTS = 1 << 18
+#: A source stays as the schedule has it when its words are off its target by this part at most.
+NEAR = 0.001
 #: Golden ratio times 2^32, and the range of a point. Fixed values.
 GOLDEN = 2654435769
 RANGE = 1 << 32
@@ -143,6 +148,13 @@ def mix(
         .agg(F.count(F.lit(1)).alias("uses"))
     )
 
+    # Sources that the schedule leaves off their targets get the whole words of these.
+    width = F.least(F.lit(block), F.col("source_size") - F.col("at") * block)
+    drawn_words = used.join(sources, "sid").groupBy("sid").agg(F.sum(F.col("uses") * width).alias("drawn"))
+    off = F.abs(F.coalesce("drawn", F.lit(0)) - F.col("target")) > NEAR * F.col("target")
+    sources = sources.join(drawn_words, "sid", "left").withColumn("settled", F.when(off, F.floor("target")))
+    sources = stored(sources.drop("blocks", "drawn"), "sources")
+
     # Each document meets the blocks that it lies in.
     last = F.floor((F.col("start") + F.col("size") - 1) / block)
     pieces = lined.withColumn("no", F.monotonically_increasing_id())
@@ -156,6 +168,10 @@ def mix(
         .groupBy("no")
         .agg(F.sum(overlap * F.col("uses")).alias("taken"))
     )
+    again = F.expr("settled % source_size")
+    settled = F.expr("settled div source_size") * F.col("size") + F.greatest(
+        F.lit(0), F.least(F.col("start") + F.col("size"), again) - F.col("start")
+    )
     return (
         pieces.join(taken, "no", "left")
         .join(sources, "sid")
@@ -164,7 +180,7 @@ def mix(
             "size",
             "source_size",
             "target",
-            F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+            F.coalesce(settled, "taken", F.lit(0)).cast("bigint").alias("taken"),
             *carry,
         )
     )

@@ -49,6 +49,25 @@ def test_mix_reaches_targets_and_bounds(spark):
     assert again == {(r.doc_id, r.taken) for r in got}
 
 
+@pytest.mark.parametrize("slots", [1, 16, 64])
+def test_rare_sources_reach_their_targets(spark, slots):
+    # One large source and rare ones, whose targets are from under one to a few blocks.
+    sizes = {"big": 9000, None: 41} | {f"r{i}": 7 + 23 * i for i in range(12)}
+    rows = []
+    for source, words in sizes.items():
+        while words > 0:
+            rows.append((len(rows), "w " * min(words, 10), source))
+            words -= 10
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in mixing.mix(docs, slots=slots).collect()}
+    taken = dict.fromkeys(sizes, 0)
+    for i, _, source in rows:
+        assert 0 <= got[i].taken <= 2 * got[i].size
+        taken[source] += got[i].taken
+    for source, target in brute_targets(sizes).items():
+        assert abs(taken[source] - target) <= 1 + mixing.NEAR * target, source
+
+
 def test_edges(clashing_docs):
     got = mixing.mix(clashing_docs).collect()
     assert len(got) == clashing_docs.count()
