@@ -8,9 +8,10 @@ word's probabilities, so a text that switches its language is labelled word by w
 the language with the largest part of the words' probability, and that part as its score.
 
 Learning takes at most ``Sample.docs`` labelled texts of each language (those with the smallest
-hash of their id) and ``Sample.words`` words of each, cuts them into passages, and strings
-passages of different texts together, so that switches are seen with their labels. The sample is
-the only part that is bounded; every text is predicted whole. Long texts do not make long loops:
+hash of their id and text, texts without a letter left out) and the first ``Sample.words`` words
+of each, wherever in the text they stand, cuts them into passages, and strings passages of
+different texts together, so that switches are seen with their labels. The sample is the only
+part that is bounded; every text is predicted whole. Long texts do not make long loops:
 chains are cut into pieces, the pieces' transfer matrices are multiplied along each text, and
 all pieces run side by side.
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 
 from phrasegrove.llm.common import add_columns, mix64
 
-WORDS = re.compile(r"[^\W\d_]+").findall
+WORD = re.compile(r"[^\W\d_]+")
+WORDS = WORD.findall
 UNKNOWN = "und"
 #: Rows of the weight table: hashed features, then one row per language's lexicon.
 HASHED = 1 << 16
@@ -47,7 +50,6 @@ class Sample:
 
     docs: int = 300
     words: int = 150
-    chars: int = 4000
     passage: int = 24
     rounds: int = 30
     rate: float = 0.3
@@ -221,8 +223,15 @@ def fit(docs: DataFrame, sample: Sample = Sample(), id_col="doc_id", text_col="t
     """Learn from the bounded sample of rows that are not held out."""
     spot = F.xxhash64(id_col, text_col)
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.substring(text_col, 1, sample.chars).alias("text"), F.col(lang_col).cast("string").alias("lang"), spot.alias("spot")
+        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), spot.alias("spot")
     )
+
+    def make(texts: list[str]) -> dict[str, pa.Array]:
+        firsts = (islice(WORD.finditer(text.lower()), sample.words) for text in texts)
+        return {"text": pa.array([" ".join(m.group() for m in first) for first in firsts], pa.string())}
+
+    # Only the words that may be learned leave the task.
+    rows = add_columns(rows, "text", "text string", make).where("text <> ''")
     # First within a 64th of a language, so that no task gets what all tasks hold of one.
     for keys in (["lang", "piece"], ["lang"]):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("spot", "text"))

@@ -101,6 +101,17 @@ def test_only_rows_that_may_be_learned_are(spark):
     assert model.languages == ["de"]
 
 
+def test_words_behind_a_long_opening_are_learned(spark):
+    rows = [(i, "12 | " * 2000 + "zwar oder " * 90, "de") for i in range(20)]
+    rows += [(100 + i, "word or " * 9, "en") for i in range(20)]
+    # Texts without a letter take no place of the sample.
+    rows += [(200 + i, "12 | " * 20, "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = li.fit(docs, li.Sample(docs=5, rounds=2))
+    assert model.languages == ["de", "en"]
+    assert model.lexicon == {"zwar": 0, "oder": 0, "word": 1, "or": 1}
+
+
 def test_held_out_accuracy(spark):
     import __spark_entry__ as entry
 
