@@ -15,6 +15,10 @@ part that is bounded; every text is predicted whole. Long texts do not make long
 chains are cut into pieces, the pieces' transfer matrices are multiplied along each text, and
 all pieces run side by side.
 
+How well a text is known is the mean over its words of the part of their n-grams that were
+learned. ``Model.least_known`` lies halfway between what the sample's texts have by each other
+(the lowest hundredth) and what the same words have in letters that were never learned.
+
 Defined cases: null text, or one without a letter: ``und`` with score 0; no labelled rows at all:
 every text is ``und``; ties go to the language first by name; repeated rows get equal results;
 extra columns are kept.
@@ -38,6 +42,8 @@ WORDS = WORD.findall
 UNKNOWN = "und"
 #: Rows of the weight table: hashed features, then one row per language's lexicon.
 HASHED = 1 << 16
+#: Places of the learned n-grams: so many that few others share one.
+KNOWN = 1 << 22
 #: Lengths of character n-grams, edges of the word included.
 GRAMS = (1, 2, 3, 4)
 #: Words of a piece of a chain.
@@ -64,9 +70,13 @@ class Model:
     weights: np.ndarray
     transitions: np.ndarray
     lexicon: dict[str, int]
+    #: By place, whether the sample has the n-gram.
+    learned: np.ndarray
+    #: A text that is known less than this is in none of the languages.
+    least_known: float
 
 
-def features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(words: list[str], lexicon: dict[str, int], table: int = HASHED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature rows and word numbers, one pair per feature, and each word's scale."""
     flat = np.frombuffer(("\x01" + "\x02\x01".join(words) + "\x02").encode("utf-32-le"), np.uint32).astype(np.uint64)
     begins = np.flatnonzero(flat == 1)
@@ -80,10 +90,10 @@ def features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.
         rolled[: len(flat) - n + 1] += flat[n - 1 :]
         if n in GRAMS:
             fits = left >= n
-            rows.append(mix64(rolled[fits] + np.uint64(n)) % np.uint64(HASHED))
+            rows.append(mix64(rolled[fits] + np.uint64(n)) % np.uint64(table))
             owners.append(owner[fits])
     sums = np.add.reduceat(mix64(flat + np.uint64(31) * left.astype(np.uint64)), begins)
-    rows.append(mix64(sums) % np.uint64(HASHED))
+    rows.append(mix64(sums) % np.uint64(table))
     owners.append(np.arange(len(words)))
     entry = np.array([lexicon.get(w, -1) for w in words])
     rows.append((HASHED + entry[entry >= 0]).astype(np.uint64))
@@ -98,6 +108,33 @@ def word_scores(found, weights: np.ndarray) -> np.ndarray:
     return np.stack(columns, axis=1) * scale[:, None]
 
 
+def known_parts(words: list[str], learned: np.ndarray) -> np.ndarray:
+    """The part of each word's n-grams, itself among them, that were learned."""
+    rows, owners, _ = features(words, {}, KNOWN)
+    return np.bincount(owners, learned[rows]) / np.bincount(owners)
+
+
+def least_known(texts: list[list[str]]) -> tuple[np.ndarray, float]:
+    """``Model.learned`` and ``Model.least_known`` of the sample's texts, given as words."""
+    index: dict[str, int] = {}
+    numbers = [np.array([index.setdefault(w, len(index)) for w in words]) for words in texts]
+    rows, owners, _ = features(list(index), {}, KNOWN)
+    order = np.argsort(owners, kind="stable")
+    by_word, ends = rows[order], np.searchsorted(owners[order], np.arange(len(index) + 1))
+    of = [by_word[ends[i] : ends[i + 1]] for i in range(len(index))]
+    # How many texts have a feature; a text's own does not count for it.
+    count = np.zeros(KNOWN, np.int64)
+    mine = [np.unique(np.concatenate([of[i] for i in np.unique(n)])) for n in numbers]
+    for own in mine:
+        count[own] += 1
+    shared = [np.mean([(count[of[i]] > 1).mean() for i in n]) for n in numbers]
+    learned = count > 0
+    strange = ["".join(chr(0xF0000 + ord(c) % 0xFFF0) for c in word) for word in index]
+    noise = known_parts(strange, learned)
+    low, high = np.mean([noise[n].mean() for n in numbers]), np.quantile(shared, 0.01)
+    return learned, float(min(high, (low + high) / 2))
+
+
 def marginals(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each word's probabilities in chains laid end to end, and the expected transitions.
 
@@ -163,8 +200,10 @@ def marginals(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) ->
 def learn(texts: list[tuple[str, str]], sample: Sample = Sample()) -> Model | None:
     """Fit the field to ``(text, language)`` pairs; the same pairs give the same model."""
     passages: dict[str, list[list[str]]] = {}
+    whole = []
     for text, language in sorted(texts, key=lambda pair: (pair[1], pair[0])):
         words = WORDS(text.lower())[: sample.words]
+        whole.extend([words] if words else [])
         for i in range(0, len(words), sample.passage):
             passages.setdefault(language, []).append(words[i : i + sample.passage])
     if not passages:
@@ -211,7 +250,7 @@ def learn(texts: list[tuple[str, str]], sample: Sample = Sample()) -> Model | No
         for value, gradient, moment in zip((weights, transitions), (slope, turn), moments):
             moment += gradient**2
             value += sample.rate * gradient / (np.sqrt(moment) + 1e-12)
-    return Model(languages, weights.astype(np.float32), transitions, lexicon)
+    return Model(languages, weights.astype(np.float32), transitions, lexicon, *least_known(whole))
 
 
 def held_out(id_col: str) -> Column:
@@ -243,13 +282,18 @@ def fit(docs: DataFrame, sample: Sample = Sample(), id_col="doc_id", text_col="t
 
 def predict(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, list[list[str]], np.ndarray]:
     """Language number (-1: none) and score of each text, its words, and all words' probabilities."""
+    return judged(texts, model)[:4]
+
+
+def judged(texts: list[str], model: Model, known: bool = False):
+    """What ``predict`` gives, and how well each text is known (0 if not asked for)."""
     index: dict[str, int] = {}
     split = [WORDS(text.lower()) for text in texts]
     sizes = np.array([len(words) for words in split], np.int64)
     numbers = np.array([index.setdefault(w, len(index)) for words in split for w in words], np.int64)
     k = len(model.languages)
     if not len(numbers):
-        return np.full(len(texts), -1), np.zeros(len(texts)), split, np.zeros((0, k))
+        return np.full(len(texts), -1), np.zeros(len(texts)), split, np.zeros((0, k)), np.zeros(len(texts))
     scores = word_scores(features(list(index), model.lexicon), model.weights)
     chances, _ = marginals(scores[numbers], sizes, model.transitions)
     owner = np.repeat(np.arange(len(texts)), sizes)
@@ -259,23 +303,32 @@ def predict(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, lis
     # Equal up to rounding counts as a tie.
     best = np.round(share, 9).argmax(axis=1)
     score = np.clip(share[np.arange(len(texts)), best], 0, 1)
-    return np.where(some, best, -1), np.where(some, score, 0.0), split, chances
+    part = np.zeros(len(texts))
+    if known:
+        part = np.bincount(owner, known_parts(list(index), model.learned)[numbers], minlength=len(texts)) / np.maximum(sizes, 1)
+    return np.where(some, best, -1), np.where(some, score, 0.0), split, chances, part
 
 
-def identify(df: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """Add the predicted language and its score; the text is the only input."""
+def identify(df: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score", known_out: str | None = None) -> DataFrame:
+    """Add the predicted language and its score; the text is the only input.
+
+    ``known_out``, if given, is added as how well the text is known.
+    """
     if model is None:
-        return df.withColumns({lang_out: F.lit(UNKNOWN), score_out: F.lit(0.0)})
+        extra = {known_out: F.lit(0.0)} if known_out else {}
+        return df.withColumns({lang_out: F.lit(UNKNOWN), score_out: F.lit(0.0), **extra})
     # The table of weights has a fixed number of rows, the lexicon is bounded by the sample.
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def make(texts: list[str]) -> dict[str, pa.Array]:
         model = sent.value
-        best, score, _, _ = predict(texts, model)
+        best, score, _, _, known = judged(texts, model, bool(known_out))
         names = [*model.languages, UNKNOWN]
-        return {lang_out: pa.array([names[b] for b in best], pa.string()), score_out: pa.array(score)}
+        made = {lang_out: pa.array([names[b] for b in best], pa.string()), score_out: pa.array(score)}
+        return {**made, **({known_out: pa.array(known)} if known_out else {})}
 
-    return add_columns(df, text_col, f"`{lang_out}` string, `{score_out}` double", make)
+    added = f"`{lang_out}` string, `{score_out}` double" + (f", `{known_out}` double" if known_out else "")
+    return add_columns(df, text_col, added, make)
 
 
 def label_words(df: DataFrame, model: Model, text_col: str = "text", out: str = "words") -> DataFrame:

@@ -39,6 +39,14 @@ def test_language_stage(spark, documents):
     assert len(want) == documents.count()
 
 
+def test_language_stage_rejects_unlearned_scripts(spark, documents):
+    strange = ["съешь же ещё этих мягких французских булок да выпей чаю", "η γρήγορη καφετιά αλεπού πηδάει", "日本語 の 文章 です", "ж"]
+    # Without labels, so that nothing is learned from them.
+    added = [(900 + i, text, None, "a", len(text)) for i, text in enumerate(strange)]
+    rows = documents.union(spark.createDataFrame(added, documents.schema))
+    assert rows_of(cp.language_stage(spark, rows, SF_DIR)) == rows_of(documents)
+
+
 def test_dedup_stage(spark, documents, clashing_docs):
     for docs in (documents, clashing_docs.select("doc_id", "text", "lang", "digest", "n", "_text")):
         rows = docs.collect()
