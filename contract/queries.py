@@ -443,6 +443,12 @@ def pca_project(spark, sf_dir):
     )
 
 
+def pca_project_rows(spark, sf_dir):
+    """Every coordinate of every projected vector."""
+    cells = with_array(features(spark, sf_dir), training.FEATURES_COL, "axes", "double")
+    return cells.select("id", F.posexplode("axes").alias("dim", "value"))
+
+
 def fit_report(spark, rows, fit):
     """One row of a fitted level: its size, points that are not at their nearest centre, and
     whether the inertia is the sum of the distances."""
@@ -468,6 +474,23 @@ def train_level(spark, sf_dir):
     return report
 
 
+def train_level_rows(spark, sf_dir):
+    """The measures of a level fitted with each candidate."""
+    with training.kept(features(spark, sf_dir)) as rows:
+        fits = [
+            training.fit_level(rows, k, 1, training.kmeans(SMALL), training.FEATURES_COL)
+            for k in SMALL.k_candidates
+        ]
+    return training.level_frame(spark, fits)
+
+
+def train_hierarchy_rows(spark, sf_dir):
+    """The three clusters of every vector."""
+    trained = training.train_hierarchy(vectors(spark, sf_dir), SMALL)
+    scored = training.score(vectors(spark, sf_dir), trained.pipeline, trained.mapping)
+    return scored.select("id", "cluster_n1", "cluster_n2", "cluster_n3")
+
+
 def train_hierarchy(spark, sf_dir):
     """Every vector is in one cluster of each level, the map is a tree, and all of it is found."""
     trained = training.train_hierarchy(vectors(spark, sf_dir), SMALL)
@@ -515,8 +538,8 @@ def k_sweep(spark, sf_dir):
     )
 
 
-def k_sweep_metrics(spark, sf_dir):
-    """What the metrics table holds of a sweep: known columns filled, the others null."""
+def sweep_table(spark, sf_dir):
+    """The metrics table that a sweep leaves."""
     name = f"{scratch_database(spark)}.metrics"
     rows = swept(spark, sf_dir).select(
         "run_id",
@@ -526,8 +549,13 @@ def k_sweep_metrics(spark, sf_dir):
         F.col("inertia").alias("inertia_n1"),
     )
     tables.write_table(metrics.metric_rows(rows), name)
+    return tables.read_table(spark, name)
+
+
+def k_sweep_metrics(spark, sf_dir):
+    """What the metrics table holds of a sweep: known columns filled, the others null."""
     known = ["run_id", "trained_at", "k_n1", "silhouette_n1", "inertia_n1"]
-    kept = tables.read_table(spark, name)
+    kept = sweep_table(spark, sf_dir)
     filled = sum((F.col(c).isNotNull().cast("int") for c in known), F.lit(0))
     other = [c for c in kept.columns if c not in known]
     null = sum((F.col(c).isNull().cast("int") for c in other), F.lit(0))
@@ -612,6 +640,11 @@ def trained_job(spark, sf_dir):
     return job
 
 
+def job_training_rows(spark, sf_dir):
+    """The metrics table that the training job leaves."""
+    return tables.read_table(spark, trained_job(spark, sf_dir).metrics)
+
+
 def job_training(spark, sf_dir):
     """Rows of each table that the training job leaves, and of a second run: metrics only grow."""
     job = trained_job(spark, sf_dir)
@@ -652,6 +685,13 @@ def job_assignment(spark, sf_dir):
     )
 
 
+def job_assignment_rows(spark, sf_dir):
+    """The output table of a day, without the vectors."""
+    job = trained_job(spark, sf_dir)
+    jobs.assign(spark, job, DAY, STAMP, DIMS)
+    return tables.read_table(spark, job.output).drop("embedding")
+
+
 QUERIES = {
     "scan_day_filter": scan_day_filter,
     "sink_roundtrip": sink_roundtrip,
@@ -693,11 +733,19 @@ QUERIES = {
     "train_hierarchy": train_hierarchy,
     "k_sweep": k_sweep,
     "k_sweep_metrics": k_sweep_metrics,
+    # What the count forms above are worked out from, row by row; SQL cannot follow these.
+    "pca_project_rows": pca_project_rows,
+    "train_level_rows": train_level_rows,
+    "train_hierarchy_rows": train_hierarchy_rows,
+    "k_sweep_rows": swept,
+    "k_sweep_metrics_rows": sweep_table,
     "model_roundtrip": model_roundtrip,
     "stream_assign": streamed_assignment,
     "job_embedding": job_embedding,
     "job_training": job_training,
     "job_assignment": job_assignment,
+    "job_training_rows": job_training_rows,
+    "job_assignment_rows": job_assignment_rows,
 }
 
 
