@@ -17,6 +17,7 @@ from phrasegrove.llm import (
     token_counts,
     url_filter,
     warc_fixity,
+    whitening,
 )
 from phrasegrove.llm.common import Shipped, read_table, stored
 
@@ -141,6 +142,12 @@ def op10_token_counts(spark, sf_dir) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark, sf_dir) -> DataFrame:
+    """A deviation beyond 64 bits, as some millions of vectors give, is null here."""
+    rows = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_sentencepiece": op2_sentencepiece,
@@ -152,4 +159,5 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
