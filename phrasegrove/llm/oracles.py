@@ -206,6 +206,88 @@ from d left join n on d.row = n.row join reach on d.row = reach.a join d o on re
 group by d.row, d.doc_id, n.n
 """
 
+#: CRC-32 of the UTF-8 bytes: the table of a byte's eight steps, then a step per byte.
+_CRC = r"""
+steps as (
+  select list_transform(range(256), lambda b:
+    list_reduce(list_prepend(b, range(8)), lambda c, i:
+      case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as tab
+), crc as (
+  select doc_id, size, source, lang, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint,
+      list_transform(range(size - 8), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) as text_crc32
+  from (select doc_id, source, lang, strlen(coalesce(text, '')) + 8 as size, hex(coalesce(text, '')) as h
+        from documents), steps
+)"""
+
+
+def _kd_level(k: int) -> str:
+    """One level of the tree: rows r{k} with node and shards (n) become r{k + 1}."""
+    widths = ", ".join(f"coalesce((max(m{d}) - min(m{d})) / nullif(any_value(g{d}), 0), 0)" for d in range(3))
+    return f"""
+s{k} as (
+  select node, [{widths}] as w, sum(size)::bigint * (any_value(n) // 2) // any_value(n) as cut
+  from r{k}, g where n > 1 group by node
+), o{k} as (
+  select r{k}.*, cut, coalesce(sum(size) over (partition by r{k}.node order by
+      case list_position(w, list_max(w)) when 1 then m0 when 2 then m1 when 3 then m2 end, doc_id nulls last
+      rows between unbounded preceding and 1 preceding), 0) as before
+  from r{k} left join s{k} on r{k}.node = s{k}.node
+), r{k + 1} as (
+  select doc_id, size, text_crc32, m0, m1, m2,
+    case when n = 1 or 2 * before + size <= 2 * cut then node else node + n // 2 end as node,
+    case when n = 1 then 1 when 2 * before + size <= 2 * cut then n // 2 else n - n // 2 end as n
+  from o{k}
+)"""
+
+
+_PLACE = "coalesce(('0x' || rpad(substr(hex({0}), 1, 14), 14, '0'))::bigint, 72057594037927936)"
+
+OP12 = f"""
+with {_CRC}, r0 as (
+  select doc_id, size, text_crc32, size as m0, {_PLACE.format('source')} as m1, {_PLACE.format('lang')} as m2,
+    0 as node, 24 as n
+  from crc
+), g as (
+  select max(m0) - min(m0) as g0, max(m1) - min(m1) as g1, max(m2) - min(m2) as g2 from r0
+), {", ".join(_kd_level(k) for k in range(5))}
+select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'bytes' as law, node::int as shard,
+  row_number() over (partition by node order by doc_id nulls last) - 1 as slot, null::int as grown_shard
+from r5
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+
+OP13 = f"""
+with q as (
+  select item_id, unnest(list_distinct({_TERMS})) as term from benchmark
+), d as (
+  select doc_id, {_TERMS} as terms from documents where text is not null
+), l as (
+  select doc_id, terms, len(terms)::bigint as n from d where len(terms) > 0
+), g as (
+  select count(*)::bigint as total, sum(n)::bigint as terms from l
+), p as (
+  select doc_id, n, term, count(*)::bigint as tf
+  from (select doc_id, n, unnest(terms) as term from l)
+  where term in (select term from q) group by all
+), w as (
+  select term, floor(1000 * ln((2 * any_value(total) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from p, g group by term
+), i as (
+  select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * total) // terms))) as impact
+  from p join w using (term), g
+), s as (
+  select item_id, doc_id, sum(impact)::bigint as score from q join i using (term) group by all having sum(impact) > 0
+)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s)
+where rank <= 50
+"""
+
+
 ORACLES = {
     "op1_lm_scoring": OP1,
     "op3_source_mix": OP3,
@@ -213,4 +295,6 @@ ORACLES = {
     "op5_exact_dedup": OP5,
     "op7_warc_fixity": OP7,
     "op8_url_filter": OP8,
+    "op12_kd_sharding": OP12,
+    "op13_lexical_search": OP13,
 }

@@ -11,9 +11,11 @@ from phrasegrove.llm import (
     exact_dedup,
     jaccard_join,
     language_id,
+    lexical_search,
     lm_scoring,
     mixing,
     sentencepiece_codec,
+    sharding,
     token_counts,
     url_filter,
     warc_fixity,
@@ -148,6 +150,17 @@ def op11_embedding_whitening(spark, sf_dir) -> DataFrame:
     return rows.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
 
 
+def op12_kd_sharding(spark, sf_dir) -> DataFrame:
+    """Leaves of near equal bytes over size, source and language."""
+    placed = sharding.kd_shards(read_table(spark, sf_dir, "documents"), shards=24)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op13_lexical_search(spark, sf_dir) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_sentencepiece": op2_sentencepiece,
@@ -160,4 +173,6 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_kd_sharding": op12_kd_sharding,
+    "op13_lexical_search": op13_lexical_search,
 }
