@@ -277,7 +277,7 @@ def elbow(spark, sf_dir):
     regrouped = moments.merged_moments(
         sums.withColumn("k", candidates), F.col("cluster_id") % F.col("k"), "k"
     )
-    sweep = regrouped.groupBy("k").agg(F.sum("spread").alias("inertia"))
+    sweep = regrouped.groupBy("k").agg(F.sum(moments.total("spread")).alias("inertia"))
     marked = metrics.elbow(sweep.withColumn("run_id", F.lit("labels")))
     return rounded(
         marked.select("k", "inertia", "curvature", "recommended"), "inertia", "curvature"

@@ -59,36 +59,20 @@ def nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.nda
     return index, np.round(np.einsum("ij,ij->i", gaps, gaps), TIE_DIGITS)
 
 
-def mean_distances(
-    points: np.ndarray,
-    own: np.ndarray,
-    counts: np.ndarray,
-    sums: np.ndarray,
-    squares: np.ndarray,
-) -> tuple[np.ndarray, np.ndarray]:
-    """Mean squared distance of each point to its own cluster's other members, and the
-    smallest mean squared distance to any other cluster.
-
-    The mean over a cluster of n points is ``|x|^2 + squares/n - 2 x.sums/n``. ``own`` is -1
-    for a point whose cluster is not among the given ones; its first answer is then NaN. A
-    point that is alone in its cluster gets ``ALONE``.
-    """
-    inside = np.full(len(points), np.nan)
-    outside = np.full(len(points), np.inf)
-    means = sums / counts[:, None]
-    spread = squares / counts
-    for part in row_slices(len(points), len(counts)):
-        x = points[part]
-        dist = np.einsum("ij,ij->i", x, x)[:, None] + spread - 2.0 * (x @ means.T)
-        np.maximum(dist, 0.0, out=dist)
-        mine = np.flatnonzero(own[part] >= 0)
-        cluster = own[part][mine]
-        n = counts[cluster]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            inside[part][mine] = np.where(n > 1, dist[mine, cluster] * n / (n - 1), ALONE)
-        dist[mine, cluster] = np.inf
-        outside[part] = dist.min(axis=1)
-    return inside, outside
+def squared_gaps(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of all points to all centres, by products taken near the centres' mean."""
+    middle = centres.mean(axis=0)
+    x, c = points - middle, centres - middle
+    gaps = np.einsum("ij,ij->i", x, x)[:, None] + np.einsum("ij,ij->i", c, c) - 2.0 * (x @ c.T)
+    return np.maximum(gaps, 0.0, out=gaps)
+
+
+def roughly_nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Index of a centre of each point that is nearest but for rounding."""
+    index = np.empty(len(points), "i8")
+    for part in row_slices(len(points), len(centres)):
+        index[part] = squared_gaps(points[part], centres).argmin(axis=1)
+    return index
 
 
 def scatter(values: np.ndarray, positions: np.ndarray, length: int, kind) -> pa.Array:
@@ -100,18 +84,113 @@ def scatter(values: np.ndarray, positions: np.ndarray, length: int, kind) -> pa.
     return pa.array(full, type=kind, mask=absent)
 
 
-class GramTotals:
-    """Running count, sum and product sum of the rows of many batches."""
+def matrix(vectors: pa.Array) -> np.ndarray:
+    """A list array of complete vectors as rows of a matrix; they must be of one size."""
+    sizes = np.diff(vectors.offsets.to_numpy())
+    if len(sizes) and (sizes != sizes[0]).any():
+        raise ValueError("the vectors are of several sizes: say by dims which one counts")
+    return vectors.flatten().to_numpy().reshape(len(sizes), -1)
+
+
+class Moments:
+    """Count, mean and summed squared deviations of the vectors of many clusters.
+
+    A cluster's key is a row of integers. What comes in is first reduced to one row per key,
+    centred on that row's own mean, and then merged with what is held.
+    """
 
     def __init__(self):
-        self.n, self.total, self.product = 0, None, None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.keys: list[np.ndarray] = []
+        self.n, self.mean, self.spread = np.zeros(0, "i8"), None, None
+
+    @property
+    def cells(self) -> int:
+        return 2 * len(self.places) * (0 if self.mean is None else self.mean.shape[1])
+
+    def add(self, cluster: np.ndarray, rows: np.ndarray) -> None:
+        """Vectors of the clusters with these numbers."""
+        ones = np.ones(len(rows), "i8")
+        self.merge(cluster.reshape(-1, 1), ones, rows, np.zeros((1, 1)))
+
+    def merge(self, keys: np.ndarray, n: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> None:
+        """Moments under these keys, which may repeat."""
+        known, inverse = np.unique(keys, axis=0, return_inverse=True)
+        order = np.argsort(inverse.ravel(), kind="stable")
+        starts = np.searchsorted(inverse.ravel()[order], np.arange(len(known)))
+        n, mean = n[order], mean[order]
+        whole = np.add.reduceat(n, starts)
+        centre = np.add.reduceat(mean * n[:, None], starts, axis=0) / whole[:, None]
+        apart = mean - np.repeat(centre, np.diff(np.append(starts, len(n))), axis=0)
+        inside = np.add.reduceat(apart * apart * n[:, None], starts, axis=0)
+        if spread.shape == mean.shape:
+            inside += np.add.reduceat(spread[order], starts, axis=0)
+        self._take(known, whole, centre, inside)
+
+    def _take(self, keys: np.ndarray, n: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> None:
+        """Moments of different keys."""
+        at = np.empty(len(keys), "i8")
+        for i, key in enumerate(keys):
+            at[i] = self.places.setdefault(key.tobytes(), len(self.places))
+        if self.mean is not None and self.mean.shape[1] != mean.shape[1]:
+            raise ValueError("the vectors are of several sizes: say by dims which one counts")
+        fresh = at >= len(self.keys)
+        self.keys.extend(keys[fresh])
+        if len(self.keys) > len(self.n):
+            room = max(len(self.keys), 2 * len(self.n))
+            self.n = np.append(self.n, np.zeros(room - len(self.n), "i8"))
+            grown = [np.zeros((room, mean.shape[1])) for _ in range(2)]
+            for held, new in zip((self.mean, self.spread), grown):
+                if held is not None:
+                    new[: len(held)] = held
+            self.mean, self.spread = grown
+        whole = self.n[at] + n
+        shift = mean - self.mean[at]
+        part = (n / whole)[:, None]
+        self.spread[at] += spread + shift * shift * part * self.n[at][:, None]
+        self.mean[at] += shift * part
+        self.n[at] = whole
+
+    def drain(self):
+        """Hand out ``(keys, n, mean, spread)`` in slices, and hold nothing any more."""
+        if self.keys:
+            keys, used = np.stack(self.keys), len(self.keys)
+            for part in row_slices(used, self.mean.shape[1]):
+                some = slice(part.start, min(part.stop, used))
+                yield keys[some], self.n[some], self.mean[some], self.spread[some]
+        self._clear()
+
+
+class CoMoments:
+    """Count, mean and summed products of deviations of vectors, in square tiles.
+
+    Only tiles on and above the diagonal are held. A batch is centred on its own mean and its tiles
+    are then merged, so nothing depends on how far from the origin the vectors lie.
+    """
+
+    def __init__(self, dims: int, tile: int):
+        self.parts = [slice(at, min(at + tile, dims)) for at in range(0, dims, tile)]
+        self.n, self.mean = 0, np.zeros(dims)
+        self.tiles = {
+            (i, j): np.zeros((a.stop - a.start, b.stop - b.start))
+            for i, a in enumerate(self.parts)
+            for j, b in enumerate(self.parts)
+            if i <= j
+        }
 
     def add(self, rows: np.ndarray) -> None:
         if not len(rows):
             return
-        if self.n == 0:
-            self.total = np.zeros(rows.shape[1])
-            self.product = np.zeros((rows.shape[1],) * 2)
-        self.n += len(rows)
-        self.total += rows.sum(axis=0)
-        self.product += rows.T @ rows
+        n, mean = len(rows), rows.mean(axis=0)
+        apart = rows - mean
+        shift, whole = mean - self.mean, self.n + n
+        weight = self.n * n / whole
+        for (i, j), tile in self.tiles.items():
+            a, b = self.parts[i], self.parts[j]
+            tile += apart[:, a].T @ apart[:, b]
+            tile += np.outer(shift[a] * weight, shift[b])
+        self.mean += shift * (n / whole)
+        self.n = whole

@@ -9,8 +9,21 @@ from pyspark.sql import functions as F
 
 from phrasegrove import schemas
 from phrasegrove.functions import kernels
+from phrasegrove.functions.balls import Balls
 from phrasegrove.operators.bounded import each_block, once, ship_blocks
-from phrasegrove.operators.moments import cluster_moments, pack
+from phrasegrove.operators.moments import cluster_moments, total
+
+
+def mean_inside(rows: np.ndarray, own: np.ndarray, counts: np.ndarray, balls: Balls) -> np.ndarray:
+    """Mean squared distance of each point to its own cluster's other members, ``ALONE`` without any.
+
+    The mean over a cluster is the squared distance to its mean plus its members' mean squared
+    distance to it; leaving the point itself out takes n to n - 1.
+    """
+    apart = rows - balls.centres[own]
+    whole = np.einsum("ij,ij->i", apart, apart) + balls.offsets[own]
+    n = counts[own]
+    return np.where(n > 1, whole * n / np.maximum(n - 1, 1), kernels.ALONE)
 
 
 def silhouette_scores(
@@ -23,47 +36,38 @@ def silhouette_scores(
 ) -> DataFrame:
     """Add the squared-Euclidean silhouette of every point.
 
-    The clusters' counts and sums are all a point has to be compared with, so no pair of
+    The clusters' moments are all a point has to be compared with, so no pair of
     points ever meets, and the points are not shuffled. A point alone in its cluster scores 0;
     with one cluster, no cluster or an incomplete vector it is null.
     """
-    squares = F.sum(F.col("spread") + F.col("total") * F.col("total") / F.col("n"))
-    profiles = pack(
-        cluster_moments(df, cluster_col, vec_col, dims),
-        "total",
-        "sums",
-        F.max("n").alias("n"),
-        squares.alias("squares"),
+    profiles = cluster_moments(df, cluster_col, vec_col, dims).select(
+        "cluster_id", "n", "mean", (total("spread") / F.col("n")).alias("variance")
     )
 
     def prepare(block: pa.Table):
         ids = block.column("cluster_id").to_numpy().astype("i4")
         if not len(ids):
-            return ids, np.zeros(0), np.zeros((0, 0)), np.zeros(0)
-        lists = block.column("sums").combine_chunks()
-        _, sums = kernels.usable_rows(lists, len(lists[0]))
-        if len(sums) != len(ids):
-            raise ValueError("the vectors are of several sizes: say by dims which one counts")
-        counts = block.column("n").to_numpy().astype("f8")
-        return ids, counts, sums, block.column("squares").to_numpy()
+            return ids, np.zeros(0), None
+        means = kernels.matrix(block.column("mean").combine_chunks())
+        return ids, block.column("n").to_numpy(), Balls(means, block.column("variance").to_numpy())
 
     shipped = ship_blocks(profiles, "cluster_id", prepare, block_bytes)
 
     @F.arrow_udf("struct<inside: double, outside: double>")
     def distances(vectors: pa.Array, clusters: pa.Array) -> pa.Array:
         kept, rows, inside, outside = np.zeros(0, "i8"), None, np.zeros(0), np.zeros(0)
-        for ids, counts, sums, squares in each_block(shipped):
+        for ids, counts, balls in each_block(shipped):
             if not len(ids):
                 continue
             if rows is None:
-                kept, rows = kernels.usable_rows(vectors, sums.shape[1])
+                kept, rows = kernels.usable_rows(vectors, balls.centres.shape[1])
                 wanted = clusters.take(pa.array(kept)).to_numpy(zero_copy_only=False)
                 inside, outside = np.full(len(rows), np.nan), np.full(len(rows), np.inf)
             at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
             own = np.where(ids[at] == wanted, at, -1)
-            mine, others = kernels.mean_distances(rows, own, counts, sums, squares)
-            inside = np.where(np.isnan(inside), mine, inside)
-            outside = np.minimum(outside, others)
+            mine = np.flatnonzero(own >= 0)
+            inside[mine] = mean_inside(rows[mine], own[mine], counts, balls)
+            outside = np.minimum(outside, balls.least_other(rows, own))
         fields = []
         for values in (inside, outside):
             known = np.isfinite(values)

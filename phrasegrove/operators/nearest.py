@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phrasegrove.functions import kernels
+from phrasegrove.functions.balls import Balls
 from phrasegrove.operators.bounded import each_block, once, ship_blocks
 
 
@@ -33,20 +34,25 @@ def nearest_centroid(
 ) -> DataFrame:
     """Add the id of, and squared distance to, the nearest of ``(cluster_id, centroid)``.
 
-    The points are read once and not shuffled; a task goes through the centroids block by block.
+    The points are read once and not shuffled; a task goes through the centroids block by block,
+    and within a block only through the balls that may hold a point's nearest centroid.
     Equal distances go to the smaller id, and a vector that is null, of another size or has a
     null or NaN element gets nulls.
     """
-    shipped = ship_blocks(centroid_rows, "cluster_id", centroid_block, block_bytes)
+    def prepare(block: pa.Table) -> tuple[np.ndarray, Balls]:
+        ids, centres = centroid_block(block)
+        return ids, Balls(centres)
+
+    shipped = ship_blocks(centroid_rows, "cluster_id", prepare, block_bytes)
 
     @F.arrow_udf("struct<distance: double, cluster_id: int>")
     def best(vectors: pa.Array) -> pa.Array:
         kept = least = found = rows = None
-        for ids, centres in each_block(shipped):
+        for ids, balls in each_block(shipped):
             if rows is None:
-                kept, rows = kernels.usable_rows(vectors, centres.shape[1])
+                kept, rows = kernels.usable_rows(vectors, balls.centres.shape[1])
                 least, found = np.full(len(rows), np.inf), np.zeros(len(rows), "i4")
-            at, gap = kernels.nearest(rows, centres)
+            at, gap = balls.nearest(rows)
             # Blocks come in the order of their ids, so an equal distance keeps the earlier one.
             closer = gap < least
             least[closer], found[closer] = gap[closer], ids[at[closer]]
