@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from phrasegrove.functions import prompts
 from phrasegrove.functions.clients import Namer, call_with_retry
-from phrasegrove.operators.bounded import SALTS, pin
+from phrasegrove.functions.heaps import Nearest
+from phrasegrove.operators.bounded import pin
+from phrasegrove.operators.packed import merged
 from phrasegrove.params import NamingParams
 
 
@@ -23,21 +26,15 @@ def cluster_samples(
 ) -> DataFrame:
     """The ``n`` rows of each cluster nearest its centroid, ties by id, numbered by ``position``.
 
-    Each task first keeps n rows of a cluster, then n are kept of each piece, a piece being a
-    64th of the tasks. The last step sees 64 x n rows of a cluster, however large it is.
+    A task keeps n rows of each cluster while it reads and never sorts its rows as a whole; what the
+    tasks keep is merged in two shuffles, so a large cluster is no single group. Null distances
+    come first, as in a sort.
     """
-    nearest_first = [F.col(distance_col), F.col(id_col)]
-    within_piece = Window.partitionBy(cluster_col, "_piece").orderBy(*nearest_first)
-    within_cluster = Window.partitionBy(cluster_col).orderBy(*nearest_first)
-    return (
-        df.where(F.col(cluster_col).isNotNull())
-        .withColumn("_piece", F.spark_partition_id() % SALTS)
-        .withColumn("position", F.row_number().over(within_piece))
-        .where(F.col("position") <= n)
-        .drop("position", "_piece")
-        .withColumn("position", F.row_number().over(within_cluster))
-        .where(F.col("position") <= n)
-    )
+    rows = df.where(F.col(cluster_col).isNotNull()).drop("position")
+    order = Nearest(n, cluster_col, distance_col, id_col)
+    schema = StructType([*rows.schema, StructField("position", IntegerType(), False)])
+    kept = rows.mapInArrow(order.partial, rows.schema)
+    return merged(kept, [cluster_col], order.partial, order.numbered, schema)
 
 
 def attach_texts(samples: DataFrame, phrases: DataFrame, id_col: str = "id") -> DataFrame:

@@ -26,7 +26,7 @@ def test_samples_are_the_nearest_with_ties_by_id(spark):
     for r in sorted(got.collect(), key=lambda r: r.position):
         found.setdefault(r.cluster_n1, []).append(r.id)
     assert found == want
-    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_prompts_and_answers(spark):
