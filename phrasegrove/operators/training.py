@@ -9,7 +9,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.storagelevel import StorageLevel
 
 from phrasegrove.functions.vectors import with_array, with_vector
 from phrasegrove.operators.bounded import pin
+from phrasegrove.operators.coreset import coreset, inertias
 from phrasegrove.operators.hierarchy import cluster_mapping, with_parents
 from phrasegrove.operators.incremental import hash_sample
 from phrasegrove.operators.metrics import mean_silhouette
@@ -214,12 +217,43 @@ def k_sweep(
     id_col: str = "id",
     make_estimator: MakeEstimator | None = None,
 ) -> list[LevelFit]:
-    """Fit every candidate k on one sample of ``(id, features)`` rows."""
+    """Fit every candidate k on one weighted coreset of a sample of ``(id, features)`` rows.
+
+    The sampled rows are read twice, whatever the number of candidates: for the coreset, and to
+    measure the inertia of all fits on them. Silhouettes are the coreset's, by weight. A sample
+    smaller than the coreset is its own.
+    """
     make_estimator = make_estimator or kmeans(params)
-    sample = hash_sample(features, params.sample_fraction, id_col).select(FEATURES_COL)
-    with kept(sample) as rows:
-        n = rows.count()
-        return [fit_level(rows, k, 1, make_estimator, FEATURES_COL, n) for k in params.k_candidates]
+    sample = hash_sample(features, params.sample_fraction, id_col)
+    size = params.coreset_per_k * max(params.k_candidates)
+    points = coreset(sample, size, FEATURES_COL, id_col)
+    points = points.select(array_to_vector("point").alias(FEATURES_COL), "weight")
+    with kept(points) as rows:
+        models = [weighted_fit(rows, make_estimator(k, FEATURES_COL, "cluster_n1")) for k in params.k_candidates]
+        silhouettes = [weighted_silhouette(model.transform(rows), FEATURES_COL, "cluster_n1") for model in models]
+    n, costs = inertias(sample, FEATURES_COL, [model.clusterCenters() for model in models])
+    return [
+        LevelFit(1, k, len(model.clusterCenters()), n, cost, silhouette, model)
+        for k, model, cost, silhouette in zip(params.k_candidates, models, costs, silhouettes)
+    ]
+
+
+def weighted_fit(rows: DataFrame, estimator: Estimator):
+    """Fit on weighted rows, if there are two at least and the estimator knows of weights."""
+    if rows.isEmpty() or rows.agg(F.sum("weight")).first()[0] < 2:
+        raise ValueError("a sweep needs at least two rows to cluster")
+    if estimator.hasParam("weightCol"):
+        estimator = estimator.copy({estimator.getParam("weightCol"): "weight"})
+    return estimator.fit(rows.select(FEATURES_COL, "weight"))
+
+
+def weighted_silhouette(predictions: DataFrame, features_col: str, prediction_col: str) -> float | None:
+    """Mean silhouette of weighted rows, or None with fewer than two clusters in use."""
+    used = predictions.agg(F.min(prediction_col), F.max(prediction_col)).first()
+    if used[0] == used[1]:
+        return None
+    evaluator = ClusteringEvaluator(featuresCol=features_col, predictionCol=prediction_col, weightCol="weight")
+    return evaluator.evaluate(predictions)
 
 
 def sweep_frame(spark: SparkSession, fits: list[LevelFit], run_id: str, threshold: float):

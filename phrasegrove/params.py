@@ -21,6 +21,7 @@ class ClusterParams:
     pca_dims: int = 128
     k_candidates: tuple[int, ...] = (50, 100, 200, 300, 500, 750, 1000)
     sample_fraction: float = 0.2
+    coreset_per_k: int = 20  # rows of the sweep's coreset, for each cluster of the largest candidate
     silhouette_threshold: float = 0.3
     sweep: bool = True
 
