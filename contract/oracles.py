@@ -301,6 +301,10 @@ from (select unnest([2, 5, 10, 20]) as k)""",
     "k_sweep_metrics": """
 select 'sweep' as run_id, k as k_n1, 5 as n_filled, 8 as n_null
 from (select unnest([2, 5, 10, 20]) as k)""",
+    "stream_job": """
+select 2::bigint as n_batches, count(*) as n_out, count(*) as n_ids,
+       count(*) filter (where label in (0, 1, 2, 3)) as n_quarantined, 0::bigint as n_unassigned, 0::bigint as n_unnamed
+from embeddings""",
     "job_training": """
 select part, n::bigint as n, 0::bigint as n_bad
 from (values ('names_1', 20), ('names_2', 8), ('names_3', 3), ('mapping', 20), ('metrics', 10)) t(part, n)""",

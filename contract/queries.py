@@ -31,7 +31,7 @@ from phrasegrove.plans import jobs
 from phrasegrove.plans.ship import ship_package
 from phrasegrove.sources import models, tables
 from phrasegrove.sources.shared import fresh_path
-from phrasegrove.streaming.assign import stream_assign
+from phrasegrove.streaming.assign import BatchAssigner, assign_stream, stream_assign
 
 DIMS = 64
 DAY = date(2024, 1, 15)
@@ -692,6 +692,29 @@ def job_assignment_rows(spark, sf_dir):
     return tables.read_table(spark, job.output).drop("embedding")
 
 
+def stream_job(spark, sf_dir):
+    """Vectors, damaged ones among them, as a stream of several batches through the current run;
+    then once more from the same checkpoint, which adds nothing."""
+    job = trained_job(spark, sf_dir)
+    given = with_damage(vectors(spark, sf_dir)).select("id", F.lit("").alias("frase"), "embedding")
+    folder, log = fresh_path(spark, "source"), fresh_path(spark, "stream-log")
+    given.repartition(4).write.parquet(folder)
+    assigner = BatchAssigner(job, "vectors", DIMS, lambda: STAMP)
+    for _ in range(2):
+        source = spark.readStream.schema(given.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+        assign_stream(source, assigner, log).awaitTermination()
+    rows, broken = tables.read_table(spark, assigner.output), tables.read_table(spark, assigner.quarantine)
+    unnamed = F.col("nome_n1").isNull() | F.col("nome_n2").isNull() | F.col("nome_n3").isNull()
+    return rows.agg(
+        F.countDistinct("batch").alias("n_batches"),
+        F.count("*").alias("n_out"),
+        F.countDistinct("id").alias("n_ids"),
+        F.lit(broken.count()).cast("long").alias("n_quarantined"),
+        F.count_if(F.col("cluster_n3").isNull()).alias("n_unassigned"),
+        F.count_if(unnamed).alias("n_unnamed"),
+    )
+
+
 QUERIES = {
     "scan_day_filter": scan_day_filter,
     "sink_roundtrip": sink_roundtrip,
@@ -741,6 +764,7 @@ QUERIES = {
     "k_sweep_metrics_rows": sweep_table,
     "model_roundtrip": model_roundtrip,
     "stream_assign": streamed_assignment,
+    "stream_job": stream_job,
     "job_embedding": job_embedding,
     "job_training": job_training,
     "job_assignment": job_assignment,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phrasegrove.operators.bounded import SALTS, hot_keys
@@ -54,23 +54,35 @@ def first_per_id(df: DataFrame, id_col: str = "id") -> DataFrame:
     return chosen.select(id_col, "_row.*").select(*df.columns)
 
 
-def rows_per_id(raw: DataFrame, existing: DataFrame, id_col: str = "id") -> DataFrame:
-    """``(id, raw, known)``: number of raw rows and whether the id is embedded.
+def rows_per_id(
+    raw: DataFrame, existing: DataFrame, id_col: str = "id", textless: DataFrame | None = None
+) -> DataFrame:
+    """``(id, raw, known, settled)``: number of raw rows, whether the id is embedded, and how many
+    raw rows it had when ``textless`` ``(id, raw)`` last recorded that none of them has a text.
 
-    Both sides are summed per id in one aggregate over the id columns alone; there is no join
+    All sides are summed per id in one aggregate over the id columns alone; there is no join
     a frequent id could skew. Null is an id of its own and is never known.
     """
-    known = existing.where(F.col(id_col).isNotNull())
-    marks = raw.select(F.col(id_col).alias("id"), F.lit(1).alias("raw"), F.lit(0).alias("known"))
-    marks = marks.unionByName(
-        known.select(F.col(id_col).alias("id"), F.lit(0).alias("raw"), F.lit(1).alias("known"))
+
+    def marks(df: DataFrame, key: str, raw_rows: Column | int, known: int, settled: Column | int) -> DataFrame:
+        numbers = {"raw": raw_rows, "known": known, "settled": settled}
+        as_columns = (F.lit(value).cast("long").alias(name) for name, value in numbers.items())
+        return df.select(F.col(key).alias("id"), *as_columns)
+
+    every = marks(raw, id_col, 1, 0, 0).unionByName(
+        marks(existing.where(F.col(id_col).isNotNull()), id_col, 0, 1, 0)
+    )
+    if textless is not None:
+        every = every.unionByName(marks(textless, "id", 0, 0, F.col("raw")))
+    return every.groupBy("id").agg(
+        F.sum("raw").alias("raw"), F.max("known").cast("int").alias("known"), F.max("settled").alias("settled")
     )
-    return marks.groupBy("id").agg(F.sum("raw").alias("raw"), F.max("known").alias("known"))
 
 
 def is_new():
-    """Of ``rows_per_id`` rows: an id with phrases but no embedding."""
-    return (F.col("known") == 0) & F.col("id").isNotNull()
+    """Of ``rows_per_id`` rows: an id with phrases, more than when it was found without a text, but
+    no embedding."""
+    return (F.col("known") == 0) & F.col("id").isNotNull() & (F.col("raw") > F.col("settled"))
 
 
 def _total(value):

@@ -60,7 +60,18 @@ class Tables:
     metrics: str
     models: str
     quarantine: str = ""  # rows that a job cannot use; by default beside the output table
+    # Vectors by the text's digest, and ids found without a text; by default beside the embeddings.
+    digests: str = ""
+    textless: str = ""
 
     @property
     def quarantine_table(self) -> str:
         return self.quarantine or f"{self.output}_quarantine"
+
+    @property
+    def digests_table(self) -> str:
+        return self.digests or f"{self.embeddings}_digests"
+
+    @property
+    def textless_table(self) -> str:
+        return self.textless or f"{self.embeddings}_textless"

@@ -83,7 +83,8 @@ def current_run(spark: SparkSession, tables: Tables) -> str:
 @dataclass(frozen=True)
 class EmbedSummary:
     """Raw rows, those without an id, those embedded before, ids that were new, and ids
-    embedded now. A new id without any text is not embedded: it is in ``new_ids`` only."""
+    embedded now. A new id without any text is not embedded: it is in ``new_ids`` of the run
+    that finds it, recorded, and new again only with further raw rows."""
 
     total_raw: int
     without_id: int
@@ -106,34 +107,28 @@ def embed_new(
     """Embed the phrases of the raw table that the embeddings table lacks, and append them.
 
     The ids are compared once and kept; with nothing new no client is called, so running again is
-    harmless. New phrases are written once, in parts of at most ``rows_per_task`` per task; each
-    part is read, embedded and appended on its own, and a job that is stopped goes on from there.
+    harmless. Each different text is embedded once, now or in an earlier run: vectors stand in a
+    table by the text's digest. Texts that are not there yet go in waves of at most
+    ``rows_per_task`` per task, each appended when done, and a job that is stopped goes on from
+    there. Then the new ids take their texts' vectors by a join. Ids without a text are recorded.
     What was embedded is counted in the day's partition before and after, since counters kept by
     tasks count twice where a lost executor's tasks run again.
     """
     checks.require(checks.usable_table(spark, tables.raw, ["id", "frase"]))
     raw = spark.table(tables.raw).select(F.col("id").cast("string"), F.col("frase").cast("string"))
     existing = read_or_empty(spark, tables.embeddings, schemas.EMBEDDINGS).select("id")
-    per_id = stored(rows_per_id(raw, existing), "ids")
+    textless = read_or_empty(spark, tables.textless_table, schemas.TEXTLESS)
+    per_id = stored(rows_per_id(raw, existing, textless=textless), "ids")
     counts = increment_counts(per_id).first()
     embedded = 0
     if counts.new_ids:
         before = embedded_on(spark, tables, created_at)
         new = new_rows(raw.where(F.col("frase").isNotNull()), per_id.where(is_new()))
-        waves = -(-counts.new_ids // (params.max_concurrent * params.rows_per_task))
-        path = fresh_path(spark, "new")
-        wave_of = F.pmod(F.xxhash64("id"), F.lit(waves)).cast("int")
-        new.withColumn("wave", wave_of).write.partitionBy("wave").parquet(path)
-        parts = spark.read.schema("id string, frase string, wave int").parquet(path)
-        for wave in range(waves):
-            rows = embed_phrases(parts.where(F.col("wave") == wave), make_embedder, params)
-            rows = schemas.conform(
-                rows.withColumn("created_at", F.lit(created_at)), schemas.EMBEDDINGS
-            )
-            write_table(
-                rows.withColumn(DAY, F.to_date("created_at")), tables.embeddings, "append", DAY
-            )
+        new = stored(new.withColumn("digest", F.sha2("frase", 256)), "new")
+        embed_texts(spark, tables, new, make_embedder, params, created_at)
+        append_vectors(spark, tables, new, created_at)
         embedded = embedded_on(spark, tables, created_at) - before
+        record_textless(tables, per_id.where(is_new()), new, created_at)
     return EmbedSummary(
         total_raw=counts.total_raw,
         without_id=counts.without_id,
@@ -143,6 +138,54 @@ def embed_new(
     )
 
 
+def embed_texts(
+    spark: SparkSession,
+    tables: Tables,
+    new: DataFrame,
+    make_embedder: Callable[[], Embedder],
+    params: EmbedParams,
+    created_at: datetime,
+) -> None:
+    """Embed the texts of ``new`` whose digests have no vector yet, wave by wave.
+
+    Copies of a text fall away in each task before the shuffle, so a text that many ids have is no
+    large group. The digests are compared once, by themselves.
+    """
+    known = read_or_empty(spark, tables.digests_table, schemas.DIGESTS).select("digest")
+    texts = new.groupBy("digest").agg(F.min("frase").alias("frase"))
+    texts = stored(texts.join(known, "digest", "left_anti"), "texts")
+    waves = -(-texts.count() // (params.max_concurrent * params.rows_per_task))
+    if not waves:
+        return
+    path = fresh_path(spark, "waves")
+    wave_of = F.pmod(F.xxhash64("digest"), F.lit(waves)).cast("int")
+    texts.withColumn("wave", wave_of).write.partitionBy("wave").parquet(path)
+    parts = spark.read.schema("digest string, frase string, wave int").parquet(path)
+    for wave in range(waves):
+        rows = embed_phrases(parts.where(F.col("wave") == wave), make_embedder, params, id_col="digest")
+        rows = rows.withColumnRenamed("id", "digest").withColumn("created_at", F.lit(created_at))
+        write_table(schemas.conform(rows, schemas.DIGESTS), tables.digests_table)
+
+
+def append_vectors(spark: SparkSession, tables: Tables, new: DataFrame, created_at: datetime) -> None:
+    """Append ``new`` with the vectors of its texts.
+
+    A digest has one vector (the first of those that two runs at once may have left), so the skew
+    join can split the rows of a frequent text.
+    """
+    vectors = read_or_empty(spark, tables.digests_table, schemas.DIGESTS).join(new.select("digest").distinct(), "digest", "left_semi")
+    vectors = vectors.groupBy("digest").agg(F.min_by("embedding", "created_at").alias("embedding"))
+    rows = new.join(vectors, "digest").withColumn("created_at", F.lit(created_at))
+    rows = schemas.conform(rows, schemas.EMBEDDINGS).withColumn(DAY, F.to_date("created_at"))
+    write_table(rows, tables.embeddings, "append", DAY)
+
+
+def record_textless(tables: Tables, found: DataFrame, new: DataFrame, created_at: datetime) -> None:
+    """Record the ids that were new but had no text, with the number of their raw rows."""
+    rows = found.join(new.select("id"), "id", "left_anti").withColumn("created_at", F.lit(created_at))
+    write_table(schemas.conform(rows, schemas.TEXTLESS), tables.textless_table)
+
+
 def embedded_on(spark: SparkSession, tables: Tables, moment: datetime) -> int:
     """Rows in the day partition of ``moment``."""
     if not table_exists(spark, tables.embeddings):
@@ -259,6 +302,36 @@ def run_metrics(
     return spark.createDataFrame([ordered], schemas.METRICS)
 
 
+@dataclass(frozen=True)
+class Run:
+    """What assignment needs of a training run."""
+
+    run_id: str
+    pipeline: PipelineModel
+    mapping: DataFrame
+    names: DataFrame | None
+
+
+def load_run(spark: SparkSession, tables: Tables, run_id: str) -> Run:
+    mapping = spark.read.schema(schemas.MAPPING).parquet(run_path(tables, run_id, MAPPING))
+    names_path = run_path(tables, run_id, NAMES)
+    names = spark.read.parquet(names_path) if path_exists(spark, names_path) else None
+    return Run(run_id, load_model(run_path(tables, run_id, PIPELINE), PipelineModel), mapping, names)
+
+
+def outcome(run: Run, rows: DataFrame, dims: int, processed_at: datetime) -> tuple[DataFrame, DataFrame]:
+    """``(id, frase, embedding)`` rows as rows of the output table, and those that cannot be scored
+    as rows of the quarantine table."""
+    valid, broken = split_valid(rows, "embedding", dims)
+    stamp = F.lit(processed_at).cast("timestamp")
+    scored = with_names(score(valid, run.pipeline, run.mapping), run.names, run.mapping)
+    broken = broken.withColumn("reason", F.lit("embedding")).withColumn("processed_at", stamp)
+    return (
+        schemas.conform(scored.withColumn("processed_at", stamp), schemas.OUTPUT),
+        schemas.conform(broken, schemas.QUARANTINE),
+    )
+
+
 @dataclass(frozen=True)
 class AssignSummary:
     """Rows of the day in the output table, and rows of the day that could not be scored."""
@@ -294,18 +367,8 @@ def assign(
     rows = embeddings.where(of_day).select(*columns)
     if fresh is not None:
         rows = day_embeddings(rows, fresh.select(*columns))
-    valid, broken = split_valid(rows, "embedding", dims)
-
-    run = current_run(spark, tables)
-    pipeline: PipelineModel = load_model(run_path(tables, run, PIPELINE))
-    mapping = spark.read.schema(schemas.MAPPING).parquet(run_path(tables, run, MAPPING))
-    names_path = run_path(tables, run, NAMES)
-    names = spark.read.parquet(names_path) if path_exists(spark, names_path) else None
-    scored = with_names(score(valid, pipeline, mapping), names, mapping)
-    stamp = F.lit(processed_at).cast("timestamp")
-    replace_day(schemas.conform(scored.withColumn("processed_at", stamp), schemas.OUTPUT), tables.output, day)
-    broken = broken.withColumn("reason", F.lit("embedding"))
-    broken = schemas.conform(broken.withColumn("processed_at", stamp), schemas.QUARANTINE)
+    output, broken = outcome(load_run(spark, tables, current_run(spark, tables)), rows, dims, processed_at)
+    replace_day(output, tables.output, day)
     replace_day(broken, tables.quarantine_table, day)
     counts = [
         spark.table(name).where(F.col(DAY) == F.lit(day)).count()

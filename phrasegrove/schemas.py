@@ -60,6 +60,20 @@ QUARANTINE = StructType(
     ]
 )
 
+# Vectors of texts by the SHA-256 of the text; not one of the fixed schemas.
+DIGESTS = StructType(
+    [
+        _col("digest", StringType(), True),
+        _col("embedding", ArrayType(FloatType()), True),
+        _col("created_at", TimestampType(), True),
+    ]
+)
+
+# Ids that had no text, with the number of their raw rows then; not one of the fixed schemas.
+TEXTLESS = StructType(
+    [_col("id", StringType(), True), _col("raw", LongType(), True), _col("created_at", TimestampType(), True)]
+)
+
 MAPPING = StructType([_col(f"cluster_n{n}", IntegerType(), True) for n in _LEVELS])
 
 NAMES = StructType(

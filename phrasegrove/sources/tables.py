@@ -67,13 +67,22 @@ def replace_day(df: DataFrame, name: str, day: date, path: str | None = None) ->
 
     Running it again for the same day gives the same table, also when ``df`` is empty.
     """
+    replace_part(df, name, {DAY: day}, path)
+
+
+def replace_part(df: DataFrame, name: str, part: dict[str, date | int | str], path: str | None = None) -> None:
+    """Make ``df`` the whole content of the table's partition with these values."""
     spark = df.sparkSession
-    rows = df.drop(DAY)
+    rows = df.drop(*part)
     if not table_exists(spark, name):
-        empty = spark.createDataFrame([], rows.schema).withColumn(DAY, F.lit(day))
-        write_table(empty, name, "append", DAY, path)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {name} PARTITION ({DAY} = DATE'{day.isoformat()}') "
-        "SELECT * FROM {rows}",
-        rows=rows,
-    )
+        empty = spark.createDataFrame([], rows.schema).withColumns({c: F.lit(v) for c, v in part.items()})
+        writer = empty.write.mode("append").partitionBy(*part)
+        (writer.option("path", path) if path else writer).saveAsTable(name)
+
+    def literal(value: date | int | str) -> str:
+        if isinstance(value, date):
+            return f"DATE'{value.isoformat()}'"
+        return str(value) if isinstance(value, int) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    values = ", ".join(f"{column} = {literal(value)}" for column, value in part.items())
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({values}) SELECT * FROM {{rows}}", rows=rows)

@@ -1,5 +1,7 @@
 """Stand-in clients; shipped to the workers, as a user would ship a client of their own."""
 
+from pyspark import AccumulatorParam
+
 
 class FixedEmbedder:
     """vector[i] = (i mod 10) / 10 for every text; refuses batches that are too long."""
@@ -38,3 +40,13 @@ class EchoNamer:
         if "text" in user:
             return "this is not JSON"
         return {"nome": user.splitlines()[-1], "dor": str(len(user.splitlines()))}
+
+
+class Texts(AccumulatorParam):
+    """Lists put together, as an accumulator."""
+
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, value1, value2):
+        return value1 + value2

@@ -3,7 +3,7 @@ from datetime import date, datetime
 from functools import partial
 
 import pytest
-from clients import NeverAsked
+from clients import NeverAsked, Texts
 from pyspark.sql import functions as F
 
 from phrasegrove import schemas
@@ -15,7 +15,8 @@ from phrasegrove.params import ClusterParams, EmbedParams, NamingParams, Tables
 from phrasegrove.plans import checks, jobs
 from phrasegrove.sources.shared import fresh_path
 from phrasegrove.sources.tables import write_table
-from phrasegrove.streaming.assign import stream_assign
+from phrasegrove.streaming import assign as streaming
+from phrasegrove.streaming.assign import BatchAssigner, assign_stream, stream_assign
 
 DIMS = 16
 CLUSTERS = ClusterParams(
@@ -54,7 +55,7 @@ def test_embedding_job_takes_only_what_is_new(spark, tables):
     first = embed(spark, tables, DAY_1)
     assert first == jobs.EmbedSummary(53, 1, 0, 51, 50)
     again = embed(spark, tables, DAY_2, NeverAsked)
-    assert again == jobs.EmbedSummary(53, 1, 51, 1, 0)
+    assert again == jobs.EmbedSummary(53, 1, 51, 0, 0)  # the id without a text is recorded
     write_table(raw_frame(spark, phrase_rows(50, 7)), tables.raw)
     assert embed(spark, tables, DAY_2).embedded == 7
     rows = spark.table(tables.embeddings)
@@ -63,6 +64,59 @@ def test_embedding_job_takes_only_what_is_new(spark, tables):
     assert rows.where(F.size("embedding") != DIMS).isEmpty()
 
 
+def test_an_id_without_text_is_settled_until_more_rows_come(spark, tables):
+    write_table(raw_frame(spark, phrase_rows(0, 3) + [("q", None), ("q", None)]), tables.raw)
+    assert embed(spark, tables, DAY_1).without_text == 1
+    assert embed(spark, tables, DAY_1, NeverAsked).new_ids == 0
+    record = spark.table(tables.textless_table).collect()
+    assert [(r.id, r.raw) for r in record] == [("q", 2)]
+    write_table(raw_frame(spark, [("q", None)]), tables.raw)
+    assert embed(spark, tables, DAY_1, NeverAsked).new_ids == 1  # looked at again, and settled again
+    assert embed(spark, tables, DAY_1, NeverAsked).new_ids == 0
+    write_table(raw_frame(spark, [("q", "a text at last")]), tables.raw)
+    assert embed(spark, tables, DAY_2) == jobs.EmbedSummary(7, 0, 3, 1, 1)
+
+
+def test_each_text_is_embedded_once(spark, tables):
+    """Across runs, waves and ids; a third of all ids have one text."""
+    asked = spark.sparkContext.accumulator([], Texts())
+
+    class Counting(TokenHashEmbedder):
+        def __init__(self):
+            super().__init__(DIMS)
+
+        def embed_batch(self, texts):
+            asked.add(list(texts))
+            return super().embed_batch(texts)
+
+    rows = [(f"h{i}", "the same text") for i in range(60)] + [(f"t{i}", f"text number {i % 70}") for i in range(120)]
+    write_table(raw_frame(spark, rows), tables.raw)
+    small = replace(EMBED, rows_per_task=9)
+    assert jobs.embed_new(spark, tables, Counting, small, DAY_1).embedded == 180
+    more = [(f"m{i}", f"text number {i}") for i in range(60, 80)] + [("h99", "the same text")]
+    write_table(raw_frame(spark, more), tables.raw)
+    assert jobs.embed_new(spark, tables, Counting, small, DAY_2).embedded == 21
+    texts = {text for _, text in rows + more}
+    assert sorted(asked.value) == sorted(texts)
+    assert spark.table(tables.digests_table).count() == len(texts)
+    own = TokenHashEmbedder(DIMS)
+    for row in spark.table(tables.embeddings).where("id in ('h3', 'h99', 't5', 'm79')").collect():
+        assert row.embedding == own.embed_batch([row.frase])[0].tolist()
+
+
+def test_a_stopped_run_asks_for_no_text_again(spark, tables, monkeypatch):
+    write_table(raw_frame(spark, phrase_rows(0, 60)), tables.raw)
+
+    def stopped(*_):
+        raise RuntimeError("the driver is lost")
+
+    monkeypatch.setattr(jobs, "append_vectors", stopped)
+    with pytest.raises(RuntimeError):
+        embed(spark, tables, DAY_1)
+    monkeypatch.undo()
+    assert embed(spark, tables, DAY_1, NeverAsked).embedded == 60
+
+
 def test_all_rows_rejected(spark, tables):
     write_table(raw_frame(spark, [(None, "a"), ("b", None)]), tables.raw)
     assert embed(spark, tables, DAY_1) == jobs.EmbedSummary(2, 1, 0, 1, 0)
@@ -213,3 +267,89 @@ def test_stream_equals_batch(spark, mixture):
     streamed, batch = spark.read.parquet(out), assign(mixture)
     assert streamed.count() == 200
     assert streamed.exceptAll(batch).isEmpty()
+
+
+@pytest.fixture
+def stream(spark, tables):
+    """A trained run, and a folder of four files of vectors, one of them unusable in each."""
+    write_table(raw_frame(spark, phrase_rows(0, 60)), tables.raw)
+    embed(spark, tables, DAY_1)
+    train(spark, tables)
+    folder = fresh_path(spark, "vectors")
+    good = embed_phrases(raw_frame(spark, phrase_rows(100, 40)), EMBEDDER, EMBED).collect()
+    for i in range(4):
+        rows = [tuple(r) for r in good[10 * i : 10 * i + 10]] + [(f"bad{i}", "broken", [1.0] if i % 2 else None)]
+        rows = spark.createDataFrame(rows, "id string, frase string, embedding array<float>")
+        rows.coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def run_stream(spark, folder, assigner, log):
+    schema = "id string, frase string, embedding array<float>"
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    assign_stream(source, assigner, log).awaitTermination()
+
+
+def streamed(spark, assigner):
+    spark.catalog.refreshTable(assigner.output)
+    spark.catalog.refreshTable(assigner.quarantine)
+    return spark.table(assigner.output), spark.table(assigner.quarantine)
+
+
+def test_a_stream_goes_through_the_model_and_quarantine(spark, tables, stream):
+    assigner, log = BatchAssigner(tables, "s", DIMS, lambda: DAY_2), fresh_path(spark, "log")
+    for _ in range(2):  # the second start finds nothing
+        run_stream(spark, stream, assigner, log)
+        output, broken = streamed(spark, assigner)
+        assert output.count() == 40 == output.select("id").distinct().count()
+        assert output.where("cluster_n3 is null or nome_n3 is null").isEmpty()
+        assert sorted(r.id for r in broken.collect()) == [f"bad{i}" for i in range(4)]
+    assert output.columns == [*schemas.OUTPUT.names, "run_id", "stream", "batch"]
+    assert {r.batch for r in output.select("batch").distinct().collect()} == {0, 1, 2, 3}
+    write_table(spark.read.parquet(stream).withColumn("created_at", F.lit(DAY_2)).withColumn("day", F.lit(DAY_2.date())), tables.embeddings, "append", "day")
+    jobs.assign(spark, tables, DAY_2.date(), DAY_2, DIMS)
+    columns = schemas.OUTPUT.names
+    batch = spark.table(tables.output)
+    assert output.select(*columns).exceptAll(batch.select(*columns)).isEmpty() and batch.count() == 40
+
+
+def test_a_stream_that_stops_midway_repeats_nothing(spark, tables, stream, monkeypatch):
+    assigner, log = BatchAssigner(tables, "s", DIMS, lambda: DAY_2), fresh_path(spark, "log")
+    real, calls = streaming.replace_part, []
+
+    def failing(df, name, part):
+        calls.append(part["batch"])
+        if calls.count(2) == 2:  # batch 2 has its output, not its quarantine
+            raise RuntimeError("the driver is lost")
+        real(df, name, part)
+
+    monkeypatch.setattr(streaming, "replace_part", failing)
+    with pytest.raises(Exception, match="driver is lost"):
+        run_stream(spark, stream, assigner, log)
+    monkeypatch.undo()
+    assert streamed(spark, assigner)[0].count() == 30
+    run_stream(spark, stream, BatchAssigner(tables, "s", DIMS, lambda: DAY_2), log)
+    output, broken = streamed(spark, assigner)
+    assert output.count() == 40 == output.select("id").distinct().count() and broken.count() == 4
+    # Another stream of the same tables has its own parts.
+    run_stream(spark, stream, BatchAssigner(tables, "it's", DIMS, lambda: DAY_2), fresh_path(spark, "log"))
+    assert streamed(spark, assigner)[0].groupBy("stream").count().where("count = 40").count() == 2
+
+
+def test_a_run_published_midway_counts_from_the_next_batch_on(spark, tables, stream):
+    class Publishing(BatchAssigner):
+        def __call__(self, batch, batch_id):
+            super().__call__(batch, batch_id)
+            if batch_id == 1:
+                jobs.train(spark, tables, CLUSTERS, "run-2", datetime(2024, 5, 9), DIMS, naming=NAMING)
+
+    assigner = Publishing(tables, "s", DIMS, lambda: DAY_2)
+    run_stream(spark, stream, assigner, fresh_path(spark, "log"))
+    runs = {(r.batch, r.run_id) for r in streamed(spark, assigner)[0].select("batch", "run_id").distinct().collect()}
+    assert runs == {(0, "run-1"), (1, "run-1"), (2, "run-2"), (3, "run-2")}
+
+
+def test_a_stream_needs_a_run(spark, tables):
+    source = spark.readStream.format("rate").load()
+    with pytest.raises(checks.PreconditionError, match="no model at"):
+        assign_stream(source, BatchAssigner(tables, "s", DIMS, datetime.now), fresh_path(spark, "log"))
