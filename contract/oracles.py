@@ -153,6 +153,12 @@ with {DOCS}
 select id, cast(floor((row_number() over (order by substr(md5(id), 1, 3), id) - 1) / 500)
                 as bigint) as batch_no from docs""",
     "hash_sample": f"with {DOCS} select id from docs where substr(md5(id), 1, 8) < '33333333'",
+    "exact_sample": f"""
+with {RAWS}
+select id, count(*) as n from raws
+where id in (select id from (select distinct id from raws where id is not null)
+             order by substr(md5(id), 1, 15), id limit 100)
+group by id""",
     "embed_documents": f"""
 with {DOCS},
 w as (select id, unnest({words("frase")}) as word from docs),

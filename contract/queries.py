@@ -209,6 +209,11 @@ def phrase_batches(spark, sf_dir):
     return numbered.select("id", F.col("batch_no").cast("long"))
 
 
+def exact_sample(spark, sf_dir):
+    """A hundred ids of the raw phrases, with all rows of each."""
+    return incremental.exact_sample(raw_with_copies(spark, sf_dir), 100).groupBy("id").agg(F.count("*").alias("n"))
+
+
 def hash_sample(spark, sf_dir):
     return incremental.hash_sample(documents(spark, sf_dir).select("id"), 0.2)
 
@@ -726,6 +731,7 @@ QUERIES = {
     "embedding_reconcile": embedding_reconcile,
     "phrase_batches": phrase_batches,
     "hash_sample": hash_sample,
+    "exact_sample": exact_sample,
     "embed_documents": embed_documents,
     "day_embeddings_union": day_embeddings_union,
     "l2_normalize": l2_normalized,

@@ -17,12 +17,16 @@ TASK_BYTES = 128 << 20
 
 @dataclass(frozen=True)
 class Nearest:
-    """The first ``n`` rows of each group by a number, then by an id; nulls first, NaN last."""
+    """The first ``n`` rows of each group by a number, then by an id; nulls first, NaN last.
+
+    With ``distinct``, rows of one group, number and id count once.
+    """
 
     n: int
     group: str
     number: str
     tie: str
+    distinct: bool = False
 
     def cut(self, table: pa.Table) -> tuple[pa.Table, np.ndarray]:
         """The rows that stay, in order, and their places in their groups from 1 on."""
@@ -38,6 +42,12 @@ class Nearest:
                 "tie": table.column(self.tie),
             }
         )
+        if self.distinct:
+            # The first row of each key, by grouping; the sort below then has different keys only.
+            numbered = keys.append_column("row", pa.array(np.arange(len(table))))
+            first = numbered.group_by(keys.column_names, use_threads=False).aggregate([("row", "min")])
+            places = first.column("row_min").combine_chunks()
+            table, keys = table.take(places), keys.take(places)
         order = pc.sort_indices(keys, [(name, "ascending") for name in keys.column_names], null_placement="at_start")
         group = table.column(self.group).combine_chunks().take(order)
         ends = np.ones(len(group), bool)

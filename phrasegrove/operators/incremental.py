@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from phrasegrove.functions.heaps import Nearest
 from phrasegrove.operators.bounded import SALTS, hot_keys
+from phrasegrove.operators.packed import merged
 
 # Hex digits of the id's digest that order the batches: 16^4 = 65,536 buckets.
 BUCKET_DIGITS = 4
@@ -158,3 +161,25 @@ def hash_sample(df: DataFrame, fraction: float, id_col: str = "id") -> DataFrame
         return df
     bound = format(int(fraction * (1 << 32)), "08x")
     return df.where(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8) < bound)
+
+
+def exact_sample(df: DataFrame, n: int, id_col: str = "id") -> DataFrame:
+    """The rows of exactly ``n`` ids (of all, if fewer), always the same ones however the rows lie.
+
+    These are the ids with the smallest digests. Tasks keep their n smallest digests, the tasks'
+    are merged in two steps, and the largest one left is the bound that filters the rows; no row is
+    counted first, and no row moves. Null ids are left out.
+    """
+    draw = F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 15), 16, 10).cast("long")
+    drawn = df.where(F.col(id_col).isNotNull()).withColumn("_draw", draw)
+    order = Nearest(n, "_all", "_draw", "_id", distinct=True)
+    ids = drawn.select(F.lit(0).alias("_all"), "_draw", F.col(id_col).cast("string").alias("_id"))
+    schema = StructType([*ids.schema, StructField("position", IntegerType(), False)])
+    kept = merged(ids.mapInArrow(order.partial, ids.schema), ["_all"], order.partial, order.numbered, schema)
+    last = kept.agg(F.max(F.struct("_draw", "_id")).alias("last")).first()["last"]
+    if last is None:
+        return df.limit(0)
+    within = (F.col("_draw") < last["_draw"]) | (
+        (F.col("_draw") == last["_draw"]) & (F.col(id_col).cast("string") <= last["_id"])
+    )
+    return drawn.where(within).drop("_draw")

@@ -19,6 +19,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from phrasegrove.functions.vectors import with_array, with_vector
+from phrasegrove.operators.axes import range_pca
 from phrasegrove.operators.bounded import pin
 from phrasegrove.operators.coreset import coreset, inertias
 from phrasegrove.operators.hierarchy import cluster_mapping, with_parents
@@ -90,13 +91,26 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def fit_features(df: DataFrame, pca_dims: int, vec_col: str = "embedding") -> PipelineModel:
-    """Unit length, then projection on the ``pca_dims`` main axes."""
-    stages = [
-        Normalizer(inputCol=VECTOR_COL, outputCol="_unit_vector", p=2.0),
-        PCA(k=pca_dims, inputCol="_unit_vector", outputCol=FEATURES_COL),
-    ]
-    return Pipeline(stages=stages).fit(with_vector(df.select(vec_col), vec_col, VECTOR_COL))
+def fit_features(
+    df: DataFrame, pca_dims: int, vec_col: str = "embedding", solver: str = "exact"
+) -> PipelineModel:
+    """Unit length, then projection on the ``pca_dims`` main axes.
+
+    The exact solver holds dims x dims numbers on the driver, the ``range`` solver dims x axes.
+    """
+    vectors = with_vector(df.select(vec_col), vec_col, VECTOR_COL)
+    normalizer = Normalizer(inputCol=VECTOR_COL, outputCol="_unit_vector", p=2.0)
+    if solver == "exact":
+        pca = PCA(k=pca_dims, inputCol="_unit_vector", outputCol=FEATURES_COL)
+        return Pipeline(stages=[normalizer, pca]).fit(vectors)
+    if solver != "range":
+        raise ValueError(f"solver must be exact or range, not {solver!r}")
+    units = with_array(normalizer.transform(vectors), "_unit_vector", "unit", "double").select("unit")
+    first = units.first()
+    if first is None:
+        raise ValueError("there are no vectors to fit on")
+    projection = range_pca(units, "_unit_vector", "unit", FEATURES_COL, len(first["unit"]), pca_dims)
+    return PipelineModel(stages=[normalizer, projection])
 
 
 def apply_pipeline(model: PipelineModel, df: DataFrame, vec_col: str = "embedding") -> DataFrame:
@@ -187,7 +201,7 @@ def train_hierarchy(
     make_estimator: MakeEstimator | None = None,
 ) -> TrainedHierarchy:
     """Fit features and all levels on valid embeddings."""
-    features_model = fit_features(df, params.pca_dims, vec_col)
+    features_model = fit_features(df, params.pca_dims, vec_col, params.pca_solver)
     features = apply_pipeline(features_model, df.select(vec_col), vec_col).select(FEATURES_COL)
     with kept(features) as rows:
         levels = train_levels(rows, params, make_estimator)

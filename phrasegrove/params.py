@@ -19,6 +19,7 @@ class ClusterParams:
     # distinct points than k; choose it only where that cannot be.
     solver: str = "auto"
     pca_dims: int = 128
+    pca_solver: str = "exact"  # or "range", whose driver memory is dims x axes
     k_candidates: tuple[int, ...] = (50, 100, 200, 300, 500, 750, 1000)
     sample_fraction: float = 0.2
     coreset_per_k: int = 20  # rows of the sweep's coreset, for each cluster of the largest candidate

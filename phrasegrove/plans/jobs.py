@@ -230,7 +230,7 @@ def train(
     valid, _ = split_valid(embeddings, "embedding", dims)
     stamp = F.lit(trained_at).cast("timestamp")
 
-    features_model = fit_features(valid, params.pca_dims)
+    features_model = fit_features(valid, params.pca_dims, solver=params.pca_solver)
     features = apply_pipeline(features_model, valid.select("id", "embedding"))
     recommended, reason = None, None
     with kept(features.select("id", FEATURES_COL)) as rows:

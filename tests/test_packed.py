@@ -1,5 +1,6 @@
 """Packed moments, tiles, balls, heaps and coresets against plain numpy."""
 
+import hashlib
 import math
 import random
 import tracemalloc
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from phrasegrove.functions import heaps, kernels
 from phrasegrove.functions.balls import Balls
-from phrasegrove.operators import coreset, covariance, metrics, moments, naming, nearest, training
+from phrasegrove.operators import axes, coreset, covariance, incremental, metrics, moments, naming, nearest, training
 from phrasegrove.params import ClusterParams
+from phrasegrove.sources.models import load_model, save_model
 
 ROWS = "cluster int, v array<double>"
 
@@ -262,3 +264,69 @@ def test_a_sweep_reads_the_points_twice(spark, many, monkeypatch):
     assert [a.inertia > b.inertia for a, b in zip(fits, fits[1:])] == [True] * 3
     with pytest.raises(ValueError, match="two rows"):
         training.k_sweep(rows.limit(1), replace(params, k_candidates=(2,)))
+
+
+# --- principal axes --------------------------------------------------------------------
+
+
+def wide(spark, spectrum, n=600, far=3.0):
+    rng = np.random.default_rng(6)
+    dims = len(spectrum)
+    turn = np.linalg.qr(rng.normal(size=(dims, dims)))[0]
+    x = far + (rng.normal(size=(n, dims)) * np.sqrt(spectrum)) @ turn
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").repartition(5)
+    values, vectors = np.linalg.eigh(np.cov(x, rowvar=False))
+    return df, values[::-1], vectors[:, ::-1]
+
+
+def test_axes_of_a_spectrum_with_a_gap(spark, monkeypatch):
+    monkeypatch.setattr(axes, "ROWS_OF_TILE", 16)
+    spectrum = np.concatenate([np.linspace(9, 3, 5), np.full(35, 1e-4)])
+    df, values, vectors = wide(spark, spectrum)
+    found, variances, total = axes.principal_axes(df, "v", 40, 5)
+    outside = found - vectors[:, :5] @ (vectors[:, :5].T @ found)
+    assert np.linalg.norm(outside, 2) < 1e-6  # sine of the largest angle
+    np.testing.assert_allclose(variances, values[:5], rtol=1e-9)
+    assert total == pytest.approx(values.sum())
+    np.testing.assert_allclose(np.abs((found * vectors[:, :5]).sum(0)), 1, atol=1e-6)
+
+
+def test_all_axes_and_no_rows(spark):
+    df, values, vectors = wide(spark, np.array([4.0, 2.0, 1.0]))
+    found, variances, _ = axes.principal_axes(df, "v", 3, 3)
+    np.testing.assert_allclose(variances, values, rtol=1e-9)
+    np.testing.assert_allclose(np.abs((found * vectors).sum(0)), 1, atol=1e-9)
+    with pytest.raises(ValueError, match="no complete vectors"):
+        axes.principal_axes(df.limit(0), "v", 3, 2)
+
+
+def test_range_solver_in_the_pipeline(spark, mixture, tmp_path):
+    exact = training.fit_features(mixture, 4)
+    ranged = training.fit_features(mixture, 4, solver="range")
+    path = f"{tmp_path}/model"
+    save_model(ranged, path)
+    points = [
+        np.array([r.features.toArray() for r in training.apply_pipeline(m, mixture).orderBy("id").collect()])
+        for m in (exact, ranged, load_model(path))
+    ]
+    np.testing.assert_allclose(np.abs(points[1]), np.abs(points[0]), atol=1e-3)  # a slow spectrum
+    np.testing.assert_allclose(points[2], points[1])
+    with pytest.raises(ValueError, match="solver"):
+        training.fit_features(mixture, 4, solver="other")
+
+
+# --- exact samples ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("buffer,limit", [(1 << 14, 1 << 27), (10, 1)])
+def test_a_sample_of_exactly_n_ids(spark, monkeypatch, buffer, limit):
+    monkeypatch.setattr(heaps, "BUFFER_ROWS", buffer)
+    monkeypatch.setattr(heaps, "TASK_BYTES", limit)
+    rows = [(f"a{i}", i) for i in range(900)] + [("hot", i) for i in range(450)] + [(None, 1)] * 9
+    by_digest = sorted({r[0] for r in rows if r[0]}, key=lambda i: (hashlib.md5(i.encode()).hexdigest()[:15], i))
+    df = spark.createDataFrame(rows, "id string, x int")
+    for n, parts in ((1, 3), (100, 11), (100, 2), (5000, 4)):
+        found = incremental.exact_sample(df.repartition(parts), n)
+        want = set(by_digest[:n])
+        assert sorted((r.id, r.x) for r in found.collect()) == sorted(r for r in rows if r[0] in want)
+    assert incremental.exact_sample(df.where("id is null"), 3).count() == 0
