@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phrasegrove.functions.clients import Embedder, call_with_retry
+from phrasegrove.operators.calls import call_profile, dealt
 from phrasegrove.params import EmbedParams
 
 
@@ -23,7 +24,8 @@ def embed_phrases(
     """``(id, frase, embedding)`` from a client that each task makes for itself.
 
     A task calls its client one batch at a time, so the number of partitions is the number of
-    parallel calls. Phrases are dealt to them in turn, so copies of an id do not meet. A call that fails to the end, or answers
+    parallel calls, or with ``call_slots`` the number of the application's slots. Phrases are dealt
+    to them in turn, so copies of an id do not meet. A call that fails to the end, or answers
     with a wrong number or size of vectors, fails the job; no phrase is lost unnoticed.
     """
 
@@ -57,6 +59,6 @@ def embed_phrases(
             yield waiting.assign(embedding=embed(waiting["frase"].tolist(), client))
 
     phrases = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("frase"))
-    return phrases.repartition(params.max_concurrent).mapInPandas(
-        run, "id string, frase string, embedding array<float>"
+    return dealt(phrases, params.max_concurrent, params.call_slots).mapInPandas(
+        run, "id string, frase string, embedding array<float>", profile=call_profile(params.call_slots)
     )

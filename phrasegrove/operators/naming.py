@@ -13,6 +13,7 @@ from phrasegrove.functions import prompts
 from phrasegrove.functions.clients import Namer, call_with_retry
 from phrasegrove.functions.heaps import Nearest
 from phrasegrove.operators.bounded import pin
+from phrasegrove.operators.calls import call_profile, dealt
 from phrasegrove.operators.packed import merged
 from phrasegrove.params import NamingParams
 
@@ -91,8 +92,8 @@ def ask_namer(
 ) -> DataFrame:
     """``(cluster_id, nivel, nome, dor, ok)`` from a client that each task makes for itself.
 
-    There are as many partitions as parallel calls are allowed. A group without phrases is not
-    asked about; it, and a call that fails to the end, get the fallback record.
+    There are as many partitions as parallel calls are allowed, or with ``call_slots`` each task takes
+    one of the application's slots. A group without phrases is not asked about; it, and a call that fails to the end, get the fallback record.
     """
 
     def answer(client, row):
@@ -114,8 +115,8 @@ def ask_namer(
             replies = [answer(client, row) for row in frame.itertuples(index=False)]
             yield frame[["cluster_id", "nivel"]].assign(answer=replies)
 
-    replies = asked.repartition(params.max_concurrent, "cluster_id").mapInPandas(
-        run, "cluster_id int, nivel int, answer string"
+    replies = dealt(asked, params.max_concurrent, params.call_slots, "cluster_id").mapInPandas(
+        run, "cluster_id int, nivel int, answer string", profile=call_profile(params.call_slots)
     )
     return replies.withColumn("_record", prompts.parse_answer("answer")).select(
         "cluster_id", "nivel", "_record.*"

@@ -38,6 +38,7 @@ class EmbedParams:
     attempts: int = 3
     first_delay: float = 2.0
     dims: int = 384
+    call_slots: bool = False  # limit calls by the executors' slots, not by max_concurrent
     rows_per_task: int = 50_000  # phrases a lost task has to embed again, at most
 
 
@@ -45,6 +46,7 @@ class EmbedParams:
 class NamingParams:
     samples_per_cluster: int = 10
     max_concurrent: int = 20
+    call_slots: bool = False
     attempts: int = 3
     first_delay: float = 2.0
 
