@@ -9,7 +9,8 @@ gives.
 
 A text is cut before every space that follows another character, and around characters that occur
 in no piece of several characters: no piece crosses these cuts, which is checked when the model is
-read. Chunks repeat, so a worker keeps the encodings of a bounded number of them.
+read. Chunks repeat, so a worker keeps the encodings of a bounded number of them. Inside, the model's
+mark of a space is a plain space again, which keeps most chunks at a byte a character.
 
 Supported are models without a normalisation table, as the class checks. Defined cases: a null or
 empty text has no tokens; a text of any length is encoded whole; characters without a piece become
@@ -20,6 +21,7 @@ one, so ties and repeated rows need no rule; extra columns are kept.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections.abc import Iterator
@@ -29,15 +31,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from phrasegrove.llm.common import Shipped, add_columns
+from phrasegrove.llm.common import Shipped, add_columns, keeps
 
 SPACE = "▁"
 UNKNOWN = " ⁇ "
-#: Chunks whose encodings a worker keeps in either half of its memory, and the longest one kept.
-MEMO = 150_000
+#: Bytes that either half of a worker's memory of chunks takes, about, and the longest chunk kept.
+MEMO_BYTES = 48 << 20
 MEMO_CHARS = 48
+#: What an entry takes besides its characters and ids: two objects and a place in the table.
+ENTRY_BYTES = 150
 #: Pairs of pieces whose compatibility a worker keeps.
-PAIRS = 300_000
+PAIRS = 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -66,10 +70,10 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += width
 
 
-def _automaton(names) -> ahocorasick.Automaton:
+def _automaton(ids: dict[str, int]) -> ahocorasick.Automaton:
     finder = ahocorasick.Automaton()
-    for name in names:
-        finder.add_word(name, len(name))
+    for name, i in ids.items():
+        finder.add_word(name, i)
     finder.make_automaton()
     return finder
 
@@ -89,7 +93,10 @@ class PieceCodec:
         kinds = [piece.get(3, 1) for piece in pieces]  # 1 normal, 2 unknown, 3 control, 4 user-defined, 6 byte
         if 4 in kinds:
             raise ValueError("user-defined pieces are not supported")
-        self.ids = {name: i for i, (name, kind) in enumerate(zip(names, kinds)) if kind == 1}
+        if any(" " in name for name, kind in zip(names, kinds) if kind == 1):
+            raise ValueError("a piece holds a plain space")
+        self.names = [name.replace(SPACE, " ") for name in names]
+        self.ids = {name: i for i, (name, kind) in enumerate(zip(self.names, kinds)) if kind == 1}
         score = {i: float(np.frombuffer(pieces[i].get(2, bytes(4)), "<f4")[0]) for i in self.ids.values()}
         self.cost = {name: -score[i] for name, i in self.ids.items()}
         self.unknown = kinds.index(2)
@@ -97,17 +104,30 @@ class PieceCodec:
         self.byte_ids = as_bytes if len(as_bytes) == 256 else None
 
         several = [name for name in self.ids if len(name) > 1]
-        if any(SPACE in name.lstrip(SPACE) for name in several):
+        if any(" " in name.lstrip(" ") for name in several):
             raise ValueError("a piece holds a space after another character")
         inside = set("".join(several))
-        alone = re.escape("".join(c for c in map(chr, range(256)) if c not in inside))
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone or SPACE}]").findall
-        self.longest = _automaton(self.ids).iter_long
-        self.all_of_several = _automaton(several).iter
-        self.fits: dict[tuple[str, str], bool] = {}
+        alone = re.escape("".join(c for c in map(chr, range(256)) if c not in inside and c != " "))
+        self.cut = re.compile(f" *[^ {alone}]+| +|[{alone or ' '}]").findall
+        # A character without a piece of its own has the number ``many`` + its code point.
+        self.many = len(names)
+        self.sizes = [len(name) for name in self.names]
+        # The next shorter piece that a piece begins with; -1 for a single character.
+        self.shorter = [-1] * self.many
+        for name, i in self.ids.items():
+            for size in range(len(name) - 1, 0, -1):
+                j = self.ids.get(name[:size], -1)
+                if j >= 0 or size == 1:
+                    self.shorter[i] = j if j >= 0 else self.many + ord(name[0])
+                    break
+        finder = _automaton(self.ids)
+        self.longest, self.matches = finder.iter_long, finder.iter
+        self.packed = "H" if self.many <= 1 << 16 else "i"
+        self.fits: dict[int, bool] = {}
         # What is met again moves from the older half to the newer; a full half replaces the older.
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
         surface = []
         for name, kind in zip(names, kinds):
@@ -126,107 +146,116 @@ class PieceCodec:
 
     def merged(self, text: str) -> list[str]:
         """The pieces by merging: always the neighbours whose joint piece scores best, leftmost."""
-        parts = list(text)
-        while True:
-            options = [
-                (self.cost[parts[i] + parts[i + 1]], i)
-                for i in range(len(parts) - 1)
-                if parts[i] + parts[i + 1] in self.cost
-            ]
-            if not options:
-                return parts
-            i = min(options)[1]
+        parts, cost, never = list(text), self.cost.get, math.inf
+        costs = [cost(a + b, never) for a, b in zip(parts, parts[1:])]
+        while costs:
+            least = min(costs)
+            if least == never:
+                break
+            i = costs.index(least)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-
-    def compatible(self, left: str, right: str) -> bool:
-        """Whether both pieces come back when their characters are merged anew."""
-        known = self.fits.get((left, right))
+            del costs[i]
+            if i:
+                costs[i - 1] = cost(parts[i - 1] + parts[i], never)
+            if i < len(costs):
+                costs[i] = cost(parts[i] + parts[i + 1], never)
+        return parts
+
+    def name(self, piece: int) -> str:
+        return self.names[piece] if piece < self.many else chr(piece - self.many)
+
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether both pieces come back when their characters are merged anew; -1 is no piece."""
+        key = (left + 1) << 32 | right
+        known = self.fits.get(key)
         if known is None:
             if len(self.fits) >= PAIRS:
                 self.fits.clear()
-            known = self.merged(left + right) == ([left, right] if left else [right])
-            self.fits[left, right] = known
+            pair = [self.name(left), self.name(right)] if left >= 0 else [self.name(right)]
+            known = self.fits[key] = self.merged("".join(pair)) == pair
         return known
 
-    def pieces(self, chunk: str) -> list[str]:
+    def pieces(self, chunk: str) -> list[int]:
         """The encoding of a chunk.
 
         Taking the longest piece at every place, without a look at neighbours, is often the answer
         already; else the places are tried in order, with the shorter pieces and backtracking.
         """
-        fits, at, before, taken = self.fits, 0, "", []
-        for last, width in self.longest(chunk):
-            piece = chunk[at : last + 1]
-            if len(piece) != width:
+        fits, sizes, at, before, taken = self.fits, self.sizes, 0, -1, []
+        for last, piece in self.longest(chunk):
+            if last + 1 - sizes[piece] != at:
                 break
-            known = fits.get((before, piece))
+            known = fits.get((before + 1) << 32 | piece)
             if not (self.compatible(before, piece) if known is None else known):
                 break
             taken.append(piece)
             before, at = piece, last + 1
         return taken if at == len(chunk) else self.backtracked(chunk)
 
-    def backtracked(self, chunk: str) -> list[str]:
-        fits, size = self.fits, len(chunk)
-        options: list[list[int]] = [[i] for i in range(1, size + 1)]
-        for last, width in self.all_of_several(chunk):
-            options[last + 1 - width].append(last + 1)
+    def backtracked(self, chunk: str) -> list[int]:
+        fits, sizes, many, size = self.fits, self.sizes, self.many, len(chunk)
+        # The longest piece at each place: of those that begin there it ends last.
+        longest = [-1] * size
+        for last, piece in self.matches(chunk):
+            longest[last + 1 - sizes[piece]] = piece
         failed = bytearray(size + 1)
-        ends: list[int] = []
-        at, before = 0, ""
-        while at < size:
-            for end in reversed(options[at]):
-                if failed[end]:
-                    continue
-                piece = chunk[at:end]
-                known = fits.get((before, piece))
+        taken: list[int] = []
+        at, before = 0, -1
+        piece = longest[0] if longest[0] >= 0 else many + ord(chunk[0])
+        while True:
+            end = at + (sizes[piece] if piece < many else 1)
+            if not failed[end]:
+                known = fits.get((before + 1) << 32 | piece)
                 if self.compatible(before, piece) if known is None else known:
-                    ends.append(end)
-                    before, at = piece, end
-                    break
-            else:
+                    taken.append(piece)
+                    if end == size:
+                        return taken
+                    at, before = end, piece
+                    piece = longest[at] if longest[at] >= 0 else many + ord(chunk[at])
+                    continue
+            piece = self.shorter[piece] if piece < many else -1
+            while piece < 0:
+                # Nothing fits here: the piece before gives way to a shorter one.
                 failed[at] = 1
-                ends.pop()
-                at = ends[-1] if ends else 0
-                before = chunk[ends[-2] if len(ends) > 1 else 0 : at]
-        start, taken = 0, []
-        for end in ends:
-            taken.append(chunk[start:end])
-            start = end
-        return taken
-
-    def _ids(self, piece: str) -> list[int]:
-        if piece in self.ids:
-            return [self.ids[piece]]
+                gone = taken.pop()
+                at -= sizes[gone] if gone < many else 1
+                before = taken[-1] if taken else -1
+                piece = self.shorter[gone] if gone < many else -1
+
+    def _ids(self, piece: int) -> list[int]:
+        if piece < self.many:
+            return [piece]
         if self.byte_ids is None:
             return [self.unknown]
-        return [self.byte_ids[b] for b in piece.encode()]
+        return [self.byte_ids[b] for b in chr(piece - self.many).encode()]
 
     def _encoded(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
         if found is None:
-            ids = self.ids
-            try:
-                numbers = [ids[piece] for piece in self.pieces(chunk)]
-            except KeyError:
-                numbers = [i for piece in self.pieces(chunk) for i in self._ids(piece)]
-            found = array("i", numbers).tobytes()
+            pieces = self.pieces(chunk)
+            if max(pieces) >= self.many:
+                pieces = [i for piece in pieces for i in self._ids(piece)]
+            found = array(self.packed, pieces).tobytes()
         if len(chunk) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO:
-                self.memo, self.older = {}, self.memo
+            if self.held >= MEMO_BYTES:
+                self.memo, self.older, self.held = {}, self.memo, 0
             self.memo[chunk] = found
+            self.held += ENTRY_BYTES + len(chunk) + len(found)
         return found
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
-            return np.zeros(0, np.int32)
-        chunks = self.cut(SPACE + text.replace(" ", SPACE))
+            return np.zeros(0, self.packed)
+        chunks = self.cut(" " + text.replace(SPACE, " "))
         found = list(map(self.memo.get, chunks))
         if None in found:
+            memo = self.memo
             for i, known in enumerate(found):
                 if known is None:
-                    found[i] = self._encoded(chunks[i])
-        return np.frombuffer(b"".join(found), np.int32)
+                    # The same chunk may have come before in this text.
+                    known = memo.get(chunks[i])
+                    found[i] = self._encoded(chunks[i]) if known is None else known
+        return np.frombuffer(b"".join(found), self.packed)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids."""
@@ -270,6 +299,7 @@ def _codec(model: Shipped) -> PieceCodec:
     if model.key not in _codecs:
         _codecs.clear()
         _codecs[model.key] = PieceCodec(model.data.value)
+        keeps("sentencepiece", _codecs.clear)
     return _codecs[model.key]
 
 
@@ -277,7 +307,7 @@ def ragged(parts: list[np.ndarray], kind) -> pa.ListArray:
     offsets = np.zeros(len(parts) + 1, np.int32)
     np.cumsum([len(p) for p in parts], out=offsets[1:])
     values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(kind.to_pandas_dtype()), kind))
 
 
 def encode(
@@ -297,7 +327,7 @@ def encode(
         return made
 
     added = f"`{ids_col}` array<int>" + (f", `{decoded_col}` string" if decoded_col else "")
-    return add_columns(df, text_col, added, make)
+    return add_columns(df, text_col, added, make, operator="sentencepiece")
 
 
 def decode(df: DataFrame, model: Shipped, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -307,4 +337,4 @@ def decode(df: DataFrame, model: Shipped, ids_col: str = "ids", text_col: str =
         codec = _codec(model)
         return {text_col: pa.array([codec.decode(ids) for ids in rows], pa.string())}
 
-    return add_columns(df, ids_col, f"`{text_col}` string", make, as_arrays=True)
+    return add_columns(df, ids_col, f"`{text_col}` string", make, as_arrays=True, operator="sentencepiece")
