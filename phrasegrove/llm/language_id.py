@@ -35,11 +35,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from phrasegrove.llm.common import add_columns, mix64
+from phrasegrove.llm.common import add_columns, mix64, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 WORDS = WORD.findall
 UNKNOWN = "und"
+#: A character that ``WORD`` may hold, for Java's expressions.
+LETTER = r"[\p{L}\p{Nl}\p{No}]"
+#: Bytes of text that are worked on at a time, about; short words make many numbers.
+SLICE = 2 << 20
 #: Rows of the weight table: hashed features, then one row per language's lexicon.
 HASHED = 1 << 16
 #: Places of the learned n-grams: so many that few others share one.
@@ -76,8 +80,8 @@ class Model:
     least_known: float
 
 
-def features(words: list[str], lexicon: dict[str, int], table: int = HASHED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature rows and word numbers, one pair per feature, and each word's scale."""
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Places (of ``KNOWN``) and word numbers of all n-grams of the words, and of the words."""
     flat = np.frombuffer(("\x01" + "\x02\x01".join(words) + "\x02").encode("utf-32-le"), np.uint32).astype(np.uint64)
     begins = np.flatnonzero(flat == 1)
     sizes = np.diff(np.append(begins, len(flat)))
@@ -90,15 +94,23 @@ def features(words: list[str], lexicon: dict[str, int], table: int = HASHED) ->
         rolled[: len(flat) - n + 1] += flat[n - 1 :]
         if n in GRAMS:
             fits = left >= n
-            rows.append(mix64(rolled[fits] + np.uint64(n)) % np.uint64(table))
+            rows.append((mix64(rolled[fits] + np.uint64(n)) % np.uint64(KNOWN)).astype(np.int64))
             owners.append(owner[fits])
     sums = np.add.reduceat(mix64(flat + np.uint64(31) * left.astype(np.uint64)), begins)
-    rows.append(mix64(sums) % np.uint64(table))
+    rows.append((mix64(sums) % np.uint64(KNOWN)).astype(np.int64))
     owners.append(np.arange(len(words)))
+    return np.concatenate(rows), np.concatenate(owners)
+
+
+def features(words: list[str], lexicon: dict[str, int], found=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature rows and word numbers, one pair per feature, and each word's scale.
+
+    ``found`` is what ``grams`` gives, if it is there already: ``HASHED`` divides ``KNOWN``.
+    """
+    rows, owners = grams(words) if found is None else found
     entry = np.array([lexicon.get(w, -1) for w in words])
-    rows.append((HASHED + entry[entry >= 0]).astype(np.uint64))
-    owners.append(np.flatnonzero(entry >= 0))
-    rows, owners = np.concatenate(rows).astype(np.int64), np.concatenate(owners)
+    rows = np.concatenate([rows % HASHED, HASHED + entry[entry >= 0]])
+    owners = np.concatenate([owners, np.flatnonzero(entry >= 0)])
     return rows, owners, 1 / np.sqrt(np.bincount(owners, minlength=len(words)))
 
 
@@ -108,9 +120,9 @@ def word_scores(found, weights: np.ndarray) -> np.ndarray:
     return np.stack(columns, axis=1) * scale[:, None]
 
 
-def known_parts(words: list[str], learned: np.ndarray) -> np.ndarray:
+def known_parts(found: tuple[np.ndarray, np.ndarray], learned: np.ndarray) -> np.ndarray:
     """The part of each word's n-grams, itself among them, that were learned."""
-    rows, owners, _ = features(words, {}, KNOWN)
+    rows, owners = found
     return np.bincount(owners, learned[rows]) / np.bincount(owners)
 
 
@@ -118,7 +130,7 @@ def least_known(texts: list[list[str]]) -> tuple[np.ndarray, float]:
     """``Model.learned`` and ``Model.least_known`` of the sample's texts, given as words."""
     index: dict[str, int] = {}
     numbers = [np.array([index.setdefault(w, len(index)) for w in words]) for words in texts]
-    rows, owners, _ = features(list(index), {}, KNOWN)
+    rows, owners = grams(list(index))
     order = np.argsort(owners, kind="stable")
     by_word, ends = rows[order], np.searchsorted(owners[order], np.arange(len(index) + 1))
     of = [by_word[ends[i] : ends[i + 1]] for i in range(len(index))]
@@ -130,16 +142,21 @@ def least_known(texts: list[list[str]]) -> tuple[np.ndarray, float]:
     shared = [np.mean([(count[of[i]] > 1).mean() for i in n]) for n in numbers]
     learned = count > 0
     strange = ["".join(chr(0xF0000 + ord(c) % 0xFFF0) for c in word) for word in index]
-    noise = known_parts(strange, learned)
+    noise = known_parts(grams(strange), learned)
     low, high = np.mean([noise[n].mean() for n in numbers]), np.quantile(shared, 0.01)
     return learned, float(min(high, (low + high) / 2))
 
 
-def marginals(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's probabilities in chains laid end to end, and the expected transitions.
+def marginals(
+    scores: np.ndarray, words: np.ndarray, sizes: np.ndarray, transitions: np.ndarray, expect: bool = False
+) -> tuple[np.ndarray, np.ndarray | None]:
+    """Each word's probabilities in chains laid end to end, and, if asked for, the expected transitions.
+
+    ``scores`` has a row per different word, ``words`` the number of each word of the chains, ``sizes``
+    the words of each chain. The word before a chain's first is taken as any language alike.
 
-    ``scores`` has a row per word, ``sizes`` the words of each chain. The word before a chain's
-    first is taken as any language alike.
+    The words of all pieces lie place by place, longer pieces first, so that a step of all pieces that
+    reach it is one stretch and nothing is padded.
     """
     k = scores.shape[1]
     emit = np.exp(scores - scores.max(axis=1, keepdims=True))
@@ -147,54 +164,62 @@ def marginals(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) ->
     pieces = -(-sizes // PIECE)
     total = int(pieces.sum())
     if not total:
-        return np.zeros((0, k)), np.zeros((k, k))
+        return np.zeros((0, k)), np.zeros((k, k)) if expect else None
     first = np.cumsum(pieces) - pieces
-    at = np.cumsum(sizes) - sizes
-    place = np.arange(len(scores)) + np.repeat(first * PIECE - at, sizes)
-    grid = np.ones((total * PIECE, k))
-    grid[place] = emit
-    real = np.zeros(total * PIECE, bool)
-    real[place] = True
-    grid, real = grid.reshape(total, PIECE, k), real.reshape(total, PIECE)
-
-    # The transfer matrix of each piece.
-    whole = np.broadcast_to(np.eye(k), (total, k, k)).copy()
-    for t in range(PIECE):
-        on = real[:, t]
-        step = (whole[on] @ move) * grid[on, t][:, None, :]
-        whole[on] = step / step.sum(axis=(1, 2), keepdims=True)
-    # Along each chain: what enters a piece from the left, and from the right.
+    inside = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    piece = np.repeat(first, sizes) + inside // PIECE
+    inside %= PIECE
+    lengths = np.bincount(piece, minlength=total)
+    rank = np.empty(total, np.int64)
+    rank[np.argsort(-lengths, kind="stable")] = np.arange(total)
+    active = np.bincount(inside, minlength=PIECE)
+    begin = np.cumsum(active) - active
+    place = begin[inside] + rank[piece]
+    del inside, piece
+    steps = [slice(b, b + a) for b, a in zip(begin, active) if a]
+    grid = np.empty((len(words), k))
+    grid[place] = emit[words]
+
     enter = np.full((total, k), 1 / k)
     leave = np.full((total, k), 1 / k)
     longest = int(pieces.max())
-    for i in range(1, longest):
-        p = first[pieces > i] + i
-        enter[p] = np.einsum("pi,pij->pj", enter[p - 1], whole[p - 1])
-        enter[p] /= enter[p].sum(axis=1, keepdims=True)
-        q = (first + pieces - 1 - i)[pieces > i]
-        leave[q] = np.einsum("pij,pj->pi", whole[q + 1], leave[q + 1])
-        leave[q] /= leave[q].sum(axis=1, keepdims=True)
+    if longest > 1:
+        # The transfer matrix of each piece; along each chain, what enters a piece from both sides.
+        whole = np.broadcast_to(np.eye(k), (total, k, k)).copy()
+        for on in steps:
+            n = on.stop - on.start
+            step = (whole[:n] @ move) * grid[on][:, None, :]
+            whole[:n] = step / step.sum(axis=(1, 2), keepdims=True)
+        for i in range(1, longest):
+            p = first[pieces > i] + i
+            new = np.einsum("pi,pij->pj", enter[rank[p - 1]], whole[rank[p - 1]])
+            enter[rank[p]] = new / new.sum(axis=1, keepdims=True)
+            q = (first + pieces - 1 - i)[pieces > i]
+            new = np.einsum("pij,pj->pi", whole[rank[q + 1]], leave[rank[q + 1]])
+            leave[rank[q]] = new / new.sum(axis=1, keepdims=True)
+        del whole
     # All pieces side by side.
-    forward = np.empty((PIECE + 1, total, k))
-    forward[0] = enter
-    for t in range(PIECE):
-        on = real[:, t, None]
-        new = np.where(on, (forward[t] @ move) * grid[:, t], forward[t])
-        forward[t + 1] = new / new.sum(axis=1, keepdims=True)
-    out = np.empty((total, PIECE, k))
-    expected = np.zeros((k, k))
-    back = leave
-    for t in reversed(range(PIECE)):
-        both = forward[t + 1] * back
-        out[:, t] = both / both.sum(axis=1, keepdims=True)
-        on = real[:, t]
-        ahead = grid[:, t] * back
-        pairs = forward[t][:, :, None] * move * ahead[:, None, :]
-        pairs = pairs[on]
-        expected += (pairs / pairs.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    forward, held = np.empty_like(grid), enter.copy()
+    for on in steps:
+        n = on.stop - on.start
+        new = (held[:n] @ move) * grid[on]
+        held[:n] = new / new.sum(axis=1, keepdims=True)
+        forward[on] = held[:n]
+    expected = np.zeros((k, k)) if expect else None
+    for t in reversed(range(len(steps))):
+        on = steps[t]
+        n = on.stop - on.start
+        ahead = grid[on] * leave[:n]
+        if expect:
+            before = enter[:n] if t == 0 else forward[steps[t - 1].start :][:n]
+            pairs = before[:, :, None] * move * ahead[:, None, :]
+            expected += (pairs / pairs.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        # The place is not read forwards any more and takes the answer.
+        both = forward[on] * leave[:n]
+        grid[on] = both / both.sum(axis=1, keepdims=True)
         new = ahead @ move.T
-        back = np.where(on[:, None], new / new.sum(axis=1, keepdims=True), back)
-    return out.reshape(-1, k)[place], expected
+        leave[:n] = new / new.sum(axis=1, keepdims=True)
+    return grid[place], expected
 
 
 def learn(texts: list[tuple[str, str]], sample: Sample = Sample()) -> Model | None:
@@ -238,7 +263,7 @@ def learn(texts: list[tuple[str, str]], sample: Sample = Sample()) -> Model | No
     heads_of = np.bincount(labels[heads], minlength=k)
     moments = [np.zeros_like(weights), np.zeros_like(transitions)]
     for _ in range(sample.rounds):
-        guess, pairs = marginals(word_scores(found, weights)[words], sizes, transitions)
+        guess, pairs = marginals(word_scores(found, weights), words, sizes, transitions, expect=True)
         error = np.zeros((len(index), k))
         for j in range(k):
             error[:, j] = np.bincount(words, truth[:, j] - guess[:, j], minlength=len(index))
@@ -259,24 +284,29 @@ def held_out(id_col: str) -> Column:
 
 
 def fit(docs: DataFrame, sample: Sample = Sample(), id_col="doc_id", text_col="text", lang_col="lang") -> Model | None:
-    """Learn from the bounded sample of rows that are not held out."""
-    spot = F.xxhash64(id_col, text_col)
-    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), spot.alias("spot")
+    """Learn from the bounded sample of rows that are not held out.
+
+    Rows are ranked by their hash alone, and only the sampled texts are fetched.
+    """
+    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(LETTER)).select(
+        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col, text_col).alias("spot")
     )
+    # First within a 64th of the tasks, so that no task gets what all tasks hold of a language.
+    chosen = rows.select("lang", "spot").withColumn("piece", F.spark_partition_id() % 64)
+    for keys in (["lang", "piece"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("spot"))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= sample.docs)
+    chosen = stored(chosen.select("lang", "spot").distinct(), "sample")
 
     def make(texts: list[str]) -> dict[str, pa.Array]:
         firsts = (islice(WORD.finditer(text.lower()), sample.words) for text in texts)
         return {"text": pa.array([" ".join(m.group() for m in first) for first in firsts], pa.string())}
 
     # Only the words that may be learned leave the task.
-    rows = add_columns(rows, "text", "text string", make).where("text <> ''")
-    # First within a 64th of a language, so that no task gets what all tasks hold of one.
-    for keys in (["lang", "piece"], ["lang"]):
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy("spot", "text"))
-        rows = rows.withColumn("piece", F.pmod("spot", F.lit(64))).withColumn("place", place)
-        rows = rows.where(F.col("place") <= sample.docs).select("text", "lang", "spot")
-    taken = rows.select("text", "lang").collect()
+    rows = add_columns(rows.join(chosen, ["lang", "spot"]), "text", "text string", make).where("text <> ''")
+    # Repeated rows share a hash.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("spot", "text"))
+    taken = rows.withColumn("place", place).where(F.col("place") <= sample.docs).select("text", "lang").collect()
     return learn([(r.text, r.lang) for r in taken], sample)
 
 
@@ -294,8 +324,11 @@ def judged(texts: list[str], model: Model, known: bool = False):
     k = len(model.languages)
     if not len(numbers):
         return np.full(len(texts), -1), np.zeros(len(texts)), split, np.zeros((0, k)), np.zeros(len(texts))
-    scores = word_scores(features(list(index), model.lexicon), model.weights)
-    chances, _ = marginals(scores[numbers], sizes, model.transitions)
+    found = grams(list(index))
+    scores = word_scores(features(list(index), model.lexicon, found), model.weights)
+    parts = known_parts(found, model.learned) if known else None
+    del found
+    chances, _ = marginals(scores, numbers, sizes, model.transitions)
     owner = np.repeat(np.arange(len(texts)), sizes)
     mass = np.stack([np.bincount(owner, chances[:, j], minlength=len(texts)) for j in range(k)], axis=1)
     some = sizes > 0
@@ -305,18 +338,20 @@ def judged(texts: list[str], model: Model, known: bool = False):
     score = np.clip(share[np.arange(len(texts)), best], 0, 1)
     part = np.zeros(len(texts))
     if known:
-        part = np.bincount(owner, known_parts(list(index), model.learned)[numbers], minlength=len(texts)) / np.maximum(sizes, 1)
+        part = np.bincount(owner, parts[numbers], minlength=len(texts)) / np.maximum(sizes, 1)
     return np.where(some, best, -1), np.where(some, score, 0.0), split, chances, part
 
 
-def identify(df: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score", known_out: str | None = None) -> DataFrame:
+def identify(df: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score", known_out: str | None = None, keep_text: bool = True) -> DataFrame:
     """Add the predicted language and its score; the text is the only input.
 
-    ``known_out``, if given, is added as how well the text is known.
+    ``known_out``, if given, is added as how well the text is known. Without ``keep_text`` the
+    text is left out.
     """
     if model is None:
         extra = {known_out: F.lit(0.0)} if known_out else {}
-        return df.withColumns({lang_out: F.lit(UNKNOWN), score_out: F.lit(0.0), **extra})
+        rows = df.withColumns({lang_out: F.lit(UNKNOWN), score_out: F.lit(0.0), **extra})
+        return rows if keep_text else rows.drop(text_col)
     # The table of weights has a fixed number of rows, the lexicon is bounded by the sample.
     sent = df.sparkSession.sparkContext.broadcast(model)
 
@@ -328,7 +363,7 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", lang_ou
         return {**made, **({known_out: pa.array(known)} if known_out else {})}
 
     added = f"`{lang_out}` string, `{score_out}` double" + (f", `{known_out}` double" if known_out else "")
-    return add_columns(df, text_col, added, make)
+    return add_columns(df, text_col, added, make, keep=keep_text, slice_bytes=SLICE)
 
 
 def label_words(df: DataFrame, model: Model, text_col: str = "text", out: str = "words") -> DataFrame:

@@ -78,7 +78,7 @@ def op6_language_id(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = language_id.fit(docs)
     rows = docs.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "text")
-    return language_id.identify(rows, model).drop("text")
+    return language_id.identify(rows, model, keep_text=False)
 
 
 def op7_warc_fixity(spark, sf_dir) -> DataFrame:

@@ -40,7 +40,7 @@ def test_marginals_equal_all_paths():
     rng = np.random.default_rng(0)
     sizes = np.array([3, 0, 1, 5])
     scores, move = rng.normal(size=(9, 3)), rng.normal(size=(3, 3))
-    words, pairs = li.marginals(scores, sizes, move)
+    words, pairs = li.marginals(scores, np.arange(9), sizes, move, expect=True)
     at, expected = 0, np.zeros((3, 3))
     for size in sizes:
         if size:
@@ -56,12 +56,27 @@ def test_pieces_do_not_matter(monkeypatch, piece):
     rng = np.random.default_rng(1)
     sizes = np.array([0, 200, 1, 64, 65, 0, 128, 3])
     scores, move = rng.normal(size=(sizes.sum(), 4)) * 3, rng.normal(size=(4, 4)) * 2
-    want = li.marginals(scores, sizes, move)
+    words = np.arange(len(scores))
+    want = li.marginals(scores, words, sizes, move, expect=True)
     monkeypatch.setattr(li, "PIECE", piece)
-    got = li.marginals(scores, sizes, move)
+    got = li.marginals(scores, words, sizes, move, expect=True)
     assert np.allclose(got[0], want[0]) and np.allclose(got[1], want[1])
 
 
+def test_short_texts_take_little_memory(model):
+    """A slice of many short texts holds about its words, not a padded piece for each text."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(5000)]
+    texts = [" ".join(rng.choice(vocabulary, 8)) for _ in range(li.SLICE // 56)]
+    tracemalloc.start()
+    li.judged(texts, model, known=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 75 << 20  # 150 MB for twice the slice
+
+
 def test_features_of_a_word_do_not_depend_on_its_neighbours():
     alone = li.features(["straße"], {"straße": 1})
     rows, owners, _ = li.features(["a", "straße", "xyz" * 30], {"straße": 1})
