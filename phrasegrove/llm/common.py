@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -65,14 +66,44 @@ def free_name(taken: Sequence[str], wanted: str) -> str:
 SLICE_BYTES = 4 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about ``SLICE_BYTES``, so that long texts do not add up."""
+#: What operators keep in this worker from task to task: how to drop it, by operator.
+_kept: dict[str, Callable[[], object]] = {}
+
+
+def keeps(operator: str, drop: Callable[[], object]) -> None:
+    """Note that ``operator`` keeps something in this worker, which ``drop`` clears."""
+    _kept[operator] = drop
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, slice_bytes: int = SLICE_BYTES, operator: str = ""
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``slice_bytes``, so that long texts do not add up.
+
+    Workers go from one operator's tasks to another's: what others than ``operator`` keep is dropped.
+    """
+    for other in [name for name in _kept if name != operator]:
+        _kept.pop(other)()
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.column(column).nbytes))
+        rows = max(1, batch.num_rows * slice_bytes // max(1, batch.column(column).nbytes))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        give_back()
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library than glibc
+    _trim = None
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: workers stay, and would keep what one batch took."""
+    if _trim:
+        _trim(0)
+    pa.default_memory_pool().release_unused()
 
 
 def lists_of(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
@@ -90,24 +121,34 @@ def add_columns(
     added: str,
     make: Callable[[list], dict[str, pa.Array]],
     as_arrays: bool = False,
+    keep: bool = True,
+    slice_bytes: int = SLICE_BYTES,
+    operator: str = "",
 ) -> DataFrame:
     """``df`` with columns computed from the texts (or arrays) of ``column``, batch by batch.
 
     ``added`` is their schema in DDL; a column of the same name is replaced. Rows keep their
-    order and their other columns.
+    order and their other columns; without ``keep``, ``column`` itself is left out. It is sent to the
+    task once in any case.
     """
     extra = T.StructType.fromDDL(added)
-    new = {field.name.lower() for field in extra}
-    kept = [field for field in df.schema if field.name.lower() not in new]
-    source = free_name([*df.columns, *new], "_source")
-    rows = df.withColumn(source, F.col(column)).select(*(f"`{f.name}`" for f in kept), source)
+    gone = {field.name.lower() for field in extra} | (set() if keep else {column.lower()})
+    kept = [field for field in df.schema if field.name.lower() not in gone]
+    names = [field.name.lower() for field in kept]
+    rows = df.select(*(f"`{field.name}`" for field in kept))
+    source = column
+    if column.lower() not in names:
+        source = free_name([*df.columns, *(field.name for field in extra)], "_source")
+        rows = df.withColumn(source, F.col(column)).select(*rows.columns, source)
+    place = names.index(column.lower()) if column.lower() in names else len(kept)
+    sent = rows.columns[place]
     schema = T.StructType([*kept, *extra])
     read = lists_of if as_arrays else texts_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, source):
-            made = make(read(batch, source))
-            arrays = [*batch.columns[:-1], *(made[field.name] for field in extra)]
+        for batch in slices(batches, sent, slice_bytes, operator):
+            made = make(read(batch, sent))
+            arrays = [*batch.columns[: len(kept)], *(made[field.name] for field in extra)]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return rows.mapInArrow(run, schema)

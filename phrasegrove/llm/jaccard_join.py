@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phrasegrove.llm.common import from_planes, mix64, planes, slices, stored, texts_of
+from phrasegrove.llm.common import from_planes, give_back, keeps, mix64, planes, slices, stored, texts_of
 from phrasegrove.llm.components import components
 from phrasegrove.llm.url_filter import build_filter, passing
 
@@ -53,6 +53,8 @@ COMMON = 3
 HUB_ROWS = 20_000
 #: Tasks that the partners of one hub are dealt to.
 PIECES = 4
+#: Shingles that are sketched at a time, about.
+SKETCHED = 150_000
 #: Words whose hashes a worker keeps.
 WORDS_KEPT = 300_000
 #: Least number of words of a sketch.
@@ -81,6 +83,8 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= WORDS_KEPT:
             self.clear()
+        if not self:
+            keeps("jaccard", self.clear)
         made = self[word] = xxhash.xxh64_intdigest(word)
         return made
 
@@ -193,7 +197,18 @@ class Frequent:
 
 
 def signatures(sets: list[np.ndarray], frequent: Frequent = Frequent()) -> tuple[np.ndarray, np.ndarray]:
-    """The words by which sets meet their partners, and whose they are."""
+    """The words by which sets meet their partners, and whose they are.
+
+    Sketches are made for about ``SKETCHED`` shingles at a time, so that their arrays stay small.
+    """
+    ends = np.cumsum([len(s) for s in sets])
+    part = (ends - 1) // SKETCHED if len(sets) else ends
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sets)]
+    made = [_signatures(sets[a:b], frequent) for a, b in zip(cuts, cuts[1:])]
+    return np.concatenate([words for words, _ in made]), np.concatenate([at + a for (_, at), a in zip(made, cuts)])
+
+
+def _signatures(sets: list[np.ndarray], frequent: Frequent) -> tuple[np.ndarray, np.ndarray]:
     found, owners = [], []
     open_ = [(i, band, most) for i, s in enumerate(sets) for band, most in roles(len(s))]
     turn = 0
@@ -225,7 +240,7 @@ def profiles(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", operator="jaccard"):
             sets = shingle_sets(texts_of(batch, "text"))
             own = [band_of(len(s)) for s in sets]
             columns = [
@@ -248,7 +263,7 @@ def frequent_words(docs: DataFrame) -> Frequent:
     sampled = docs.where(F.pmod("spot", F.lit(1_000_000)) < int(share * 1_000_000)).limit(SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", operator="jaccard"):
             sets = shingle_sets(texts_of(batch, "text"))
             open_ = [(s, band) for s in sets for band, _ in roles(len(s))]
             words, whose = sketch_words([s for s, _ in open_], np.array([b for _, b in open_], np.int64), 0)
@@ -266,7 +281,7 @@ def signature_rows(docs: DataFrame, buckets: int, common) -> DataFrame:
     """``(bucket, words, owner, nodes, sizes)``: packed signatures of many documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", operator="jaccard"):
             sets = shingle_sets(texts_of(batch, "text"))
             nodes, at = np.unique([node_of(s) for s in sets], return_index=True)
             words, owner = signatures([sets[i] for i in at], common.value)
@@ -322,7 +337,10 @@ def shared_words(packed: DataFrame) -> DataFrame:
         taken &= length > 1
         rows = np.repeat(taken, length)
         g = np.repeat(number, length)[rows].view(np.int64)
-        return pa.table({"g": g, "node": nodes[rows], "n": sizes[rows]})
+        found = pa.table({"g": g, "node": nodes[rows], "n": sizes[rows]})
+        del words, order, equal, keep, fresh
+        give_back()
+        return found
 
     return packed.groupBy("bucket").applyInArrow(run, "g bigint, node bigint, n bigint").distinct()
 
@@ -485,7 +503,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     texts = texts.join(asked, (texts.key == asked.s) & texts.doc_id.eqNullSafe(asked.i)).select("node", "text")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", operator="jaccard"):
             sets = shingle_sets(texts_of(batch, "text"))
             right = [node_of(s) == node for s, node in zip(sets, batch.column("node").to_pylist())]
             rows = pa.array([s.tobytes() for s in sets], pa.binary())
