@@ -70,6 +70,17 @@ def test_level_silhouette_equals_the_evaluator(spark, mixture):
     assert fit.silhouette == pytest.approx(evaluator.evaluate(fit.model.transform(rows)), abs=1e-9)
 
 
+@pytest.mark.parametrize("steps", [1, 10])
+def test_inertia_is_that_of_the_centres_returned(spark, mixture, steps):
+    """Also of a model whose last step still moved its centres."""
+    model = training.fit_features(mixture, 8)
+    rows = training.apply_pipeline(model, mixture).select("features").cache()
+    fit = training.fit_level(rows, 4, 1, training.kmeans(replace(PARAMS, max_iter=steps)), "features")
+    points = np.array([r.features.toArray() for r in rows.collect()])
+    gaps = ((points[:, None, :] - np.array(fit.model.clusterCenters())) ** 2).sum(axis=2)
+    assert fit.inertia == pytest.approx(gaps.min(axis=1).sum(), rel=1e-9)
+
+
 def test_projection_follows_numpy_up_to_sign(spark, mixture):
     x = np.array([r.embedding for r in mixture.select("id", "embedding").orderBy("id").collect()])
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
