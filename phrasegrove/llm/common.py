@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from phrasegrove.functions.memory import give_back
 from phrasegrove.sources.shared import fresh_path
 
 #: The white space of the contracts: space and U+0009 to U+000D.
@@ -93,19 +93,6 @@ def slices(
         give_back()
 
 
-try:
-    _trim = ctypes.CDLL(None).malloc_trim
-except (AttributeError, OSError):  # another C library than glibc
-    _trim = None
-
-
-def give_back() -> None:
-    """Hand freed memory back to the system: workers stay, and would keep what one batch took."""
-    if _trim:
-        _trim(0)
-    pa.default_memory_pool().release_unused()
-
-
 def lists_of(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
     """The column's arrays as numpy arrays, null read as empty."""
     lists = batch.column(column)
@@ -124,12 +111,14 @@ def add_columns(
     keep: bool = True,
     slice_bytes: int = SLICE_BYTES,
     operator: str = "",
+    done: Callable[[], object] | None = None,
 ) -> DataFrame:
     """``df`` with columns computed from the texts (or arrays) of ``column``, batch by batch.
 
     ``added`` is their schema in DDL; a column of the same name is replaced. Rows keep their
     order and their other columns; without ``keep``, ``column`` itself is left out. It is sent to the
-    task once in any case.
+    task once in any case. ``done`` is called when a task ends, to drop what it gathered: an executor has
+    more workers than running tasks, and takes them in turn.
     """
     extra = T.StructType.fromDDL(added)
     gone = {field.name.lower() for field in extra} | (set() if keep else {column.lower()})
@@ -146,10 +135,15 @@ def add_columns(
     read = lists_of if as_arrays else texts_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, sent, slice_bytes, operator):
-            made = make(read(batch, sent))
-            arrays = [*batch.columns[: len(kept)], *(made[field.name] for field in extra)]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        try:
+            for batch in slices(batches, sent, slice_bytes, operator):
+                made = make(read(batch, sent))
+                arrays = [*batch.columns[: len(kept)], *(made[field.name] for field in extra)]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        finally:
+            if done:
+                done()
+                give_back()
 
     return rows.mapInArrow(run, schema)
 

@@ -9,7 +9,7 @@ gives.
 
 A text is cut before every space that follows another character, and around characters that occur
 in no piece of several characters: no piece crosses these cuts, which is checked when the model is
-read. Chunks repeat, so a worker keeps the encodings of a bounded number of them. Inside, the model's
+read. Chunks repeat, so a task keeps the encodings of a bounded number of them. Inside, the model's
 mark of a space is a plain space again, which keeps most chunks at a byte a character.
 
 Supported are models without a normalisation table, as the class checks. Defined cases: a null or
@@ -35,12 +35,12 @@ from phrasegrove.llm.common import Shipped, add_columns, keeps
 
 SPACE = "▁"
 UNKNOWN = " ⁇ "
-#: Bytes that either half of a worker's memory of chunks takes, about, and the longest chunk kept.
-MEMO_BYTES = 48 << 20
+#: Bytes that either half of a task's memory of chunks takes, about, and the longest chunk kept.
+MEMO_BYTES = 24 << 20
 MEMO_CHARS = 48
 #: What an entry takes besides its characters and ids: two objects and a place in the table.
 ENTRY_BYTES = 150
-#: Pairs of pieces whose compatibility a worker keeps.
+#: Pairs of pieces whose compatibility a task keeps.
 PAIRS = 400_000
 
 
@@ -123,11 +123,7 @@ class PieceCodec:
         finder = _automaton(self.ids)
         self.longest, self.matches = finder.iter_long, finder.iter
         self.packed = "H" if self.many <= 1 << 16 else "i"
-        self.fits: dict[int, bool] = {}
-        # What is met again moves from the older half to the newer; a full half replaces the older.
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
+        self.forget()
 
         surface = []
         for name, kind in zip(names, kinds):
@@ -144,6 +140,14 @@ class PieceCodec:
         self.spaced = np.array([kind == 1 and name.startswith(SPACE) for name, kind in zip(names, kinds)])
         self.byte_piece = np.array([kind == 6 for kind in kinds])
 
+    def forget(self) -> None:
+        """Drop the pairs and chunks met so far."""
+        self.fits: dict[int, bool] = {}
+        # What is met again moves from the older half to the newer; a full half replaces the older.
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
+
     def merged(self, text: str) -> list[str]:
         """The pieces by merging: always the neighbours whose joint piece scores best, leftmost."""
         parts, cost, never = list(text), self.cost.get, math.inf
@@ -303,6 +307,11 @@ def _codec(model: Shipped) -> PieceCodec:
     return _codecs[model.key]
 
 
+def _forget() -> None:
+    for codec in _codecs.values():
+        codec.forget()
+
+
 def ragged(parts: list[np.ndarray], kind) -> pa.ListArray:
     offsets = np.zeros(len(parts) + 1, np.int32)
     np.cumsum([len(p) for p in parts], out=offsets[1:])
@@ -327,7 +336,7 @@ def encode(
         return made
 
     added = f"`{ids_col}` array<int>" + (f", `{decoded_col}` string" if decoded_col else "")
-    return add_columns(df, text_col, added, make, operator="sentencepiece")
+    return add_columns(df, text_col, added, make, operator="sentencepiece", done=_forget)
 
 
 def decode(df: DataFrame, model: Shipped, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -85,3 +86,20 @@ def test_query_on_whole_texts(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
+
+
+def test_a_task_leaves_no_chunks_in_its_worker(spark):
+    """Workers outnumber the running tasks, so what each of them kept would add up."""
+    rows = spark.range(200).selectExpr("id", "concat('some words of text ', id) as text").coalesce(1)
+    model = Shipped(spark, PATH)
+
+    def held(batches):
+        from phrasegrove.llm.sentencepiece_codec import _codecs
+
+        for batch in batches:
+            n = sum(len(codec.memo) + len(codec.older) + len(codec.fits) for codec in _codecs.values())
+            yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    sc.encode(rows, model).write.format("noop").mode("overwrite").save()
+    found = [r.n for r in spark.range(1600).repartition(16).mapInArrow(held, "n long").collect()]
+    assert found and not any(found)
