@@ -95,6 +95,21 @@ def test_null_alone_is_hot(spark):
     assert max(r["count"] for r in sizes) < 100_000
 
 
+def test_null_ids_are_not_shuffled_however_few_rows_there_are(spark):
+    raw = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) as id", "'x' as frase")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = incremental.new_phrases(raw, spark.range(50))
+        sizes = left.where("id is null").groupBy(F.spark_partition_id()).count().collect()
+        n = left.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert n == 3000 - 33 and sum(r["count"] for r in sizes) == 1000
+    assert max(r["count"] for r in sizes) < 500
+
+
 def test_day_embeddings_keep_the_stored_row(spark):
     stored = spark.createDataFrame([("a", [1.0], "s")], "id string, embedding array<float>, o string")
     fresh = spark.createDataFrame([("a", [2.0]), ("b", [3.0])], "id string, embedding array<float>")
