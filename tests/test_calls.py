@@ -5,6 +5,9 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
+from phrasegrove.operators import calls
 from phrasegrove.operators.calls import call_profile, dealt
 
 
@@ -21,3 +24,14 @@ def test_without_slots_partitions_are_the_limit(spark):
     assert call_profile(False) is None
     assert dealt(spark.range(50), 3, False).rdd.getNumPartitions() == 3
     assert "calls" in call_profile(True).taskResources
+
+
+@pytest.mark.parametrize("wanted", [True, False])
+def test_a_scan_of_many_files_is_not_shuffled(spark, tmp_path, monkeypatch, wanted):
+    path = str(tmp_path / "rows")
+    spark.range(0, 800, 1, 8).write.parquet(path)
+    parts = spark.read.parquet(path).rdd.getNumPartitions()
+    monkeypatch.setattr(calls, "SCANS_PER_CALL", parts // 4 if wanted else parts)
+    dealt = calls.dealt_scan(spark.read.parquet(path), 4, False)
+    assert ("Exchange" not in dealt._jdf.queryExecution().executedPlan().toString()) == wanted
+    assert dealt.rdd.getNumPartitions() == 4 and dealt.count() == 800
