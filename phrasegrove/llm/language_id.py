@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phrasegrove.functions.memory import give_back
 from phrasegrove.llm.common import add_columns, mix64, stored
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -135,7 +136,7 @@ def least_known(texts: list[list[str]]) -> tuple[np.ndarray, float]:
     by_word, ends = rows[order], np.searchsorted(owners[order], np.arange(len(index) + 1))
     of = [by_word[ends[i] : ends[i + 1]] for i in range(len(index))]
     # How many texts have a feature; a text's own does not count for it.
-    count = np.zeros(KNOWN, np.int64)
+    count = np.zeros(KNOWN, np.int32)
     mine = [np.unique(np.concatenate([of[i] for i in np.unique(n)])) for n in numbers]
     for own in mine:
         count[own] += 1
@@ -275,6 +276,9 @@ def learn(texts: list[tuple[str, str]], sample: Sample = Sample()) -> Model | No
         for value, gradient, moment in zip((weights, transitions), (slope, turn), moments):
             moment += gradient**2
             value += sample.rate * gradient / (np.sqrt(moment) + 1e-12)
+    # What only the rounds need goes before the n-grams of the whole sample are counted.
+    del found, rows, owners, scale, truth, by, moments, guess, error, slope
+    give_back()
     return Model(languages, weights.astype(np.float32), transitions, lexicon, *least_known(whole))
 
 
@@ -307,7 +311,9 @@ def fit(docs: DataFrame, sample: Sample = Sample(), id_col="doc_id", text_col="t
     # Repeated rows share a hash.
     place = F.row_number().over(Window.partitionBy("lang").orderBy("spot", "text"))
     taken = rows.withColumn("place", place).where(F.col("place") <= sample.docs).select("text", "lang").collect()
-    return learn([(r.text, r.lang) for r in taken], sample)
+    model = learn([(r.text, r.lang) for r in taken], sample)
+    give_back()
+    return model
 
 
 def predict(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, list[list[str]], np.ndarray]:

@@ -137,3 +137,16 @@ def test_held_out_accuracy(spark):
     assert {r.doc_id for r in held} == {i for i in docs if zlib.crc32(str(i).encode()) % 4 == 2}
     right = [r.lang_pred == docs[r.doc_id].lang for r in held]
     assert sum(right) >= 0.98 * len(right)
+
+
+def test_what_is_known_is_counted_in_little_memory():
+    """The driver counts the sample's n-grams over all their places."""
+    import tracemalloc
+
+    texts = [[f"word{i}", "and", "more"] for i in range(50)]
+    tracemalloc.start()
+    learned, bound = li.least_known(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert learned.any() and 0 < bound < 1
+    assert peak < 7 * li.KNOWN
