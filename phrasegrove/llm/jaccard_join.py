@@ -57,6 +57,8 @@ PIECES = 4
 SKETCHED = 150_000
 #: Words whose hashes a worker keeps.
 WORDS_KEPT = 300_000
+#: The bits of a signature that are sent. Equal ones stay equal, and what else meets is told apart later.
+SENT = np.uint64(0xFFFFFFFFFFFF0000)
 #: Least number of words of a sketch.
 LEAST_WORDS = 64
 
@@ -285,6 +287,7 @@ def signature_rows(docs: DataFrame, buckets: int, common) -> DataFrame:
             sets = shingle_sets(texts_of(batch, "text"))
             nodes, at = np.unique([node_of(s) for s in sets], return_index=True)
             words, owner = signatures([sets[i] for i in at], common.value)
+            words &= SENT
             size_of = np.array([len(sets[i]) for i in at], np.int64)
             order = np.argsort(words)
             words, owner = words[order], owner[order]
@@ -355,11 +358,16 @@ def apart_at_least(one: dict, two: dict) -> int:
     return int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum())
 
 
-def passing_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose sizes and bit sketches allow a link."""
+def passing_sketches(pairs: DataFrame, classes: DataFrame, ordered: bool = False) -> DataFrame:
+    """The pairs ``(a, b)`` whose sizes and bit sketches allow a link.
+
+    ``ordered`` says that no ``a`` is larger than its ``b``: the comparison never takes its sketch for
+    the band below then, and only the other one is moved.
+    """
     for side in "ab":
-        columns = [F.col(c).alias(f"{c}_{side}") for c in ("n", "upper", "lower")]
-        pairs = pairs.join(classes.select(F.col("node").alias(side), *columns), side)
+        lower = F.lit(b"") if ordered and side == "a" else F.col("lower")
+        columns = [F.col(c).alias(f"{c}_{side}") for c in ("n", "upper")]
+        pairs = pairs.join(classes.select(F.col("node").alias(side), *columns, lower.alias(f"lower_{side}")), side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -392,6 +400,28 @@ def hubs_of(links: DataFrame) -> DataFrame:
     )
 
 
+def hubs_of_groups(member: DataFrame) -> DataFrame:
+    """``(g, hub, component, radius, most)`` of the groups whose members are in several components."""
+    mixed = member.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("g")
+    return member.join(mixed, "g").groupBy("g", "hub", "component").agg(
+        F.max("radius").alias("radius"), F.max("n").alias("most")
+    )
+
+
+def one_of_each(per_hub: DataFrame) -> DataFrame:
+    """``(g, hub, component, radius, most)``: groups with the same hubs are one, whose number is a hash of them.
+
+    Many words are shared by the same hubs, and each group moves its hubs' sketches. The one has the
+    largest radius and size of all: it rules out no pair that any of them asks for.
+    """
+    hubs = per_hub.groupBy("g").agg(
+        F.xxhash64(F.bit_xor(F.xxhash64("hub")), F.sum(F.xxhash64(F.lit(1), "hub").cast("decimal(38,0)")), F.count(F.lit(1))).alias("same")
+    )
+    return per_hub.join(hubs, "g").groupBy(F.col("same").alias("g"), "hub", "component").agg(
+        F.max("radius").alias("radius"), F.max("most").alias("most")
+    )
+
+
 def near_hubs(members: DataFrame) -> DataFrame:
     """``(h, k, least)``: hubs of one group and different components that may have linked members,
     and a lower bound of the shingles in which the hubs differ.
@@ -509,7 +539,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
             rows = pa.array([s.tobytes() for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node"), rows], names=["node", "shingles"]).filter(pa.array(right))
 
-    sets = stored(texts.mapInArrow(make, "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
+    sets = stored(texts.mapInArrow(make, "node bigint, shingles binary"), "sets")
+    if sets.count() > asked.count():  # rows that repeat an id and a text; else no node comes twice
+        sets = stored(sets.dropDuplicates(["node"]), "sets")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
 
@@ -550,15 +582,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = max(1, -(-chars // BUCKET_CHARS))
     common = spark.sparkContext.broadcast(frequent_words(source))
     groups = stored(shared_words(signature_rows(source, buckets, common)), "groups")
+    common.unpersist()
+    give_back()
 
     # First round: all members of a group against one of them.
     heads = groups.groupBy("g").agg(F.min(F.struct("n", "node")).alias("head"))
-    star = groups.join(heads, "g").where("node <> head.node").select(F.col("head.node").alias("a"), F.col("node").alias("b"))
-    tried = stored(passing_sketches(star.distinct(), classes), "tried")
+    star = groups.join(heads, "g").where("node <> head.node and 3 * n <= 4 * head.n")
+    star = star.select(F.col("head.node").alias("a"), F.col("node").alias("b"))
+    tried = stored(passing_sketches(star.distinct(), classes, ordered=True), "tried")
     links = stored(verified(tried, classes, source), "links")
     # Second round: the other members of a group, where they are still in different components, hub
     # against hub. Their pairs with the group's head have been compared.
-    labels = components(links, "a", "b")
+    labels = components(links)
     known = labels.join(hubs_of(links), "node", "left")
     member = groups.join(heads, "g").where("node <> head.node").join(known, "node", "left").select(
         "g",
@@ -569,10 +604,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce("radius", F.lit(0)).alias("radius"),
     )
     member = stored(member, "members")
-    mixed = member.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("g")
-    per_hub = member.join(mixed, "g").groupBy("g", "hub", "component").agg(
-        F.max("radius").alias("radius"), F.max("n").alias("most")
-    )
+    per_hub = one_of_each(stored(hubs_of_groups(member), "group-hubs"))
     sketches = classes.select(F.col("node").alias("hub"), "n", "upper", "lower")
     near = stored(near_hubs(stored(per_hub.join(sketches, "hub"), "hubs")), "near")
 
@@ -584,8 +616,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # The hubs themselves first: most of the components that are near each other are one then.
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = compared(near.select(F.col("h").alias("a"), F.col("k").alias("b")), done, "hub-pairs")
-    links = links.union(more)
-    labels = components(links, "a", "b")
+    # A node and its component are a link, so what is known goes in as that.
+    merged = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    labels = components(merged.union(more.select("a", "b")))
     for side in "hk":
         named = labels.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
         near = near.join(named, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
@@ -593,7 +626,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spokes = stored(member.select("hub", "node").distinct(), "spokes")
     more = compared(spoke_pairs(near, spokes, classes), done, "pairs")
 
-    labels = components(links.union(more), "a", "b")
+    merged = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    labels = components(merged.union(more.select("a", "b")))
     named = classes.select("node", "rep").join(labels, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("least"))

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from phrasegrove.llm import jaccard_join as jj
 
@@ -145,3 +146,34 @@ def test_bit_sketches_bound_the_difference():
         band = jj.band_of(max(len(x), len(y)))
         apart = np.frombuffer(jj.sketch_bits(x, band), np.uint8) ^ np.frombuffer(jj.sketch_bits(y, band), np.uint8)
         assert np.bitwise_count(apart).sum() <= len(np.setxor1d(x, y))
+
+
+def test_groups_with_the_same_hubs_are_one(spark):
+    """Two words that the same hubs share would move the hubs' sketches twice."""
+    rows = [(1, 10, 100, 0, 50), (1, 20, 200, 4, 60), (2, 20, 200, 0, 55), (2, 10, 100, 3, 40), (3, 10, 100, 0, 50), (3, 30, 300, 0, 50)]
+    found = jj.one_of_each(spark.createDataFrame(rows, "g long, hub long, component long, radius long, most long")).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r.g, []).append((r.hub, r.component, r.radius, r.most))
+    assert sorted(map(sorted, groups.values())) == [[(10, 100, 0, 50), (30, 300, 0, 50)], [(10, 100, 3, 50), (20, 200, 4, 60)]]
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    from phrasegrove.llm import components as module
+
+    cuts = []
+    monkeypatch.setattr(module, "cut_lineage", lambda df, real=module.cut_lineage: cuts.append(1) or real(df))
+    rows = spark.createDataFrame([(1, 2), (3, 1), (7, 9), (1, 1), (None, 4)], "a long, b long")
+    first = module.components(rows)
+    assert sorted(map(tuple, first.collect())) == [(1, 1), (2, 1), (3, 1), (7, 7), (9, 7)] and len(cuts) == 1
+    # An earlier answer with a further link.
+    links = first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(spark.createDataFrame([(3, 9)], "a long, b long"))
+    assert sorted(map(tuple, module.components(links).collect())) == [(1, 1), (2, 1), (3, 1), (7, 1), (9, 1)]
+
+
+def test_signatures_are_sent_without_their_low_bits(spark):
+    """They only steer who meets; equal ones stay equal."""
+    docs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(300)),)], "text string")
+    packed = jj.signature_rows(docs, 4, spark.sparkContext.broadcast(jj.Frequent())).collect()
+    words = np.concatenate([np.cumsum(jj.from_planes(r.words, np.uint64), dtype=np.uint64) for r in packed])
+    assert len(words) and not np.any(words & np.uint64(0xFFFF))
