@@ -101,7 +101,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     model = Shipped(spark, public_tokenizers.path("piece_bpe_32k.model"))
     rows = docs.select("doc_id", "lang", "source", "text")
-    rows = sentencepiece_codec.encode(rows, model, decoded_col="decoded")
+    rows = sentencepiece_codec.encode(rows, model, decoded_col="decoded", keep=False)
     return rows.select(
         "doc_id",
         "lang",

@@ -50,7 +50,7 @@ def op1_lm_scoring(spark, sf_dir) -> DataFrame:
 def op2_sentencepiece(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = Shipped(spark, public_tokenizers.path("piece_bpe_32k.model"))
-    both = sentencepiece_codec.encode(docs, model, decoded_col="decoded")
+    both = sentencepiece_codec.encode(docs, model, decoded_col="decoded", keep=False)
     return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

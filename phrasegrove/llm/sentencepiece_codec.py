@@ -42,6 +42,8 @@ MEMO_CHARS = 48
 ENTRY_BYTES = 150
 #: Pairs of pieces whose compatibility a task keeps.
 PAIRS = 400_000
+#: Bytes of text encoded at a time, about: ids and decoded text take several times as much beside them.
+SLICE_BYTES = 1 << 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -320,11 +322,17 @@ def ragged(parts: list[np.ndarray], kind) -> pa.ListArray:
 
 
 def encode(
-    df: DataFrame, model: Shipped, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None
+    df: DataFrame,
+    model: Shipped,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    decoded_col: str | None = None,
+    keep: bool = True,
 ) -> DataFrame:
     """Add ``ids_col``, the texts' token ids; ``model`` is a model file.
 
-    With ``decoded_col`` the ids are decoded again in the same pass over the rows.
+    With ``decoded_col`` the ids are decoded again in the same pass over the rows. Without ``keep``
+    the texts themselves do not come back from the workers.
     """
 
     def make(texts: list[str]) -> dict[str, pa.Array]:
@@ -336,7 +344,9 @@ def encode(
         return made
 
     added = f"`{ids_col}` array<int>" + (f", `{decoded_col}` string" if decoded_col else "")
-    return add_columns(df, text_col, added, make, operator="sentencepiece", done=_forget)
+    return add_columns(
+        df, text_col, added, make, keep=keep, slice_bytes=SLICE_BYTES, operator="sentencepiece", done=_forget
+    )
 
 
 def decode(df: DataFrame, model: Shipped, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

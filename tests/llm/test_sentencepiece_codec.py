@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from phrasegrove.llm import common
 from phrasegrove.llm import sentencepiece_codec as sc
 from phrasegrove.llm.common import Shipped
 
@@ -103,3 +104,20 @@ def test_a_task_leaves_no_chunks_in_its_worker(spark):
     sc.encode(rows, model).write.format("noop").mode("overwrite").save()
     found = [r.n for r in spark.range(1600).repartition(16).mapInArrow(held, "n long").collect()]
     assert found and not any(found)
+
+
+def test_texts_stay_in_the_workers_and_go_in_small_slices(spark, monkeypatch):
+    """What a task holds beside a batch is bounded by the slice; the texts come back only if they are kept."""
+    asked = {}
+
+    def add_columns(df, column, added, make, **options):
+        asked.update(options)
+        return common.add_columns(df, column, added, make, **options)
+
+    monkeypatch.setattr(sc, "add_columns", add_columns)
+    texts = ["", None, "two words", "words " * 40_000, "one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sc.encode(docs, Shipped(spark, PATH), decoded_col="decoded", keep=False)
+    assert rows.columns == ["doc_id", "ids", "decoded"]
+    assert {r.doc_id: r.ids for r in rows.collect()} == {i: LIBRARY.encode(t or "") for i, t in enumerate(texts)}
+    assert asked["slice_bytes"] <= 1 << 20
