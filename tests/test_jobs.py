@@ -187,6 +187,18 @@ def test_without_a_namer_output_has_no_names(spark, tables):
     assert rows.where("nome_n1 is not null or cluster_n2 is null").isEmpty()
 
 
+def test_assignment_does_not_shuffle_the_rows(spark, tables):
+    """The names of all levels are stored per run, so that they are broadcast and the rows stay."""
+    write_table(raw_frame(spark, phrase_rows(0, 40)), tables.raw)
+    embed(spark, tables, DAY_1)
+    train(spark, tables)
+    run = jobs.load_run(spark, tables, jobs.current_run(spark, tables))
+    output, _ = jobs.outcome(run, spark.table(tables.embeddings).select("id", "frase", "embedding"), DIMS, DAY_2)
+    plan = output._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan, plan
+    assert output.where("nome_n1 is null or nome_n2 is null or nome_n3 is null").isEmpty()
+
+
 def test_assignment_takes_one_run_and_new_rows(spark, tables):
     write_table(raw_frame(spark, phrase_rows(0, 40)), tables.raw)
     embed(spark, tables, DAY_1)
