@@ -37,3 +37,12 @@ def test_scan_reads_few_columns_and_pushes_the_day(spark):
     narrow = entry_module.queries()["existing_ids"](spark, SF_DIR)
     text = narrow._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<vec_id:bigint>" in text
+
+
+def test_only_documents_between_the_vectors_ids_meet_them(spark, tmp_path):
+    from contract.queries import documents_near_vectors
+
+    given = {"embeddings": "id as vec_id", "documents": "id - 5 as doc_id"}
+    for name, ids in given.items():
+        spark.range(3, 20 if name == "documents" else 6).selectExpr(ids, "'a' as text").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert sorted(r.id for r in documents_near_vectors(spark, str(tmp_path)).collect()) == ["3", "4", "5"]
