@@ -90,6 +90,7 @@ def slices(
         rows = max(1, batch.num_rows * slice_bytes // max(1, batch.column(column).nbytes))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch  # else it stays while the next one is read
         give_back()
 
 
@@ -140,6 +141,7 @@ def add_columns(
                 made = make(read(batch, sent))
                 arrays = [*batch.columns[: len(kept)], *(made[field.name] for field in extra)]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+                del batch, made, arrays
         finally:
             if done:
                 done()

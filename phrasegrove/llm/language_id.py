@@ -44,7 +44,7 @@ UNKNOWN = "und"
 #: A character that ``WORD`` may hold, for Java's expressions.
 LETTER = r"[\p{L}\p{Nl}\p{No}]"
 #: Bytes of text that are worked on at a time, about; short words make many numbers.
-SLICE = 2 << 20
+SLICE = 1 << 19
 #: Rows of the weight table: hashed features, then one row per language's lexicon.
 HASHED = 1 << 16
 #: Places of the learned n-grams: so many that few others share one.

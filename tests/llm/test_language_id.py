@@ -1,12 +1,16 @@
 import itertools
 import re
+import tracemalloc
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from phrasegrove.llm import language_id as li
+from phrasegrove.llm.common import slices, texts_of
 
 EN = "the of and to in is that it for was on are with as his they at be this have from or had by word".split()
 FR = "le la les et est une que dans pour qui sur pas avec son ils au plus être mais nous été leur très".split()
@@ -150,3 +154,29 @@ def test_what_is_known_is_counted_in_little_memory():
     tracemalloc.stop()
     assert learned.any() and 0 < bound < 1
     assert peak < 7 * li.KNOWN
+
+
+def test_a_batch_goes_before_the_next_is_read():
+    gone = []
+
+    def batches():
+        for _ in range(3):
+            batch = pa.RecordBatch.from_pydict({"text": ["some words", "and more"]})
+            held = weakref.ref(batch)
+            yield batch
+            del batch
+            gone.append(held() is None)
+
+    assert sum(part.num_rows for part in slices(batches(), "text")) == 6
+    assert gone == [True] * 3
+
+
+def test_memory_of_a_prediction_is_that_of_a_small_slice(model):
+    texts = passages(EN + FR, np.random.default_rng(3), 15_000)  # about 2.7 MB
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    tracemalloc.start()
+    rows = sum(len(li.judged(texts_of(part, "text"), model, True)[0]) for part in slices(iter([batch]), "text", li.SLICE))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts)
+    assert most < 32 << 20, most
